@@ -612,3 +612,319 @@ def q_match_label(spark, sf):
     from limelight.functions.labels import match_label
     m = gold_matches(spark, sf)
     return m.select("date", match_label(minutes="minutes", yellow_cards="yellow_cards", red_cards="red_cards").alias("label"))
+
+
+# ---------------------------------------------------------------- ingestion audit
+
+OBS = [O.observations_cte()]
+FILES = [O.observations_cte(), O.files_cte()]
+FILE_COLS = ["stream", "gdelt_timestamp", "gdelt_date", "url", "was_downloaded", "was_skipped", "had_404",
+             "zip_size_bytes", "csv_size_bytes", "observations", "is_ready", "unresolved_404", "zip_size_known",
+             "csv_size_known"]
+
+
+def files(spark, sf):
+    from limelight.operators.audit import collapse_observations
+    return collapse_observations(T.observations(spark, sf))
+
+
+@register("file_collapse", "A8 F31 F32 S9", O.with_ctes(*FILES) + f"SELECT {', '.join(FILE_COLS)} FROM files")
+def q_file_collapse(spark, sf):
+    return files(spark, sf).select(*FILE_COLS)
+
+
+@register("audit_report", "A9 F33", O.with_ctes(*FILES) + """
+SELECT count(*) AS files_expected, count(*) FILTER (WHERE was_downloaded) AS files_downloaded,
+  count(*) FILTER (WHERE is_ready) AS files_ready, count(*) - count(*) FILTER (WHERE is_ready) AS files_not_ready,
+  round(count(*) FILTER (WHERE is_ready) / nullif(count(*), 0) * 100, 4) AS ready_pct,
+  count(*) FILTER (WHERE had_404) AS files_with_404, count(*) FILTER (WHERE unresolved_404) AS files_unresolved_404,
+  round(CAST(coalesce(sum(coalesce(zip_size_bytes, 0)), 0) AS DOUBLE) / 1000000000.0, 3) AS downloaded_zip_gb,
+  round(CAST(coalesce(sum(coalesce(csv_size_bytes, 0)), 0) AS DOUBLE) / 1000000000.0, 3) AS extracted_csv_gb,
+  count(*) FILTER (WHERE is_ready AND NOT zip_size_known) AS ready_without_zip_size,
+  count(*) FILTER (WHERE is_ready AND NOT csv_size_known) AS ready_without_csv_size,
+  CAST(coalesce(sum(observations), 0) - count(*) AS BIGINT) AS repeated_observations_collapsed
+FROM files""")
+def q_audit_report(spark, sf):
+    from limelight.operators.audit import audit_report
+    return audit_report(files(spark, sf))
+
+
+@register("audit_by_feed", "A10", O.with_ctes(*FILES) + """
+SELECT stream, count(*) AS files_expected, count(*) FILTER (WHERE was_downloaded) AS files_downloaded,
+  count(*) FILTER (WHERE is_ready) AS files_ready, count(*) FILTER (WHERE unresolved_404) AS files_unresolved_404,
+  round(CAST(coalesce(sum(zip_size_bytes), 0) AS DOUBLE) / 1000000000.0, 3) AS downloaded_zip_gb,
+  round(CAST(coalesce(sum(csv_size_bytes), 0) AS DOUBLE) / 1000000000.0, 3) AS extracted_csv_gb
+FROM files GROUP BY stream""")
+def q_audit_by_feed(spark, sf):
+    from limelight.operators.audit import audit_by_feed
+    return audit_by_feed(files(spark, sf))
+
+
+BY_DAY_SQL = """by_day AS (
+  SELECT s.date, d.files_expected, coalesce(d.files_ready, 0) AS files_ready,
+    coalesce(d.files_unresolved_404, 0) AS files_unresolved_404
+  FROM spine s LEFT JOIN (
+    SELECT gdelt_date AS date, count(*) AS files_expected, count(*) FILTER (WHERE is_ready) AS files_ready,
+      count(*) FILTER (WHERE unresolved_404) AS files_unresolved_404
+    FROM files GROUP BY gdelt_date) d USING (date))"""
+
+
+def audit_days(spark, sf):
+    from limelight.operators.audit import audit_by_day
+    from limelight.sources.spines import calendar_spine
+    return audit_by_day(files(spark, sf), calendar_spine(T.event_bounds(spark, sf)))
+
+
+@register("audit_by_day", "A11 J6 S16", O.with_ctes(*FILES, O.event_bounds_cte(), O.spine_cte(), BY_DAY_SQL) +
+          "SELECT * FROM by_day")
+def q_audit_by_day(spark, sf):
+    return audit_days(spark, sf)
+
+
+@register("day_status", "P12", O.with_ctes(*FILES, O.event_bounds_cte(), O.spine_cte(), BY_DAY_SQL) + """
+SELECT *, CASE WHEN files_ready = 0 AND files_unresolved_404 = files_expected THEN 'empty_all_404'
+  WHEN files_ready = 0 THEN 'empty' WHEN files_ready < 192 THEN 'partial' ELSE 'complete' END AS day_status
+FROM by_day""")
+def q_day_status(spark, sf):
+    from limelight.operators.audit import with_day_status
+    return with_day_status(audit_days(spark, sf), 192)
+
+
+@register("size_profile", "A12", O.with_ctes(*FILES) + """
+SELECT min(zip_size_bytes) FILTER (WHERE is_ready AND zip_size_known) AS min_zip_size_bytes,
+  round(median(zip_size_bytes) FILTER (WHERE is_ready AND zip_size_known), 6) AS median_zip_size_bytes,
+  max(zip_size_bytes) FILTER (WHERE is_ready AND zip_size_known) AS max_zip_size_bytes,
+  min(csv_size_bytes) FILTER (WHERE is_ready AND csv_size_known) AS min_csv_size_bytes,
+  round(median(csv_size_bytes) FILTER (WHERE is_ready AND csv_size_known), 6) AS median_csv_size_bytes,
+  max(csv_size_bytes) FILTER (WHERE is_ready AND csv_size_known) AS max_csv_size_bytes
+FROM files""")
+def q_size_profile(spark, sf):
+    from limelight.operators.audit import size_profile
+    return rounded(size_profile(files(spark, sf)))
+
+
+@register("full_day_profile", "A13", O.with_ctes(*FILES) + """
+SELECT count(*) AS full_days, min(zip) AS min_daily_zip, round(median(zip), 6) AS median_daily_zip, max(zip) AS max_daily_zip,
+  min(csv) AS min_daily_csv, round(median(csv), 6) AS median_daily_csv, max(csv) AS max_daily_csv
+FROM (
+  SELECT gdelt_date, CAST(sum(zip_size_bytes) AS BIGINT) AS zip, CAST(sum(csv_size_bytes) AS BIGINT) AS csv, count(*) AS n,
+    count(*) FILTER (WHERE is_ready) AS r, count(*) FILTER (WHERE zip_size_known) AS zk,
+    count(*) FILTER (WHERE csv_size_known) AS ck
+  FROM files GROUP BY gdelt_date)
+WHERE r = n AND zk = n AND ck = n""")
+def q_full_day_profile(spark, sf):
+    from limelight.operators.audit import full_day_profile
+    return rounded(full_day_profile(files(spark, sf)))
+
+
+@register("failure_runs", "W7", O.with_ctes(*OBS) + """
+SELECT run_id, event_id, observed_at, download_status, CAST(run AS BIGINT) AS failure_run, run >= 3 AS breach FROM (
+  SELECT *, CASE WHEN rs THEN 0 ELSE cum - coalesce(base, 0) END AS run FROM (
+    SELECT *, last(CASE WHEN rs THEN cum END IGNORE NULLS) OVER w AS base FROM (
+      SELECT *, sum(inc) OVER w AS cum FROM (
+        SELECT *, download_status IN ('downloaded', 'missing_upstream') AS rs,
+          CASE WHEN download_status = 'download_failed' THEN 1 ELSE 0 END AS inc FROM obs)
+      WINDOW w AS (PARTITION BY run_id ORDER BY observed_at, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+    WINDOW w AS (PARTITION BY run_id ORDER BY observed_at, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)))""")
+def q_failure_runs(spark, sf):
+    from limelight.operators.streaks import failure_runs
+    obs = T.observations(spark, sf).select("run_id", "event_id", "observed_at", "download_status")
+    out = failure_runs(obs, ["run_id"], ["observed_at", "event_id"], chunk=F.to_date("observed_at"))
+    return out.withColumn("failure_run", F.col("failure_run").cast("bigint"))
+
+
+@register("ingestion_metrics", "A17 F36", O.with_ctes(*OBS) + """
+SELECT count(*) AS files_expected,
+  count(*) FILTER (WHERE download_status = 'skipped') AS files_download_skipped,
+  count(*) FILTER (WHERE download_status = 'downloaded') AS files_downloaded,
+  count(*) FILTER (WHERE download_status = 'download_failed') AS files_download_failed,
+  count(*) FILTER (WHERE download_status = 'missing_upstream') AS files_missing_upstream,
+  count(*) FILTER (WHERE unzip_status = 'extracted') AS files_extracted,
+  count(*) FILTER (WHERE unzip_status = 'unzip_failed') AS files_unzip_failed,
+  count(*) FILTER (WHERE coalesce(download_status = 'skipped' OR (download_status = 'downloaded' AND unzip_status = 'extracted'), false)) AS files_ready,
+  count(*) FILTER (WHERE NOT coalesce(download_status = 'skipped' OR (download_status = 'downloaded' AND unzip_status = 'extracted'), false)) AS files_not_ready,
+  count(DISTINCT gdelt_date) AS days_processed
+FROM obs""")
+def q_ingestion_metrics(spark, sf):
+    from limelight.operators.audit import ingestion_metrics
+    return ingestion_metrics(T.observations(spark, sf))
+
+
+@register("fetch_status", "F36", """
+SELECT event_id, CASE WHEN code = 404 THEN 'missing_upstream' WHEN err IS NOT NULL OR coalesce(code, 200) >= 400
+  THEN 'download_failed' ELSE 'downloaded' END AS status
+FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN CASE WHEN value < 50 THEN 404 ELSE 503 END
+  WHEN event_type = 'view' THEN 304 END AS code,
+  CASE WHEN event_type = 'error' THEN 'HTTP error' END AS err FROM events)""")
+def q_fetch_status(spark, sf):
+    from limelight.functions.labels import fetch_status
+    e = T.table(spark, sf, "events")
+    code = F.when(F.col("event_type") == "error", F.when(F.col("value") < 50, F.lit(404)).otherwise(F.lit(503))) \
+        .when(F.col("event_type") == "view", F.lit(304))
+    err = F.when(F.col("event_type") == "error", F.lit("HTTP error"))
+    return e.select("event_id", fetch_status(code, err).alias("status"))
+
+
+# ---------------------------------------------------------------- spines
+
+@register("calendar_days", "S16", O.with_ctes(O.event_bounds_cte(), O.spine_cte()) + "SELECT date FROM spine")
+def q_calendar_days(spark, sf):
+    from limelight.sources.spines import calendar_spine
+    return calendar_spine(T.event_bounds(spark, sf))
+
+
+@register("intervals", "S17", O.with_ctes(O.event_bounds_cte()) + """
+SELECT CAST(s AS DATE) AS interval_start, CAST(least(end_date, CAST(s AS DATE) + 6) AS DATE) AS interval_end
+FROM (SELECT unnest(generate_series(start_date, end_date, INTERVAL 7 DAY)) AS s, end_date FROM bounds)""")
+def q_intervals(spark, sf):
+    from limelight.sources.spines import interval_spine
+    return interval_spine(T.event_bounds(spark, sf), 7)
+
+
+@register("interval_of", "S17", O.with_ctes(O.event_bounds_cte()) + """
+SELECT CAST(start_date + CAST(floor((CAST(ts AS DATE) - start_date) / 7) * 7 AS INTEGER) AS DATE) AS interval_start,
+  count(*) AS events
+FROM events CROSS JOIN bounds GROUP BY 1""")
+def q_interval_of(spark, sf):
+    from limelight.functions.dates import period_of
+    e = T.table(spark, sf, "events").withColumn("d", F.col("ts").cast("date"))
+    b = T.event_bounds(spark, sf).select("start_date")
+    return e.crossJoin(F.broadcast(b)).groupBy(period_of("d", F.col("start_date"), 7).alias("interval_start")) \
+        .agg(F.count(F.lit(1)).alias("events"))
+
+
+MANIFEST_SQL = """manifest AS (
+  SELECT CAST(NULL AS VARCHAR) AS run_id, f.stream, CAST(s.slot AS DATE) AS gdelt_date,
+    strftime(s.slot, '%Y%m%d%H%M%S') AS gdelt_timestamp,
+    strftime(s.slot, '%Y%m%d%H%M%S') || f.suffix AS file_name,
+    'http://data.gdeltproject.org/gdeltv2/' || strftime(s.slot, '%Y%m%d%H%M%S') || f.suffix AS url,
+    'tmp/gdelt_gkg/date=' || strftime(s.slot, '%Y-%m-%d') || '/stream=' || f.stream || '/' || strftime(s.slot, '%Y%m%d%H%M%S') || f.suffix AS zip_path,
+    'tmp/gdelt_gkg/date=' || strftime(s.slot, '%Y-%m-%d') || '/stream=' || f.stream || '/' || regexp_replace(strftime(s.slot, '%Y%m%d%H%M%S') || f.suffix, '\\.zip$', '') AS csv_path
+  FROM (SELECT unnest(generate_series(CAST(date AS TIMESTAMP), CAST(date AS TIMESTAMP) + INTERVAL 1425 MINUTE, INTERVAL 15 MINUTE)) AS slot FROM spine) s
+  CROSS JOIN (VALUES ('regular', '.gkg.csv.zip'), ('translation', '.translation.gkg.csv.zip')) f(stream, suffix))"""
+
+
+def manifest(spark, sf):
+    from limelight.sources.spines import calendar_spine, expected_file_manifest
+    return expected_file_manifest(calendar_spine(T.event_bounds(spark, sf)))
+
+
+@register("manifest_15min", "S15", O.with_ctes(O.event_bounds_cte(), O.spine_cte(), MANIFEST_SQL) + "SELECT * FROM manifest")
+def q_manifest_15min(spark, sf):
+    return manifest(spark, sf)
+
+
+@register("files_to_fetch", "J9", O.with_ctes(O.event_bounds_cte(), O.spine_cte(), MANIFEST_SQL, *OBS) + """
+SELECT m.* FROM manifest m ANTI JOIN (SELECT DISTINCT stream, gdelt_timestamp FROM obs WHERE csv_size_bytes > 0) p
+  USING (stream, gdelt_timestamp)""")
+def q_files_to_fetch(spark, sf):
+    from limelight.sources.spines import files_to_fetch
+    todo, _ = files_to_fetch(manifest(spark, sf), T.observations(spark, sf))
+    return todo
+
+
+# ---------------------------------------------------------------- data quality
+
+@register("null_check", "Q1", """
+SELECT * FROM (VALUES
+  ('conv_id', (SELECT count(*) FILTER (WHERE conv_id IS NULL) FROM conversations)),
+  ('turn', (SELECT count(*) FILTER (WHERE turn IS NULL) FROM conversations)),
+  ('role', (SELECT count(*) FILTER (WHERE role IS NULL) FROM conversations)),
+  ('text', (SELECT count(*) FILTER (WHERE text IS NULL) FROM conversations))) t(column_name, null_rows)""")
+def q_null_check(spark, sf):
+    from limelight.operators.quality import check_not_null
+    return check_not_null(T.table(spark, sf, "conversations"), ["conv_id", "turn", "role", "text"])
+
+
+@register("unique_check", "Q2", """
+SELECT text_md5, count(*) AS n_records FROM (SELECT md5(text) AS text_md5 FROM documents)
+WHERE text_md5 IS NOT NULL GROUP BY text_md5 HAVING count(*) > 1""")
+def q_unique_check(spark, sf):
+    from limelight.operators.quality import check_unique
+    return check_unique(T.table(spark, sf, "documents").select(F.md5("text").alias("text_md5")), "text_md5")
+
+
+@register("unique_combination", "Q3", """
+SELECT conv_id, role, count(*) AS n_records FROM conversations GROUP BY ALL HAVING count(*) > 1""")
+def q_unique_combination(spark, sf):
+    from limelight.operators.quality import check_unique_combination
+    return check_unique_combination(T.table(spark, sf, "conversations"), ["conv_id", "role"])
+
+
+@register("week_start_check", "Q4", O.with_ctes(O.trends_cte()) + """
+SELECT count(*) FILTER (WHERE dayofweek(week_start) <> 0) AS non_sunday_rows FROM trends""")
+def q_week_start_check(spark, sf):
+    from limelight.operators.quality import check_week_start_day
+    return check_week_start_day(T.trends(spark, sf))
+
+
+@register("check_suite", "Q8 Q9 Q2 Q3 Q7", O.with_ctes(O.event_bounds_cte(), O.spine_cte(), O.pageviews_cte(), O.trends_cte(),
+                                                      O.matches_cte()) + """
+SELECT 'pageviews_unique' AS check_name, CAST(count(*) AS BIGINT) AS violations FROM (
+  SELECT date, language FROM pageviews GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT 'trends_unique', count(*) FROM (SELECT week_start, audience_scope FROM trends GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT 'matches_date_unique', count(*) FROM (SELECT match_date FROM matches WHERE match_date IS NOT NULL GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT 'matches_not_null', CAST(coalesce(sum(n), 0) AS BIGINT) FROM (
+  SELECT count(*) FILTER (WHERE competition IS NULL) + count(*) FILTER (WHERE match_date IS NULL) + count(*) FILTER (WHERE goals IS NULL) AS n FROM matches)
+UNION ALL SELECT 'trends_week_start', count(*) FILTER (WHERE dayofweek(week_start) <> 0) FROM trends""")
+def q_check_suite(spark, sf):
+    from limelight.operators.quality import CheckSpec, run_checks
+    pv, tr, m = T.pageviews(spark, sf), T.trends(spark, sf), T.matches(spark, sf)
+    return (
+        run_checks(pv, [CheckSpec("pageviews_unique", "unique_combination", ["date", "language"])])
+        .unionByName(run_checks(tr, [CheckSpec("trends_unique", "unique_combination", ["week_start", "audience_scope"])]))
+        .unionByName(run_checks(m, [CheckSpec("matches_date_unique", "unique", ["match_date"]),
+                                    CheckSpec("matches_not_null", "not_null", ["competition", "match_date", "goals"])]))
+        .unionByName(run_checks(tr, [CheckSpec("trends_week_start", "week_start", ["week_start"])]))
+    )
+
+
+# ---------------------------------------------------------------- payloads and collectors
+
+@register("json_props", "S10 S12-style", """
+SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
+def q_json_props(spark, sf):
+    e = T.table(spark, sf, "events")
+    parsed = F.from_json("props", "k BIGINT")
+    return e.select("event_id", parsed["k"].alias("k"))
+
+
+@register("pageviews_payload", "S10 F29", O.with_ctes(O.event_bounds_cte(), O.spine_cte(), O.pageviews_cte()) + """
+SELECT language, date, views FROM pageviews""")
+def q_pageviews_payload(spark, sf):
+    """Round trip through the collector's JSON payload shape: one payload per
+    language built from the pageview rows, then parsed back by S10."""
+    from limelight.sources.payloads import parse_pageviews
+    pv = T.pageviews(spark, sf)
+    items = F.sort_array(F.collect_list(F.struct(
+        F.concat(F.date_format("date", "yyyyMMdd"), F.lit("00")).alias("timestamp"), F.col("views").alias("views"))))
+    payloads = pv.groupBy("language").agg(F.to_json(F.struct(items.alias("items"))).alias("payload"))
+    return parse_pageviews(payloads, "payload", keep=["language"])
+
+
+@register("html_extract", "S13", r"""
+SELECT page_id,
+  regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title,
+  regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) AS h1,
+  CAST(len(regexp_extract_all(html, '(?is)<a\s[^>]*href="([^"]*)"', 1)) AS BIGINT) AS links,
+  regexp_extract(html, '(?is)<html[^>]*\slang="([^"]*)"', 1) AS lang
+FROM pages""")
+def q_html_extract(spark, sf):
+    from limelight.sources.payloads import html_fields
+    return html_fields(T.table(spark, sf, "pages"), "html").select("page_id", "title", "h1", "links", "lang")
+
+
+@register("collector_totals", "A24 U2", O.with_ctes(O.event_bounds_cte(), O.spine_cte(), O.pageviews_cte()) + """
+SELECT language, count(*) AS rows, CAST(sum(views) AS BIGINT) AS total_views FROM pageviews GROUP BY language""")
+def q_collector_totals(spark, sf):
+    from limelight.operators.metrics import collector_totals
+    return collector_totals(T.pageviews(spark, sf), "language", "views").withColumnRenamed("total_views", "total_views")
+
+
+@register("article_urls", "F30", """
+SELECT DISTINCT lang, 'https://' || lang || '.wikipedia.org/wiki/' || replace(replace(url_encode(source), '+', '%20'), '%2F', '/') AS article_url
+FROM documents""")
+def q_article_urls(spark, sf):
+    from limelight.functions.urls import article_url
+    d = T.table(spark, sf, "documents")
+    return d.select("lang", article_url("source", "lang").alias("article_url")).distinct()

@@ -257,7 +257,7 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for pid, raw in zip(batch["payload_id"], batch["payload"]):
             rows.extend(_rows_of_payload(str(pid), raw if isinstance(raw, str) else ""))
-        yield pd.DataFrame.from_records(rows, columns=cols)
+        yield pd.DataFrame([[r.get(c) for c in cols] for r in rows], columns=cols, dtype=object)
 
 
 def parse_match_tables(payloads: DataFrame, id_col: str = "payload_id", col: str = "payload") -> DataFrame:

@@ -4,8 +4,8 @@ Files are headerless tab-separated text, 27 string columns, laid out as
 ``<root>/date=YYYY-MM-DD/stream=<feed>/<timestamp>[.translation].gkg.csv``.
 The reader passes an explicit schema (a short first file cannot change the
 arity), turns quoting/escaping off, reads only ``*.gkg.csv`` files and lets
-partition discovery turn ``date`` and ``stream`` into columns, so a date-range
-filter prunes directories instead of listing them on the driver.
+partition discovery turn the folder keys into ``feed_date`` and ``stream``,
+so a date-range filter prunes folders instead of opening every file.
 """
 
 from __future__ import annotations
@@ -53,32 +53,55 @@ def read_raw_feed(spark: SparkSession, paths: list[str] | str, glob: str = FILE_
     return reader.csv(paths if isinstance(paths, list) else [paths])
 
 
+PATH_DATE = r"date=(\d{4}-\d{2}-\d{2})"
+PATH_STREAM = r"stream=([^/]+)"
+_DATE_TEXT = "_feed_DATE_text"
+FEED_READ_SCHEMA = StructType(
+    [StructField(_DATE_TEXT if f.name == "DATE" else f.name, f.dataType, True) for f in RAW_SCHEMA.fields]
+    + [StructField("date", DateType(), True), StructField("stream", StringType(), True)]
+)
+
+
+def restore_feed_columns(df: DataFrame) -> DataFrame:
+    """Folder key ``date`` -> ``feed_date``; the text column back to ``DATE``."""
+    return df.withColumnRenamed("date", "feed_date").withColumnRenamed(_DATE_TEXT, "DATE")
+
+
 def read_feed_range(spark: SparkSession, root: str, start, end, streams: list[str] | None = None,
                     glob: str = FILE_GLOB) -> DataFrame:
-    """S3 + S5: the whole lake under ``root`` with partition columns ``date`` and
-    ``stream``; the range and feed filters become partition filters (pruning)."""
-    schema = StructType(RAW_SCHEMA.fields + [StructField("date", DateType()), StructField("stream", StringType())])
+    """S3 + S5: the lake under ``root``; folder names become ``feed_date`` and
+    ``stream`` by partition discovery, and the range/feed filters are partition
+    filters (only matching folders are listed and read).
+
+    The folder key ``date`` equals the feed's own ``DATE`` column up to case, and
+    Spark column names are case-insensitive, so the text column is read under a
+    temporary name and renamed after the partition column became ``feed_date``."""
     df = (
-        spark.read.schema(schema)
+        spark.read.schema(FEED_READ_SCHEMA)
         .option("sep", "\t").option("header", "false").option("quote", "").option("escape", "")
         .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "false")
+        .option("basePath", root)
         .csv(root)
     )
-    df = df.filter(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    df = restore_feed_columns(df)
+    df = df.filter(F.col("feed_date").between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")))
     if streams:
         df = df.filter(F.col("stream").isin(streams))
     return df
 
 
 def missing_partitions(spark: SparkSession, root: str, expected: DataFrame) -> DataFrame:
-    """Expected ``(date, stream)`` pairs with no readable file. The present pairs
-    come from the file metadata of a pruned scan (no content is parsed)."""
+    """Expected ``(feed_date, stream)`` pairs with no readable file. The present
+    pairs come from file paths of a listing-only scan (no content is read)."""
+    path = F.col("path")
     present = (
-        spark.read.format("binaryFile").option("pathGlobFilter", FILE_GLOB).load(root)
-        .select("date", "stream").distinct()
+        spark.read.format("binaryFile").option("pathGlobFilter", FILE_GLOB).option("recursiveFileLookup", "true")
+        .load(root).select(
+            F.regexp_extract(path, PATH_DATE, 1).cast("date").alias("feed_date"),
+            F.regexp_extract(path, PATH_STREAM, 1).alias("stream"),
+        ).distinct()
     )
-    return expected.join(present, ["date", "stream"], "left_anti")
+    return expected.join(present, ["feed_date", "stream"], "left_anti")
 
 
 def read_feed_range_lenient(spark: SparkSession, root: str, expected: DataFrame, start, end,
@@ -86,7 +109,7 @@ def read_feed_range_lenient(spark: SparkSession, root: str, expected: DataFrame,
     """Read what exists, report what is missing; fail only if nothing exists."""
     missing = missing_partitions(spark, root, expected)
     data = read_feed_range(spark, root, start, end, streams)
-    if data.select("date").limit(1).count() == 0:
+    if data.select("GKGRECORDID").limit(1).count() == 0:
         raise FileNotFoundError(f"no feed files under {root} for {start}..{end}")
     return data, missing
 

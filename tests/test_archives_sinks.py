@@ -1,0 +1,73 @@
+"""ZIP members as data, partitioned sinks, JSON export, observed counts."""
+
+import json
+import os
+import zipfile
+
+from pyspark.sql import functions as F
+
+from limelight.sinks.writers import export_json, observed_counts, write_partitioned_overwrite, write_year_snapshot
+from limelight.sources.archives import archive_lines, archive_status, raw_rows_from_lines
+from limelight.sources.snapshots import read_day_summaries, read_union_by_name, read_yearly_snapshots
+
+
+def test_zip_members_and_bad_archive(spark, tmp_path):
+    root = tmp_path / "zips"
+    root.mkdir()
+    with zipfile.ZipFile(root / "20250101000000.gkg.csv.zip", "w") as zf:
+        zf.writestr("20250101000000.gkg.csv", "1\t20250101000000\t1\tsrc\n2\t20250101001500\n")
+    (root / "broken.gkg.csv.zip").write_bytes(b"not a zip")
+    status = {os.path.basename(r.zip_path): r for r in archive_status(spark, str(root)).collect()}
+    assert status["20250101000000.gkg.csv.zip"].unzip_status == "extracted"
+    assert status["20250101000000.gkg.csv.zip"].csv_size_bytes > 0
+    assert status["broken.gkg.csv.zip"].unzip_status == "unzip_failed"
+    rows = raw_rows_from_lines(archive_lines(spark, str(root))).orderBy("GKGRECORDID").collect()
+    assert [(r.GKGRECORDID, r.DATE, r.SourceCommonName, r.Extras) for r in rows] == [
+        ("1", "20250101000000", "src", None), ("2", "20250101001500", None, None)]
+
+
+def test_dynamic_overwrite_keeps_other_partitions(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    first = spark.createDataFrame([("a", "2025-01-01"), ("b", "2025-01-02")], "v string, d string")
+    write_partitioned_overwrite(first, path, ["d"])
+    write_partitioned_overwrite(spark.createDataFrame([("c", "2025-01-02")], "v string, d string"), path, ["d"])
+    got = sorted((str(r.d), r.v) for r in spark.read.parquet(path).collect())
+    assert got == [("2025-01-01", "a"), ("2025-01-02", "c")]
+
+
+def test_year_snapshot_sorted_and_replaced(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    df = spark.createDataFrame([("2024-03-01", 3), ("2024-01-01", 1), ("2025-01-01", 9)], "date string, views long") \
+        .withColumn("date", F.col("date").cast("date"))
+    write_year_snapshot(df, root, "wikipedia", "date", ["date"])
+    write_year_snapshot(df.filter("year(date) = 2025").withColumn("views", F.lit(10).cast("long")), root, "wikipedia", "date", ["date"])
+    got = sorted((str(r.date), r.views, r.year) for r in read_yearly_snapshots(spark, root, "wikipedia").collect())
+    assert got == [("2024-01-01", 1, 2024), ("2024-03-01", 3, 2024), ("2025-01-01", 10, 2025)]
+
+
+def test_export_json_keeps_nulls_and_formats_dates(spark, tmp_path):
+    df = spark.createDataFrame([("2025-01-05", None, "é"), ("2025-01-12", 2.5, "b")], "week_start string, v double, s string") \
+        .withColumn("week_start", F.col("week_start").cast("date"))
+    out = str(tmp_path / "weekly")
+    export_json(df, out, ["week_start"], ["week_start"])
+    lines = []
+    for name in sorted(os.listdir(out)):
+        if name.endswith(".json"):
+            lines += [json.loads(x) for x in open(os.path.join(out, name), encoding="utf-8") if x.strip()]
+    assert lines == [{"week_start": "2025-01-05", "v": None, "s": "é"}, {"week_start": "2025-01-12", "v": 2.5, "s": "b"}]
+
+
+def test_observed_counts_in_one_pass(spark, tmp_path):
+    df = spark.range(10).withColumn("bad", F.col("id") % 3 == 0)
+    observed, obs = observed_counts(df, "run", rows=F.count(F.lit(1)), rejected=F.count_if("bad"))
+    observed.write.mode("overwrite").parquet(str(tmp_path / "o"))
+    assert obs.get == {"rows": 10, "rejected": 4}
+
+
+def test_union_by_name_and_empty_summaries(spark, tmp_path):
+    a, b = str(tmp_path / "logs" / "run=1"), str(tmp_path / "logs" / "run=2")
+    spark.createDataFrame([(1, "x")], "id int, s string").write.parquet(a)
+    spark.createDataFrame([(2, 3.5)], "id int, extra double").write.parquet(b)
+    merged = read_union_by_name(spark, str(tmp_path / "logs"))
+    assert set(merged.columns) >= {"id", "s", "extra", "run"} and merged.count() == 2
+    assert read_day_summaries(spark, str(tmp_path / "missing")).count() == 0

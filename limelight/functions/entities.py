@@ -12,36 +12,37 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from limelight.functions._util import col_of
-from limelight.functions.text import clean_folded, strip_marks_array
+from limelight.functions.text import fold_targets_udf
 
-ENTRY_SPLIT = r"(?s)^(.*),([^,]*)$"
-_WS = r"^\s+|\s+$"
+
+# One entry: optional blanks, a name that ends in a non-blank, blanks, the last
+# comma of the entry, blanks, digits only, blanks, then ``;`` or the end. A
+# later comma cannot be followed by digits-only, so the split is on the last one.
+# Blanks are Unicode White_Space (Python's ``strip`` also removes U+001C-U+001F).
+_W = r"\p{IsWhite_Space}"
+ENTRY_PATTERN = f"(?:^|;){_W}*([^;]*?[^;{_W}]){_W}*,{_W}*([0-9]+){_W}*(?=;|$)"
 
 
 def parse_offset_entries(value) -> Column:
     """``;``-split, split on the last comma, lower-cased trimmed name, all-digit
-    offset; malformed entries are skipped; NULL -> empty array."""
-    raw = F.split(F.coalesce(col_of(value), F.lit("")), ";")
-    trimmed = F.transform(raw, lambda e: F.regexp_replace(e, _WS, ""))
-    with_comma = F.filter(trimmed, lambda e: F.instr(e, ",") > 0)
-    pairs = F.transform(
-        with_comma,
-        lambda e: F.struct(
-            F.regexp_replace(F.lower(F.regexp_extract(e, ENTRY_SPLIT, 1)), _WS, "").alias("name"),
-            F.regexp_replace(F.regexp_extract(e, ENTRY_SPLIT, 2), _WS, "").alias("off"),
-        ),
-    )
-    valid = F.filter(pairs, lambda p: p["off"].rlike("^[0-9]+$") & (p["name"] != ""))
-    typed = F.transform(valid, lambda p: F.struct(p["name"].alias("name"), p["off"].try_cast("bigint").alias("offset")))
-    return F.filter(typed, lambda p: p["offset"].isNotNull())
+    offset; malformed entries are skipped; NULL -> empty array.
+
+    Built from codegen-capable functions only: two ``regexp_extract_all`` passes
+    over the lower-cased string, an array cast and ``arrays_zip`` (no lambda is
+    evaluated per entry)."""
+    text = F.lower(F.coalesce(col_of(value), F.lit("")))
+    names = F.regexp_extract_all(text, F.lit(ENTRY_PATTERN), F.lit(1))
+    offsets = F.regexp_extract_all(text, F.lit(ENTRY_PATTERN), F.lit(2)).try_cast("array<bigint>")
+    return F.arrays_zip(names.alias("name"), F.coalesce(offsets, F.array().cast("array<bigint>")).alias("offset"))
 
 
 def names_of(entries) -> Column:
-    return F.transform(col_of(entries), lambda p: p["name"])
+    """Field of an array of structs as an array (no lambda)."""
+    return col_of(entries)["name"]
 
 
 def offsets_of(entries) -> Column:
-    return F.transform(col_of(entries), lambda p: p["offset"])
+    return col_of(entries)["offset"]
 
 
 def is_target_name(name: Column, token: str) -> Column:
@@ -52,16 +53,8 @@ def is_target_name(name: Column, token: str) -> Column:
 def normalize_targets(names, token: str, canonical: str) -> Column:
     """F8 + F7 over an array of lower-cased names: names with the token become
     ``canonical``; the rest are folded; names that fold to ``""`` are dropped."""
-    names = col_of(names)
-    folded = strip_marks_array(names)
-    zipped = F.arrays_zip(names.alias("raw"), folded.alias("folded"))
-    normalized = F.transform(
-        zipped,
-        lambda z: F.when(is_target_name(z["raw"], token), F.lit(canonical)).otherwise(
-            F.coalesce(clean_folded(z["folded"]), F.lit(""))
-        ),
-    )
-    return F.filter(normalized, lambda n: n != "")
+    folded = fold_targets_udf(token, canonical)(col_of(names))
+    return F.filter(folded, lambda n: n != "")
 
 
 def count_of(values, target: str) -> Column:

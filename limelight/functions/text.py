@@ -8,6 +8,7 @@ replacement and whitespace squeezing stay in the JVM.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -44,6 +45,40 @@ def strip_marks_array(values: pd.Series) -> pd.Series:
     return values.map(one)
 
 
+# Characters Python's ``str.strip()`` removes (``str.isspace``), for ``btrim``.
+PY_WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+_NON_ALNUM = re.compile(r"[^a-z0-9]+")
+
+
+def fold_name(text: str) -> str:
+    """F7 in Python for one string: NFKD, drop marks, lower, non [a-z0-9] -> space, squeeze."""
+    return _NON_ALNUM.sub(" ", _strip_marks(text).lower()).strip()
+
+
+def fold_targets_udf(token: str, canonical: str):
+    """F8 + F7 over an array of lower-cased names as one Arrow UDF: names with the
+    token become ``canonical``, the rest are folded. Results are memoised per
+    batch (a text repeats the same words many times)."""
+    token = token.lower()
+
+    @pandas_udf(ArrayType(StringType()))
+    def fold(values: pd.Series) -> pd.Series:
+        memo: dict[str, str] = {}
+
+        def one(name):
+            if name is None:
+                return ""
+            out = memo.get(name)
+            if out is None:
+                out = canonical if token in name else fold_name(name)
+                memo[name] = out
+            return out
+
+        return values.map(lambda arr: None if arr is None else [one(v) for v in arr])
+
+    return fold
+
+
 def clean_folded(value) -> Column:
     """JVM tail of F7 on already decomposed text: lower, non [a-z0-9] -> space, squeeze, trim."""
     lowered = F.lower(col_of(value))
@@ -63,7 +98,7 @@ def squeeze_whitespace(value) -> Column:
 
 def strip_ws(value) -> Column:
     """Python ``str.strip()``: trim all leading/trailing whitespace, not only spaces."""
-    return F.regexp_replace(col_of(value), r"^\s+|\s+$", "")
+    return F.btrim(col_of(value), F.lit(PY_WHITESPACE))
 
 
 def strict_int(value) -> Column:

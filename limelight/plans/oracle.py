@@ -40,7 +40,7 @@ def canonical_url(expr: str) -> str:
 def packed(words: str, only_capitalized: bool) -> str:
     indexed = f"list_transform({words}, lambda w, i: {{'w': w, 'i': i - 1}})"
     if only_capitalized:
-        indexed = f"list_filter({indexed}, lambda s: regexp_matches(s.w, '^\\p{{Lu}}'))"
+        indexed = f"list_filter({indexed}, lambda s: left(s.w, 1) <> lower(left(s.w, 1)))"
     return f"array_to_string(list_transform({indexed}, lambda s: s.w || ',' || CAST(s.i AS VARCHAR)), ';')"
 
 

@@ -52,16 +52,31 @@ def _case(col: Column, mapping: dict[str, str], default=None) -> Column:
     return expr.otherwise(F.lit(default)) if default is not None else expr
 
 
+def capitalized(word: Column) -> Column:
+    """First character changes under lower-casing (an upper-case letter)."""
+    first = F.substring(word, 1, 1)
+    return first != F.lower(first)
+
+
 def packed_words(words: Column, only_capitalized: bool = False) -> Column:
-    """``word,position;...`` over a word array (position is 0-based)."""
-    indexed = F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
-    if only_capitalized:
-        indexed = F.filter(indexed, lambda s: s["w"].rlike(r"^\p{Lu}"))
-    return F.array_join(F.transform(indexed, lambda s: F.concat(s["w"], F.lit(","), s["i"].cast("string"))), ";")
+    """``word,position;...`` over a word array (position is 0-based), one lambda pass;
+    ``array_join`` skips the NULLs of words that are not kept."""
+    def entry(w, i):
+        e = F.concat(w, F.lit(","), i.cast("string"))
+        return F.when(capitalized(w), e) if only_capitalized else e
+
+    return F.array_join(F.transform(words, entry), ";")
+
+
+def spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a table whose scan is a few large splits (e.g. one Parquet row
+    group) before CPU-heavy per-row work, into ``spark.sql.shuffle.partitions``
+    parts; a table that already arrives in many splits gains nothing from this."""
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.col(key))
 
 
 def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    d = spread(spark, table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
     e = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     j = d.join(e, e.event_id == d.doc_id * 5)
     words = F.split(F.col("text"), r"\s+")

@@ -3,8 +3,8 @@
 ``add_salience`` appends the 12 salience columns with column expressions over
 in-row arrays. It is a narrow transformation (no shuffle): at any scale the
 cost per article is bounded by the length of its own entity lists. The only
-Python step is Unicode decomposition of names (Arrow-batched, see
-``functions.text``).
+Python step is the name count (Unicode decomposition has no Spark function):
+one Arrow-batched UDF returns two integers per article (``functions.text``).
 """
 
 from __future__ import annotations
@@ -12,16 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limelight.functions.entities import (
-    count_of,
-    is_target_name,
-    max_multiplicity,
-    names_of,
-    normalize_targets,
-    offsets_of,
-    parse_offset_entries,
-)
+from limelight.functions.entities import is_target_name, names_of, offsets_of, parse_offset_entries
 from limelight.functions.labels import salience_class
+from limelight.functions.text import target_counts_udf
 from limelight.functions.urls import url_contains_token
 
 # Fixed values that must equal the reference for equal results.
@@ -72,16 +65,18 @@ def add_salience(
     }
     out = df.withColumns(tmp)
     player = F.filter(F.concat("_p", "_n"), lambda e: is_target_name(e["name"], token))
+    counts = target_counts_udf(token, canonical)
     out = out.withColumns({
         "first_player_offset": F.array_min(offsets_of(player)),
         "max_entity_offset": F.array_max(offsets_of(F.concat("_p", "_n", "_o", "_t"))),
-        "_pc": normalize_targets(names_of("_p"), token, canonical),
-        "_nc": normalize_targets(names_of("_n"), token, canonical),
+        "_pc": counts(names_of("_p")),
+        "_nc": counts(names_of("_n")),
     })
-    in_persons = count_of("_pc", canonical) > 0
+    in_persons = F.col("_pc.mentions") > 0
     out = out.withColumns({
-        "player_mentions": F.when(in_persons, count_of("_pc", canonical)).otherwise(count_of("_nc", canonical)).cast("bigint"),
-        "max_mentions_of_any_person": F.when(in_persons, max_multiplicity("_pc")).otherwise(max_multiplicity("_nc")).cast("bigint"),
+        "player_mentions": F.when(in_persons, F.col("_pc.mentions")).otherwise(F.col("_nc.mentions")).cast("bigint"),
+        "max_mentions_of_any_person": F.when(in_persons, F.col("_pc.max_mentions"))
+        .otherwise(F.col("_nc.max_mentions")).cast("bigint"),
         "url_player_signal": url_contains_token(url, token),
     })
     first, last = F.col("first_player_offset"), F.col("max_entity_offset")

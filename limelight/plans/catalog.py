@@ -928,3 +928,12 @@ def q_article_urls(spark, sf):
     from limelight.functions.urls import article_url
     d = T.table(spark, sf, "documents")
     return d.select("lang", article_url("source", "lang").alias("article_url")).distinct()
+
+
+@register("date_between", "P4", O.with_ctes(*OBS) + """
+SELECT stream, gdelt_date, count(*) AS observations FROM obs
+WHERE gdelt_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY ALL""")
+def q_date_between(spark, sf):
+    from limelight.operators.filters import date_between
+    obs = date_between(T.observations(spark, sf), "gdelt_date", "2024-01-05", "2024-01-20")
+    return obs.groupBy("stream", "gdelt_date").agg(F.count(F.lit(1)).alias("observations"))

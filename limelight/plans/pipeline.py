@@ -65,6 +65,12 @@ def extract_candidates(raw: DataFrame, token: str = REFERENCE_TOKEN,
     return good, bad
 
 
+def parse_timestamps_only(raw: DataFrame, token: str = REFERENCE_TOKEN,
+                          search_columns: list[str] = SEARCH_TEXT_COLUMNS) -> DataFrame:
+    """Candidate rows with parsed ``gkg_datetime``/``gkg_date`` (valid and invalid)."""
+    return parse_timestamps(raw.filter(any_column_contains(search_columns, token)))
+
+
 def extraction_counts(raw: DataFrame, token: str = REFERENCE_TOKEN,
                       search_columns: list[str] = SEARCH_TEXT_COLUMNS) -> DataFrame:
     """K10 as a query: output rows and rejected rows of one extraction, one pass."""

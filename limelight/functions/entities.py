@@ -53,8 +53,7 @@ def is_target_name(name: Column, token: str) -> Column:
 def normalize_targets(names, token: str, canonical: str) -> Column:
     """F8 + F7 over an array of lower-cased names: names with the token become
     ``canonical``; the rest are folded; names that fold to ``""`` are dropped."""
-    folded = fold_targets_udf(token, canonical)(col_of(names))
-    return F.filter(folded, lambda n: n != "")
+    return fold_targets_udf(token, canonical)(col_of(names))
 
 
 def count_of(values, target: str) -> Column:

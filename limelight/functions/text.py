@@ -1,9 +1,11 @@
 """Text column functions.
 
-Everything except the Unicode decomposition step of F7 is a JVM expression.
-Spark has no Unicode normalisation function, so the NFKD + drop-combining-mark
-step runs in one Arrow-batched pandas UDF; lower-casing, the character class
-replacement and whitespace squeezing stay in the JVM.
+Everything except Unicode decomposition (F7) is a JVM expression. Spark has
+no Unicode normalisation function, so that step runs in Arrow-batched UDFs:
+for scalar text the NFKD + drop-combining-mark step only (the rest stays in
+the JVM); for entity-name arrays the distinct names of each batch are folded
+once and everything else is Arrow compute (flatten, dictionary encode,
+group-by counts).
 """
 
 from __future__ import annotations
@@ -36,18 +38,6 @@ def strip_marks(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else _strip_marks(v))
 
 
-@pandas_udf(ArrayType(StringType()))
-def strip_marks_array(values: pd.Series) -> pd.Series:
-    """Same as ``strip_marks`` applied to every element of an array column."""
-
-    def one(arr):
-        if arr is None:
-            return None
-        return [None if v is None else _strip_marks(v) for v in arr]
-
-    return values.map(one)
-
-
 # Characters Python's ``str.strip()`` removes (``str.isspace``), for ``btrim``.
 PY_WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 _NON_ALNUM = re.compile(r"[^a-z0-9]+")
@@ -58,26 +48,40 @@ def fold_name(text: str) -> str:
     return _NON_ALNUM.sub(" ", _strip_marks(text).lower()).strip()
 
 
-def fold_targets_udf(token: str, canonical: str):
-    """F8 + F7 over an array of lower-cased names as one Arrow UDF: names with the
-    token become ``canonical``, the rest are folded. Results are memoised per
-    batch (a text repeats the same words many times)."""
-    token = token.lower()
+def _fold_flat(names: pa.Array, token: str, canonical: str):
+    """Flatten a ``list<string>`` batch and fold each element (F8 + F7), folding only
+    the distinct names in Python. Returns (folded values, parent row of each)."""
+    flat = pc.list_flatten(names)
+    parents = pc.list_parent_indices(names)
+    valid = pc.is_valid(flat)
+    flat, parents = pc.filter(flat, valid), pc.filter(parents, valid)
+    encoded = pc.dictionary_encode(flat)
+    distinct = encoded.dictionary.to_pylist()
+    folded = pa.array([canonical if token in u else fold_name(u) for u in distinct], pa.string())
+    return pc.take(folded, encoded.indices), parents
+
+
+def fold_targets_arrow(names: pa.Array, token: str, canonical: str) -> pa.Array:
+    """Per row: the folded names, target variants replaced by ``canonical`` and
+    names that fold to ``""`` dropped; NULL lists stay NULL."""
+    if isinstance(names, pa.ChunkedArray):
+        names = names.combine_chunks()
+    n = len(names)
+    values, parents = _fold_flat(names, token, canonical)
+    keep = pc.not_equal(values, "")
+    values, parents = pc.filter(values, keep), pc.filter(parents, keep)
+    per_row = np.bincount(parents.to_numpy(), minlength=n) if len(parents) else np.zeros(n, dtype=np.int64)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, values, mask=pc.is_null(names))
 
-    @pandas_udf(ArrayType(StringType()))
-    def fold(values: pd.Series) -> pd.Series:
-        memo: dict[str, str] = {}
 
-        def one(name):
-            if name is None:
-                return ""
-            out = memo.get(name)
-            if out is None:
-                out = canonical if token in name else fold_name(name)
-                memo[name] = out
-            return out
+def fold_targets_udf(token: str, canonical: str):
+    """F8 + F7 over an array of lower-cased names as one Arrow UDF (see ``fold_targets_arrow``)."""
+    token = token.lower()
 
-        return values.map(lambda arr: None if arr is None else [one(v) for v in arr])
+    @arrow_udf(ArrayType(StringType()))
+    def fold(names: pa.Array) -> pa.Array:
+        return fold_targets_arrow(names, token, canonical)
 
     return fold
 
@@ -94,16 +98,10 @@ def target_counts_arrow(names: pa.Array, token: str, canonical: str) -> pa.Struc
     n = len(names)
     mentions = np.zeros(n, dtype=np.int64)
     tops = np.zeros(n, dtype=np.int64)
-    flat = pc.list_flatten(names)
-    if len(flat):
-        parents = pc.list_parent_indices(names)
-        valid = pc.is_valid(flat)
-        flat, parents = pc.filter(flat, valid), pc.filter(parents, valid)
-        encoded = pc.dictionary_encode(flat)
-        distinct = encoded.dictionary.to_pylist()
-        folded = pa.array([canonical if token in u else fold_name(u) for u in distinct], pa.string())
-        folded_enc = pc.dictionary_encode(folded)
-        keys = pc.take(folded_enc.indices, encoded.indices)
+    values, parents = _fold_flat(names, token, canonical)
+    if len(values):
+        folded_enc = pc.dictionary_encode(values)
+        keys = folded_enc.indices
         labels = folded_enc.dictionary.to_pylist()
         if "" in labels:
             keep = pc.not_equal(keys, labels.index(""))

@@ -57,6 +57,25 @@ def rows_of(df: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {
+    "LongType": "BIGINT", "IntegerType": "INTEGER", "ShortType": "SMALLINT", "ByteType": "TINYINT",
+    "DoubleType": "DOUBLE", "FloatType": "FLOAT", "StringType": "VARCHAR", "DateType": "DATE",
+    "TimestampType": "TIMESTAMP", "TimestampNTZType": "TIMESTAMP", "BooleanType": "BOOLEAN",
+}
+
+
+def type_mismatches(spark_df, sql: str, con) -> dict:
+    """Columns whose Spark type does not correspond to the oracle's DuckDB type."""
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    out = {}
+    for f in spark_df.schema.fields:
+        want = SPARK_TO_DUCK.get(type(f.dataType).__name__, f.dataType.simpleString().upper())
+        got = duck_types.get(f.name)
+        if got is not None and got != want:
+            out[f.name] = (f.dataType.simpleString(), got)
+    return out
+
+
 def compare(spark_df, sql: str, con) -> dict:
     s = spark_df.toPandas()
     d = con.execute(sql).df()
@@ -69,6 +88,7 @@ def compare(spark_df, sql: str, con) -> dict:
         res["cols_oracle"] = sorted(d.columns)
         res["match"] = False
         return res
+    res["type_mismatches"] = type_mismatches(spark_df, sql, con)
     rs, rd = rows_of(s), rows_of(d)
     res["match"] = rs == rd
     if not res["match"]:

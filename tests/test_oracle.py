@@ -22,3 +22,4 @@ def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     res = compare(df, entry.oracle_sql()[name], con)
     assert res["match"], res
+    assert not res.get("type_mismatches"), res

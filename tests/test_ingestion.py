@@ -1,8 +1,6 @@
 """Manifest, skip rule, failure runs and ready flags (the reference's ingestion cases)."""
 
-import datetime as dt
 
-from pyspark.sql import functions as F
 
 from limelight.functions.labels import fetch_status, ready_flag
 from limelight.operators.streaks import failure_runs

@@ -6,7 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from limelight.operators.spikes import detect_spikes, index_to_peak, signals_long, spikes_from_long, SignalSpec
+from limelight.operators.spikes import SignalSpec, index_to_peak, signals_long, spikes_from_long
 from limelight.operators.streaks import keyed_run, keyed_run_naive, run_sum, zero_streak
 
 

@@ -1,7 +1,5 @@
 """Manifest, skip rule, failure runs and ready flags (the reference's ingestion cases)."""
 
-
-
 from limelight.functions.labels import fetch_status, ready_flag
 from limelight.operators.streaks import failure_runs
 from limelight.sources.spines import calendar_days, expected_file_manifest, files_to_fetch

@@ -937,3 +937,24 @@ def q_date_between(spark, sf):
     from limelight.operators.filters import date_between
     obs = date_between(T.observations(spark, sf), "gdelt_date", "2024-01-05", "2024-01-20")
     return obs.groupBy("stream", "gdelt_date").agg(F.count(F.lit(1)).alias("observations"))
+
+
+@register("shipments_within_period", "A7 J4 P6", f"""
+SELECT l_returnflag, l_linestatus, count(*) AS shipments, {r('sum(l_extendedprice)', 'revenue')},
+  min(CAST(l_shipdate AS DATE)) AS first_ship, max(CAST(l_shipdate AS DATE)) AS last_ship
+FROM lineitem CROSS JOIN (
+  SELECT min(CAST(o_orderdate AS DATE)) AS start_date, max(CAST(o_orderdate AS DATE)) AS end_date
+  FROM orders WHERE o_orderpriority = '1-URGENT') b
+WHERE CAST(l_shipdate AS DATE) BETWEEN b.start_date AND b.end_date
+GROUP BY ALL""")
+def q_shipments_within_period(spark, sf):
+    from limelight.operators.filters import within_period
+    from limelight.operators.metrics import period_bounds
+    o = T.table(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT") \
+        .select(F.col("o_orderdate").cast("date").alias("date"))
+    li = T.table(spark, sf, "lineitem").select(
+        "l_returnflag", "l_linestatus", "l_extendedprice", F.col("l_shipdate").cast("date").alias("ship_date"))
+    inside = within_period(li, "ship_date", period_bounds(o, "date"))
+    return rounded(inside.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("shipments"), F.sum("l_extendedprice").alias("revenue"),
+        F.min("ship_date").alias("first_ship"), F.max("ship_date").alias("last_ship")))

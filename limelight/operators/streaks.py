@@ -84,9 +84,14 @@ def keyed_run(df: DataFrame, keys: list[str], order_by: list[str], reset: Column
         "_prev_cs": F.col("_cs") - F.col("_tail"),
         "_reset_base": F.last(F.when(F.col("_has_reset") == 1, F.col("_cs") - F.col("_tail")), ignorenulls=True).over(before),
     })
-    carry = summary.select(*part, (F.col("_prev_cs") - F.coalesce(F.col("_reset_base"), F.lit(0))).alias("_carry"))
-
-    joined = rows.join(carry, part, "left")
+    carry = summary.select(
+        *[F.col(c).alias(f"_ck{i}") for i, c in enumerate(part)],
+        (F.col("_prev_cs") - F.coalesce(F.col("_reset_base"), F.lit(0))).alias("_carry"),
+    )
+    # Null-safe equality: a NULL key (or a NULL chunk from a NULL order value) is a
+    # group of its own in the windows, so it must find its carry too.
+    cond = [rows[c].eqNullSafe(carry[f"_ck{i}"]) for i, c in enumerate(part)]
+    joined = rows.join(carry, cond, "left").drop(*[f"_ck{i}" for i in range(len(part))])
     value = F.when(F.col("_seen") == 1, F.col("_local")).otherwise(F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0)))
     return joined.withColumn(out, value).drop("_chunk", "_reset", "_inc0", "_inc", "_cum", "_seen", "_base", "_local", "_carry")
 

@@ -40,10 +40,10 @@ def test_chunked_equals_naive_with_hot_key(spark):
     rnd = random.Random(11)
     rows = []
     for i in range(3000):
-        key = 0 if i < 1000 else rnd.randint(1, 60)
-        rows.append((key, i, rnd.random() < 0.3, rnd.choice([0, 0, 1, 2])))
-    df = spark.createDataFrame(rows, "k int, i int, reset boolean, inc int") \
-        .withColumn("ts", F.timestamp_seconds(F.col("i") * 3600))
+        key = 0 if i < 1000 else (None if i % 97 == 0 else rnd.randint(1, 60))
+        rows.append((key, i, rnd.random() < 0.3, rnd.choice([0, 0, 1, 2]), i % 211 == 0))
+    df = spark.createDataFrame(rows, "k int, i int, reset boolean, inc int, no_ts boolean") \
+        .withColumn("ts", F.when(~F.col("no_ts"), F.timestamp_seconds(F.col("i") * 3600)))
     naive = keyed_run_naive(df, ["k"], ["ts", "i"], F.col("reset"), F.col("inc"), "v")
     chunked = keyed_run(df, ["k"], ["ts", "i"], F.col("reset"), F.col("inc"), "v", F.to_date("ts"))
     a = {(r.k, r.i): r.v for r in naive.collect()}

@@ -129,7 +129,9 @@ def q_canonical_url(spark, sf):
 SELECT page_id, variant, url, canonical_url FROM (
   SELECT *, row_number() OVER (PARTITION BY canonical_url ORDER BY page_id ASC NULLS LAST, variant ASC NULLS LAST) AS rn
   FROM (SELECT *, {O.canonical_url('url')} AS canonical_url FROM urls) WHERE canonical_url IS NOT NULL
-) WHERE rn = 1""")
+) WHERE rn = 1
+UNION ALL SELECT page_id, variant, url, canonical_url FROM (SELECT *, {O.canonical_url('url')} AS canonical_url FROM urls)
+WHERE canonical_url IS NULL""")
 def q_dedup_canonical(spark, sf):
     from limelight.functions.urls import canonicalize_url
     from limelight.operators.dedup import dedup_keep_first
@@ -138,7 +140,9 @@ def q_dedup_canonical(spark, sf):
 
 
 @register("dedup_metrics", "A25", O.with_ctes(*SILVER[:3]) + f"""
-SELECT count(*) AS candidate_rows, count(*) - count(DISTINCT ck) AS removed_rows, count(DISTINCT ck) AS retained_rows
+SELECT count(*) AS candidate_rows,
+  count(*) - (count(DISTINCT ck) + count(*) FILTER (WHERE ck IS NULL)) AS removed_rows,
+  count(DISTINCT ck) + count(*) FILTER (WHERE ck IS NULL) AS retained_rows
 FROM (SELECT {O.canonical_url('DocumentIdentifier')} AS ck FROM bronze)""")
 def q_dedup_metrics(spark, sf):
     from limelight.functions.urls import canonicalize_url

@@ -113,6 +113,7 @@ dedup AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY canonical_url ORDER BY {order}) AS rn
     FROM keyed WHERE canonical_url IS NOT NULL) WHERE rn = 1
+  UNION ALL SELECT * FROM keyed WHERE canonical_url IS NULL
 ),
 enriched AS (
   SELECT *,

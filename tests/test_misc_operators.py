@@ -66,3 +66,12 @@ def test_enforce_blocks_on_violation(spark):
     assert {r.check_name: r.violations for r in res.collect()} == {"k_not_null": 1, "k_unique": 1}
     with pytest.raises(CheckFailed):
         enforce(res)
+
+
+def test_dedup_with_metrics_counts_in_one_pass(spark):
+    from limelight.operators.dedup import dedup_with_metrics
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None), (5, None)], "o int, k string")
+    out, before, after = dedup_with_metrics(df, "k", ["o"])
+    got = sorted((r.k or "", r.o) for r in out.collect())
+    assert got == [("", 4), ("", 5), ("a", 1), ("b", 3)]
+    assert before.get == {"candidate_rows": 5} and after.get == {"retained_rows": 4}

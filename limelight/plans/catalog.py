@@ -897,12 +897,14 @@ def q_json_props(spark, sf):
 SELECT language, date, views FROM pageviews""")
 def q_pageviews_payload(spark, sf):
     """Round trip through the collector's JSON payload shape: one payload per
-    language built from the pageview rows, then parsed back by S10."""
+    language and month (at most 31 items per group) built from the pageview
+    rows, then parsed back by S10."""
     from limelight.sources.payloads import parse_pageviews
     pv = T.pageviews(spark, sf)
     items = F.sort_array(F.collect_list(F.struct(
         F.concat(F.date_format("date", "yyyyMMdd"), F.lit("00")).alias("timestamp"), F.col("views").alias("views"))))
-    payloads = pv.groupBy("language").agg(F.to_json(F.struct(items.alias("items"))).alias("payload"))
+    payloads = pv.groupBy("language", F.trunc("date", "month").alias("month")) \
+        .agg(F.to_json(F.struct(items.alias("items"))).alias("payload"))
     return parse_pageviews(payloads, "payload", keep=["language"])
 
 

@@ -583,8 +583,10 @@ FROM gold_weekly w LEFT JOIN (
   FROM gold_matches GROUP BY 1) m USING (week_start)""")
 def q_week_collect(spark, sf):
     from limelight.operators.dashboard import week_to_matches
-    weeks = gold_weekly(spark, sf).select("week_start")
-    out = week_to_matches(weeks, gold_matches(spark, sf), "date", ["date", "goals", "score"])
+    daily = gold_daily(spark, sf)  # one lineage for both sides, so its exchanges are reused
+    weeks = P.gold_weekly(daily, T.trends(spark, sf)).select("week_start")
+    matches = P.gold_matches(T.matches(spark, sf), daily)
+    out = week_to_matches(weeks, matches, "date", ["date", "goals", "score"])
     return out.select(
         "week_start", F.size("matches").cast("bigint").alias("match_count"),
         F.try_element_at("matches", F.lit(1))["date"].alias("first_date"),

@@ -77,3 +77,15 @@ def test_index_to_peak(spark):
     assert got == {1: 50.0, 2: 0.0, 3: 100.0}
     zero = spark.createDataFrame([(1, 0), (2, None)], "w int, x int")
     assert [r.x_index for r in index_to_peak(zero, ["x"]).collect()] == [None, None]
+
+
+def test_peak_lookup_scales_listed_signals_only(spark):
+    from limelight.operators.spikes import peak_lookup
+    weekly = spark.createDataFrame(
+        [("2024-01-07", 50, 10), ("2024-01-14", 200, None), ("2024-01-21", None, 0)],
+        "week_start string, interest long, views long").withColumn("week_start", F.col("week_start").cast("date"))
+    spikes = spark.createDataFrame(
+        [("2024-01-14", "google_trends_global_interest", 200.0), ("2024-01-07", "wikipedia_en_views", 10.0)],
+        "week_start string, signal string, signal_value double").withColumn("week_start", F.col("week_start").cast("date"))
+    got = {r.signal: r.display_value for r in peak_lookup(spikes, weekly, {"google_trends_global_interest": "interest"}).collect()}
+    assert got == {"google_trends_global_interest": 100.0, "wikipedia_en_views": 10.0}

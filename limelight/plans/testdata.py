@@ -68,15 +68,17 @@ def packed_words(words: Column, only_capitalized: bool = False) -> Column:
     return F.array_join(F.transform(words, entry), ";")
 
 
-def spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+def spread(spark: SparkSession, df: DataFrame, key: Column) -> DataFrame:
     """Hash-partition a table whose scan is a few large splits (e.g. one Parquet row
     group) before CPU-heavy per-row work, into ``spark.sql.shuffle.partitions``
-    parts; a table that already arrives in many splits gains nothing from this."""
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.col(key))
+    parts. Partitioning by the expression of the following join key means a
+    sort-merge join reuses this shuffle instead of adding a second one."""
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spread(spark, table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    d = spread(spark, docs, F.col("doc_id") * 5)
     e = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     j = d.join(e, e.event_id == d.doc_id * 5)
     words = F.split(F.col("text"), r"\s+")

@@ -52,9 +52,13 @@ def url_contains_token(value, token: str) -> Column:
 
 
 def encode_title(value) -> Column:
-    """Percent-encode a title like ``quote``: space as ``%20``, ``/`` kept."""
-    encoded = F.replace(F.url_encode(col_of(value)), F.lit("+"), F.lit("%20"))
-    return F.replace(encoded, F.lit("%2F"), F.lit("/"))
+    """Percent-encode a title like Python's ``quote``: UTF-8 escapes, space as
+    ``%20``, ``/`` and ``~`` kept, ``*`` escaped (``url_encode`` is form encoding,
+    which differs on exactly these characters)."""
+    encoded = F.url_encode(col_of(value))
+    for form, path in (("+", "%20"), ("%2F", "/"), ("%7E", "~"), ("*", "%2A")):
+        encoded = F.replace(encoded, F.lit(form), F.lit(path))
+    return encoded
 
 
 def article_url(title, language, site: str = "wikipedia.org") -> Column:

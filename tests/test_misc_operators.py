@@ -52,6 +52,16 @@ def test_concat_tagged(spark):
     assert got == [("en", 1), ("fr", 2)]
 
 
+def test_encode_title_matches_quote(spark):
+    from urllib.parse import quote
+
+    from limelight.functions.urls import encode_title
+    titles = ["Kylian Mbappé", "a/b c", "x~y*z", "100% + more", "Ñandú (ave)", "it's", "a&b=c?d#e"]
+    df = spark.createDataFrame([(t,) for t in titles], "t string")
+    got = [r.e for r in df.select(encode_title("t").alias("e")).collect()]
+    assert got == [quote(t) for t in titles]
+
+
 def test_request_urls(spark):
     df = spark.createDataFrame([("Kylian Mbappé", "fr")], "t string, l string") \
         .withColumn("s", F.lit("2024-01-01").cast("date")).withColumn("e", F.lit("2024-01-31").cast("date"))

@@ -71,11 +71,14 @@ def materialize_gold(df: DataFrame, path: str, order_by: list[str] | None = None
     out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def export_json(df: DataFrame, path: str, date_cols: list[str], order_by: list[str]) -> None:
-    """K8: ordered JSON records, dates as ``YYYY-MM-DD``, NULL fields kept. Written
-    as JSON lines by the executors (``orderBy`` range-partitions, so part files
-    are in order); nothing is gathered into one task."""
-    out = df.withColumns({c: F.date_format(F.col(c), "yyyy-MM-dd") for c in date_cols}).orderBy(*order_by)
+def export_json(df: DataFrame, path: str, date_cols: list[str], order_by: list[str], decimals: int = 15) -> None:
+    """K8: ordered JSON records, dates as ``YYYY-MM-DD``, doubles with at most
+    ``decimals`` decimal places, NULL fields kept. Written as JSON lines by the
+    executors (``orderBy`` range-partitions, so part files are in order); nothing
+    is gathered into one task."""
+    doubles = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    out = df.withColumns({c: F.round(F.col(c), decimals) for c in doubles})
+    out = out.withColumns({c: F.date_format(F.col(c), "yyyy-MM-dd") for c in date_cols}).orderBy(*order_by)
     out.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 

@@ -926,7 +926,7 @@ def q_html_extract(spark, sf):
 SELECT language, count(*) AS rows, CAST(sum(views) AS BIGINT) AS total_views FROM pageviews GROUP BY language""")
 def q_collector_totals(spark, sf):
     from limelight.operators.metrics import collector_totals
-    return collector_totals(T.pageviews(spark, sf), "language", "views").withColumnRenamed("total_views", "total_views")
+    return collector_totals(T.pageviews(spark, sf), "language", "views")
 
 
 @register("article_urls", "F30", """

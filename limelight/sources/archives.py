@@ -24,19 +24,32 @@ MEMBER_SCHEMA = "zip_path string, member string, line_no bigint, line string"
 STATUS_SCHEMA = "zip_path string, unzip_status string, csv_size_bytes bigint, error_message string"
 
 
+LINES_PER_CHUNK = 100_000
+
+
 def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines of each archive, yielded in chunks of at most ``LINES_PER_CHUNK`` so a
+    task never holds more than one chunk of decompressed text at a time."""
+    cols = ["zip_path", "member", "line_no", "line"]
     for batch in batches:
-        rows = []
         for path, content in zip(batch["path"], batch["content"]):
             try:
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    for name in zf.namelist():
-                        text = zf.read(name).decode("utf-8", errors="replace")
-                        for i, line in enumerate(text.splitlines()):
-                            rows.append((path, name, i, line))
+                zf = zipfile.ZipFile(io.BytesIO(content))
             except (zipfile.BadZipFile, OSError, ValueError):
-                continue
-        yield pd.DataFrame(rows, columns=["zip_path", "member", "line_no", "line"])
+                continue  # reported by archive_status
+            with zf:
+                for name in zf.namelist():
+                    try:
+                        text = zf.read(name).decode("utf-8", errors="replace")
+                    except (zipfile.BadZipFile, OSError, ValueError):
+                        continue
+                    lines = text.splitlines()
+                    for start in range(0, len(lines), LINES_PER_CHUNK):
+                        part = lines[start:start + LINES_PER_CHUNK]
+                        yield pd.DataFrame({
+                            "zip_path": path, "member": name,
+                            "line_no": range(start, start + len(part)), "line": part,
+                        }, columns=cols)
 
 
 def _status(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from limelight.functions.dates import week_start as week_start_of
-from limelight.functions.numeric import negative_indicator, safe_ratio, weighted_mean
+from limelight.functions.numeric import negative_indicator, weighted_mean
 
 
 @dataclass(frozen=True)
@@ -27,7 +27,6 @@ class Segment:
 
 
 # Fixed values that must equal the reference for equal results.
-HIGH_SALIENCE_SCORE = 0.70
 ARTICLE_SEGMENTS = [
     Segment("english", "stream = 'regular'"),
     Segment("english_high_salience", "stream = 'regular' and salience_score >= 0.70"),
@@ -178,6 +177,3 @@ def collector_totals(df: DataFrame, key: str, value: str | None = None) -> DataF
         measures.append(F.sum(value).alias(f"total_{value}"))
     return df.groupBy(key).agg(*measures)
 
-
-def safe_share(num, den) -> Column:
-    return safe_ratio(num, den)

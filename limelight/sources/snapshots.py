@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
-    BooleanType,
     DateType,
     IntegerType,
     LongType,
@@ -35,8 +34,6 @@ OBSERVATION_SCHEMA = StructType([
     StructField("gcp_url", StringType()),
 ])
 
-READY_FLAGS_SCHEMA = StructType([StructField("is_ready", BooleanType())])
-
 
 def read_yearly_snapshots(spark: SparkSession, root: str, source: str) -> DataFrame:
     """The per-year files of one source as one table (``year`` from the path)."""

@@ -85,3 +85,13 @@ def test_dedup_with_metrics_counts_in_one_pass(spark):
     got = sorted((r.k or "", r.o) for r in out.collect())
     assert got == [("", 4), ("", 5), ("a", 1), ("b", 3)]
     assert before.get == {"candidate_rows": 5} and after.get == {"retained_rows": 4}
+
+
+def test_dedup_hot_key_keeps_the_first_row(spark):
+    from limelight.operators.dedup import dedup_keep_first
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        (3000 - F.col("id")).alias("o"), F.col("id"))
+    out = dedup_keep_first(df.repartition(8), "k", ["o", "id"])
+    hot = out.filter("k = 'hot'").collect()
+    assert out.count() == 2001 and [(r.o, r.id) for r in hot] == [(3, 2997)]

@@ -68,3 +68,13 @@ def test_empty_fields_are_null(spark, tmp_path):
     raw = read_feed_range(spark, root, "2025-01-01", "2025-01-01")
     r = raw.filter(F.col("GKGRECORDID") == "1").collect()[0]
     assert r.V2Persons is None and r.Persons == "KYLIAN MBAPPE"
+
+
+def test_feed_tag_from_file_path(spark, tmp_path):
+    from limelight.sources.raw_feed import read_raw_feed, source_tag_from_path
+    root = str(tmp_path / "lake")
+    make_lake(root)
+    leaf_dirs = [os.path.join(root, "date=2025-01-01", f"stream={s}") for s in ("regular", "translation")]
+    raw = read_raw_feed(spark, leaf_dirs).withColumn("stream", source_tag_from_path())
+    got = sorted((r.GKGRECORDID, r.stream) for r in raw.collect())
+    assert got == [("1", "regular"), ("2", "regular"), ("3", "regular"), ("4", "translation")]

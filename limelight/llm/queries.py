@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from limelight.llm import chat, common, decontamination, neardup, packing, quality, secrets
+from limelight.llm import chat, common, decontamination, neardup, packing, quality, secrets, substring, suffixes
 
 _t = common.table
 
 QUERIES = {
     "op1_minhash_neardup": lambda s, d: neardup.op1(_t(s, d, "documents")),
+    "op3_rlz_substring_dedup": lambda s, d: substring.op3(_t(s, d, "documents")),
+    "op4_columnwise_suffix_dedup": lambda s, d: suffixes.op4(_t(s, d, "documents")),
     "op5_grammar_secrets": lambda s, d: secrets.op5(_t(s, d, "documents")),
     "op7_factorization_quality": lambda s, d: quality.op7(_t(s, d, "documents"), _t(s, d, "labels")),
     "op8_event_sourced_chat": lambda s, d: chat.op8(s, _t(s, d, "conversations")),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from limelight.llm import chat, common, decontamination, neardup, packing, quality, secrets, substring, suffixes
+from limelight.llm import chat, common, decontamination, embeddings, neardup, packing, quality, secrets, substring, suffixes
 
 _t = common.table
 
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_rlz_substring_dedup": lambda s, d: substring.op3(_t(s, d, "documents")),
     "op4_columnwise_suffix_dedup": lambda s, d: suffixes.op4(_t(s, d, "documents")),
     "op5_grammar_secrets": lambda s, d: secrets.op5(_t(s, d, "documents")),
+    "op6_pigeonhole_embeddings": lambda s, d: embeddings.op6(_t(s, d, "embeddings")),
     "op7_factorization_quality": lambda s, d: quality.op7(_t(s, d, "documents"), _t(s, d, "labels")),
     "op8_event_sourced_chat": lambda s, d: chat.op8(s, _t(s, d, "conversations")),
     "op9_prefix_decontamination": lambda s, d: decontamination.op9(_t(s, d, "documents"), _t(s, d, "benchmark")),
@@ -18,6 +19,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op6_pigeonhole_embeddings": embeddings.SQL,
     "op8_event_sourced_chat": chat.SQL,
     "op9_prefix_decontamination": decontamination.SQL,
 }

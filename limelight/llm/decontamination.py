@@ -114,7 +114,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 10, block:
     """The rows of ``docs`` without the documents that hold a benchmark window; columns unchanged."""
     rows = docs.select(C.long_ids(), F.monotonically_increasing_id().alias("copy"), "text")
     found = C.cut(occurrences(rows, rarest_words(windows(items, size), rows, block), block).select(F.col("doc_id").alias("_doc")).distinct())
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")), "left_anti")
+    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_doc"]), "left_anti")
 
 
 op9 = contaminated

@@ -197,8 +197,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = K)
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without the documents that are near-duplicates of a smaller doc_id; columns unchanged."""
-    drop = near_duplicates(docs, n, percent).where("not kept").select(F.col("doc_id").alias("_drop")).distinct()
-    return docs.join(C.cut(drop), F.col("doc_id").cast("long") == F.col("_drop"), "left_anti")
+    drop = C.cut(near_duplicates(docs, n, percent).where("not kept").select(F.col("doc_id").alias("_drop")).distinct())
+    return docs.join(drop, docs["doc_id"].cast("long") == drop["_drop"], "left_anti")
 
 
 def op1(docs: DataFrame) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from limelight.llm import chat, common, decontamination, embeddings, neardup, packing, quality, secrets, substring, suffixes
+from limelight.llm import chat, common, decontamination, embeddings, neardup, packing, pii, quality, secrets, substring, suffixes
 
 _t = common.table
 
 QUERIES = {
     "op1_minhash_neardup": lambda s, d: neardup.op1(_t(s, d, "documents")),
+    "op2_pii_surrogates": lambda s, d: pii.op2(_t(s, d, "documents")),
     "op3_rlz_substring_dedup": lambda s, d: substring.op3(_t(s, d, "documents")),
     "op4_columnwise_suffix_dedup": lambda s, d: suffixes.op4(_t(s, d, "documents")),
     "op5_grammar_secrets": lambda s, d: secrets.op5(_t(s, d, "documents")),

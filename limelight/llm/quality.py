@@ -28,11 +28,15 @@ from pyspark.sql import functions as F
 from limelight.llm import common as C
 
 BUCKETS = 1 << 14
+# A word may end in a letter, a digit or one of these without being odd.
+_PLAIN = np.ones(256, bool)
+_PLAIN[33:48] = False
+_PLAIN[list(b".,:;!?\"')")] = True
 MARKS = b"!|%$#&*.,:;?-\"'()"
 
 
-def _stats(data, off, start, end, row, n):
-    """Structure statistics, one row per text; all 0 for an empty text."""
+def _stats(data, off, start, end, row, n, h):
+    """Structure statistics, one row per text; all 0 for an empty text. ``h`` has the words' hashes."""
     size = np.maximum(np.diff(off), 1).astype(float)
     which = np.searchsorted(off, np.arange(len(data)), "right") - 1
     share = lambda flag: np.bincount(which[flag], minlength=n) / size
@@ -42,10 +46,24 @@ def _stats(data, off, start, end, row, n):
     cols = [np.log1p(count), length / np.maximum(count, 1), np.log1p(size) * (np.diff(off) > 0),
             np.log1p(count / line), share((data >= 65) & (data <= 90)), share((data >= 48) & (data <= 57)),
             share(data >= 128), share(C.WHITE[data])]
+    words = np.maximum(count, 1)
+    again = np.append(False, (h[1:] == h[:-1]) & (row[1:] == row[:-1])) if len(h) else np.zeros(0, bool)
+    letters = np.append(0, np.cumsum((data >= 128) | ((data | 32) >= 97) & ((data | 32) <= 122)))
+    bare = letters[end] == letters[start]
+    caps = np.append(0, np.cumsum((data >= 97) & (data <= 122)))
+    loud = ~bare & (caps[end] == caps[start]) & (end - start > 1)
+    odd = ~bare & ~_PLAIN[data[end - 1]] if len(end) else bare
+    order = np.lexsort((h, row))  # equal words of a text side by side
+    hs, rs = h[order], row[order]
+    head = np.flatnonzero(np.append(True, (hs[1:] != hs[:-1]) | (rs[1:] != rs[:-1]))) if len(h) else np.zeros(0, np.int64)
+    kinds = np.bincount(rs[head], minlength=n)
+    most = np.zeros(n)
+    np.maximum.at(most, rs[head], np.diff(np.append(head, len(h))))
+    cols += [np.bincount(row[f], minlength=n) / words for f in (again, bare, loud, odd)] + [kinds / words, most / words, np.log1p(kinds)]
     return np.stack(cols + [share(data == m) for m in MARKS], 1)
 
 
-N_STATS = 8 + len(MARKS)
+N_STATS = 15 + len(MARKS)
 
 
 def features(col: pa.Array):
@@ -53,8 +71,9 @@ def features(col: pa.Array):
     data, off = C.text_buffer(col)
     n = len(off) - 1
     start, end, row = C.words(data, off)
-    stats = _stats(data, off, start, end, row, n)
-    bucket = (C.word_hashes(C.lower_ascii(data), start, end) % np.uint64(BUCKETS)).astype(np.int64)
+    h = C.word_hashes(C.lower_ascii(data), start, end)
+    stats = _stats(data, off, start, end, row, n, h)
+    bucket = (h % np.uint64(BUCKETS)).astype(np.int64)
     key, count = np.unique(row * BUCKETS + bucket, return_counts=True)
     r, b = key // BUCKETS, key % BUCKETS
     norm = np.sqrt(np.bincount(r, weights=count.astype(float) ** 2, minlength=n))
@@ -92,7 +111,7 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def fit(rows: list, rank: int = 8, epochs: int = 8, batch: int = 256, rate: float = 0.02, decay: float = 1e-5) -> Machine:
+def fit(rows: list, rank: int = 8, epochs: int = 8, batch: int = 256, rate: float = 0.02, decay: float = 1e-3) -> Machine:
     """Fit on collected rows (label, buckets, values, stats). Deterministic."""
     y = np.array([r["label"] for r in rows], float)
     stats = np.array([r["stats"] for r in rows], float).reshape(-1, N_STATS)

@@ -163,8 +163,10 @@ def dash_to_null(value) -> Column:
 
 
 def first_number(value, sep: str = ",") -> Column:
-    """first ``sep``-separated field as DOUBLE; malformed -> NULL."""
-    return F.split_part(col_of(value), F.lit(sep), F.lit(1)).try_cast("double")
+    """first ``sep``-separated field as DOUBLE; malformed -> NULL (also the Java
+    forms ``1.5f`` and ``2d``, which a cast alone would take)."""
+    field = F.split_part(col_of(value), F.lit(sep), F.lit(1))
+    return F.when(~field.rlike(r"[0-9.][fFdD]\s*$"), field.try_cast("double"))
 
 
 def source_language(info, stream, translated_stream: str = "translation", default: str = "eng") -> Column:

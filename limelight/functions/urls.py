@@ -9,7 +9,7 @@ contain spaces or ``|``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from limelight.functions._util import col_of
@@ -30,7 +30,10 @@ def url_parts(value) -> tuple[Column, Column, Column]:
 def canonicalize_url(value) -> Column:
     """host lower-cased without one leading ``www.``, path without trailing ``/``,
     non-empty query kept, scheme and fragment dropped; without host the path as is."""
-    host, path, query = url_parts(value)
+    return _joined(*url_parts(value))
+
+
+def _joined(host: Column, path: Column, query: Column) -> Column:
     host = F.lower(host)
     host = F.when(host.startswith("www."), F.substring(host, 5, 1 << 30)).otherwise(host)
     path = F.regexp_replace(path, r"/+$", "")
@@ -38,10 +41,18 @@ def canonicalize_url(value) -> Column:
     return F.when(query != "", F.concat(base, F.lit("?"), query)).otherwise(base)
 
 
+def with_canonical_url(df: DataFrame, value, out: str = "canonical_url") -> DataFrame:
+    """F3 as a column of ``df``: each part of the URL is extracted once, in a projection of its own."""
+    host, path, query = url_parts(value)
+    parts = df.withColumns({"_url_host": host, "_url_path": path, "_url_query": query})
+    return parts.withColumn(out, _joined(F.col("_url_host"), F.col("_url_path"), F.col("_url_query"))).drop(
+        "_url_host", "_url_path", "_url_query")
+
+
 def percent_decode(value) -> Column:
-    """``unquote``-like decoding: ``+`` stays ``+``; invalid escapes leave the text as is."""
+    """``unquote``-like decoding: ``+`` and a ``%`` without two hex digits stay as they are."""
     raw = col_of(value)
-    protected = F.replace(raw, F.lit("+"), F.lit("%2B"))
+    protected = F.replace(F.regexp_replace(raw, "%(?![0-9A-Fa-f]{2})", "%25"), F.lit("+"), F.lit("%2B"))
     return F.coalesce(F.try_url_decode(protected), raw)
 
 

@@ -30,10 +30,12 @@ def collapse_observations(obs: DataFrame, mode: str = "local", key: list[str] =
         "was_skipped": _flag(F.col("download_status") == "skipped"),
         "had_404": _flag(F.col("http_status") == 404),
     })
-    order = F.struct(F.col(run_col).isNull(), F.col(run_col))
+    def first(name):  # first value that is there, by run; ties by the value itself
+        return F.min_by(name, F.when(F.col(name).isNotNull(), F.struct(F.col(run_col).isNull(), F.col(run_col), F.col(name))))
+
     collapsed = flagged.groupBy(*key).agg(
-        F.min_by("gdelt_date", order).alias("gdelt_date"),
-        F.min_by("url", order).alias("url"),
+        first("gdelt_date").alias("gdelt_date"),
+        first("url").alias("url"),
         F.bool_or("was_downloaded").alias("was_downloaded"),
         F.bool_or("was_skipped").alias("was_skipped"),
         F.bool_or("had_404").alias("had_404"),

@@ -55,12 +55,13 @@ def played_only(df: DataFrame, minutes_col: str = "total_time") -> DataFrame:
 
 def within_period(df: DataFrame, column: str, bounds: DataFrame,
                   start_col: str = "start_date", end_col: str = "end_date") -> DataFrame:
-    """Keep rows whose ``column`` lies within the one-row ``bounds``.
+    """Keep rows whose ``column`` lies within ``bounds``.
 
-    ``bounds`` is a global aggregate, so it is one row by construction and safe
-    to broadcast; the nested-loop join against one row is a filter."""
+    The bounds go through a global aggregate here, so what is broadcast is one row
+    whatever the caller passes; the nested-loop join against one row is a filter."""
+    one_row = bounds.agg(F.min(start_col).alias(start_col), F.max(end_col).alias(end_col))
     return (
-        df.crossJoin(F.broadcast(bounds.select(start_col, end_col)))
+        df.crossJoin(F.broadcast(one_row))
         .filter(F.col(column).between(F.col(start_col), F.col(end_col)))
         .drop(start_col, end_col)
     )
@@ -88,8 +89,9 @@ def exclude_category(df: DataFrame, column: str, value) -> DataFrame:
 
 
 def threshold_split(df: DataFrame, column: str, threshold) -> tuple[DataFrame, DataFrame]:
-    """(rows >= threshold, rows < threshold); NULLs belong to neither."""
-    return df.filter(F.col(column) >= threshold), df.filter(F.col(column) < threshold)
+    """(rows >= threshold, rows < threshold); NULL compares as 0, as in ``scoring_split``."""
+    value = F.coalesce(F.col(column), F.lit(0))
+    return df.filter(value >= threshold), df.filter(value < threshold)
 
 
 def signal_in_lanes(df: DataFrame, lanes: list[str], signal_col: str = "signal",

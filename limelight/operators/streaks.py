@@ -15,7 +15,7 @@ monotone in the order, e.g. the month of the date):
 
 1. windows over ``(key, chunk)`` give each row its value *within* the chunk;
 2. a per-chunk summary (has a reset? increment after the last reset) is
-   aggregated on the same partitioning (no new shuffle);
+   aggregated on the same partitioning;
 3. a running scan over the small summary table (one row per chunk) gives the
    carry into each chunk;
 4. the carry is joined back on ``(key, chunk)`` and added to the rows before
@@ -34,19 +34,6 @@ def _cols(names):
     return [F.col(c) for c in names]
 
 
-def keyed_run_naive(df: DataFrame, keys: list[str], order_by: list[str], reset: Column, increment: Column,
-                    out: str) -> DataFrame:
-    """Single-window form: correct, but each key is one task. For small inputs and tests."""
-    w = Window.partitionBy(*keys).orderBy(*order_by)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tmp = df.withColumns({"_reset": F.coalesce(reset, F.lit(False)), "_inc": F.coalesce(increment, F.lit(0))})
-    tmp = tmp.withColumn("_inc", F.when(F.col("_reset"), F.lit(0)).otherwise(F.col("_inc")))
-    tmp = tmp.withColumn("_cum", F.sum("_inc").over(run))
-    tmp = tmp.withColumn("_base", F.last(F.when(F.col("_reset"), F.col("_cum")), ignorenulls=True).over(run))
-    value = F.when(F.col("_reset"), F.lit(0)).otherwise(F.col("_cum") - F.coalesce(F.col("_base"), F.lit(0)))
-    return tmp.withColumn(out, value).drop("_reset", "_inc", "_cum", "_base")
-
-
 def keyed_run(df: DataFrame, keys: list[str], order_by: list[str], reset: Column, increment: Column,
               out: str, chunk: Column) -> DataFrame:
     """Chunked, skew-tolerant form (see module doc). ``chunk`` must be monotone in ``order_by``."""
@@ -96,33 +83,24 @@ def keyed_run(df: DataFrame, keys: list[str], order_by: list[str], reset: Column
     return joined.withColumn(out, value).drop("_chunk", "_reset", "_inc0", "_inc", "_cum", "_seen", "_base", "_local", "_carry")
 
 
-def zero_streak(df: DataFrame, keys: list[str], order_by: list[str], hit: Column, chunk: Column | None = None,
+def zero_streak(df: DataFrame, keys: list[str], order_by: list[str], hit: Column, chunk: Column,
                 out: str = "zero_streak") -> DataFrame:
     """Length of the current run of non-hits; 0 on a hit."""
-    if chunk is None:
-        return keyed_run_naive(df, keys, order_by, hit, F.lit(1), out)
     return keyed_run(df, keys, order_by, hit, F.lit(1), out, chunk)
 
 
-def run_sum(df: DataFrame, keys: list[str], order_by: list[str], amount: Column, chunk: Column | None = None,
+def run_sum(df: DataFrame, keys: list[str], order_by: list[str], amount: Column, chunk: Column,
             out: str = "run_sum") -> DataFrame:
-    """Amount accumulated during the current run of positive amounts; 0 when the amount is 0."""
-    reset = F.coalesce(amount, F.lit(0)) == 0
-    if chunk is None:
-        return keyed_run_naive(df, keys, order_by, reset, amount, out)
-    return keyed_run(df, keys, order_by, reset, amount, out, chunk)
+    """Amount accumulated during the current run; an amount of 0 ends it, a NULL adds nothing."""
+    return keyed_run(df, keys, order_by, amount == 0, amount, out, chunk)
 
 
-def failure_runs(df: DataFrame, keys: list[str], order_by: list[str], status: str = "download_status",
-                 limit: int = 3, chunk: Column | None = None, out: str = "failure_run") -> DataFrame:
+def failure_runs(df: DataFrame, keys: list[str], order_by: list[str], chunk: Column, status: str = "download_status",
+                 limit: int = 3, out: str = "failure_run") -> DataFrame:
     """Consecutive failed downloads per worker, in order; ``downloaded`` and
     ``missing_upstream`` reset, ``skipped`` neither counts nor resets. Every row
     gets its current run length and ``breach`` = run >= ``limit``."""
     s = F.col(status)
     reset = s.isin("downloaded", "missing_upstream")
     increment = F.when(s == "download_failed", F.lit(1)).otherwise(F.lit(0))
-    if chunk is None:
-        out_df = keyed_run_naive(df, keys, order_by, reset, increment, out)
-    else:
-        out_df = keyed_run(df, keys, order_by, reset, increment, out, chunk)
-    return out_df.withColumn("breach", F.col(out) >= limit)
+    return keyed_run(df, keys, order_by, reset, increment, out, chunk).withColumn("breach", F.col(out) >= limit)

@@ -6,13 +6,13 @@ thresholds are parameters whose defaults are the reference's values.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from limelight.functions.text import first_number, source_language
-from limelight.functions.urls import canonicalize_url
+from limelight.functions.urls import with_canonical_url
 from limelight.operators.calendar import spine_left_joins
-from limelight.operators.dedup import ARTICLE_ORDER, dedup_keep_first
+from limelight.operators.dedup import ARTICLE_ORDER, dedup_keep_first, dedup_with_metrics
 from limelight.operators.filters import (
     any_column_contains,
     parse_timestamps,
@@ -34,6 +34,7 @@ from limelight.sources.raw_feed import BRONZE_COLUMNS, SEARCH_TEXT_COLUMNS
 REFERENCE_TOKEN = "mbapp"
 REFERENCE_CANONICAL = "kylian mbappe"
 
+# Output column names and their sources (fixed values as well).
 ARTICLE_COLUMNS = [
     "GKGRECORDID", "gkg_datetime", "gkg_date", "stream", "SourceCommonName", "DocumentIdentifier",
     "canonical_url", "TranslationInfo", "source_language", "tone", "Themes", "V2Themes", "Persons",
@@ -84,8 +85,19 @@ def extraction_counts(raw: DataFrame, token: str = REFERENCE_TOKEN,
 def process_articles(bronze: DataFrame, token: str = REFERENCE_TOKEN, canonical: str = REFERENCE_CANONICAL) -> DataFrame:
     """Bronze -> silver: canonical URL, keep-first dedup (W1), tone (F4),
     source language (F5), salience (F18); 17 base + 12 salience columns."""
-    keyed = bronze.withColumn("canonical_url", canonicalize_url("DocumentIdentifier"))
-    unique = dedup_keep_first(keyed, "canonical_url", ARTICLE_ORDER)
+    keyed = with_canonical_url(bronze, "DocumentIdentifier")
+    return _enriched(dedup_keep_first(keyed, "canonical_url", ARTICLE_ORDER), token, canonical)
+
+
+def process_articles_counted(bronze: DataFrame, token: str = REFERENCE_TOKEN,
+                             canonical: str = REFERENCE_CANONICAL) -> tuple[DataFrame, Observation, Observation]:
+    """``process_articles`` with the dedup counts (A25) observed during its action."""
+    keyed = with_canonical_url(bronze, "DocumentIdentifier")
+    unique, before, after = dedup_with_metrics(keyed, "canonical_url", ARTICLE_ORDER)
+    return _enriched(unique, token, canonical), before, after
+
+
+def _enriched(unique: DataFrame, token: str, canonical: str) -> DataFrame:
     enriched = unique.withColumns({
         "tone": first_number("V2Tone"),
         "source_language": source_language("TranslationInfo", "stream"),

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limelight.operators.quality import CheckSpec, enforce, run_checks
+from limelight.operators.quality import CheckSpec, dataset_qc, enforce, feed_qc, run_checks, score_qc
 from limelight.operators.spikes import detect_spikes
 from limelight.plans import pipeline as P
 from limelight.sinks.writers import (
@@ -33,6 +33,11 @@ class Layout:
         return "/".join([self.root.rstrip("/"), *parts])
 
 
+def write_summary(spark: SparkSession, layout: Layout, name: str, counts: dict) -> None:
+    """The counts of a run as one JSON row under ``runs/``."""
+    spark.createDataFrame([tuple(counts.values())], ", ".join(f"{k} long" for k in counts)).write.mode("overwrite").json(layout.path("runs", name))
+
+
 def run_bronze(spark: SparkSession, raw: DataFrame, layout: Layout, token: str = P.REFERENCE_TOKEN) -> dict:
     """Extraction: candidates to ``bronze/articles`` (by ``gkg_date``), rejects counted
     in the same pass."""
@@ -44,13 +49,20 @@ def run_bronze(spark: SparkSession, raw: DataFrame, layout: Layout, token: str =
     )
     bronze = observed.filter(F.col("gkg_datetime").isNotNull()).select(*P.BRONZE_COLUMNS)
     write_partitioned_overwrite(bronze, layout.path("bronze", "articles"), ["gkg_date"])
+    write_summary(spark, layout, "extraction", obs.get)
     return obs.get
 
 
 def run_silver(spark: SparkSession, layout: Layout, token: str = P.REFERENCE_TOKEN,
                canonical: str = P.REFERENCE_CANONICAL) -> None:
     bronze = spark.read.parquet(layout.path("bronze", "articles")).select(*P.BRONZE_COLUMNS)
-    write_silver(P.process_articles(bronze, token, canonical), layout.path("silver", "articles"))
+    counted, before, after = P.process_articles_counted(bronze, token, canonical)
+    write_silver(counted, layout.path("silver", "articles"))
+    candidates, retained = before.get["candidate_rows"], after.get["retained_rows"]
+    write_summary(spark, layout, "dedup", {"candidate_rows": candidates, "removed_rows": candidates - retained, "retained_rows": retained})
+    articles = spark.read.parquet(layout.path("silver", "articles"))
+    for name, table in (("dataset_qc", dataset_qc(articles)), ("feed_qc", feed_qc(articles)), ("score_qc", score_qc(articles))):
+        table.write.mode("overwrite").json(layout.path("runs", name))
 
 
 def run_gold(spark: SparkSession, layout: Layout, pageviews: DataFrame, trends: DataFrame, matches: DataFrame) -> None:

@@ -2,14 +2,16 @@
 
 Settings every job in this library relies on: UTC session time zone (dates
 are cut from timestamps), ANSI mode (bad casts raise unless ``try_*`` is
-used), adaptive execution with skew-join splitting, dynamic partition
-overwrite (sinks replace only the partitions they touch) and a shared
-checkpoint directory for lineage cuts.
+used), adaptive execution with skew-join splitting and dynamic partition
+overwrite (sinks replace only the partitions they touch). The package itself is
+added to the session's Python files, so that executors can import it wherever
+they run.
 """
 
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -35,7 +37,7 @@ def apply_conf(spark: SparkSession) -> SparkSession:
     for key, value in BASE_CONF.items():
         if key.startswith("spark.sql."):
             spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -56,22 +58,22 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint directory the cluster names in ``spark.checkpoint.dir``.
+def ship_package(spark: SparkSession) -> None:
+    """Add this package to the Python path of the executors, once per Spark context.
 
-    On a cluster that setting points at shared storage and is used as is. Only
-    when it is unset (local tests) a scratch directory is created.
-    """
+    Functions that run in Python workers are pickled by module name, so a worker
+    outside the source folder must be able to import the package."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    scratch = tempfile.mkdtemp(prefix="limelight-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(scratch)
-    return scratch
+    if getattr(sc, "_limelight_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="limelight-package-"))
+    source = os.path.join(folder, "source", os.path.basename(here))
+    shutil.copytree(here, source, ignore=shutil.ignore_patterns("__pycache__"))
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "limelight"), "zip", os.path.dirname(source)))
+    shutil.rmtree(os.path.join(folder, "source"))
+    sc._limelight_shipped = True

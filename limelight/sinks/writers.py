@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,8 +49,10 @@ def year_of(date_col: str) -> Column:
 
 def write_year_snapshot(df: DataFrame, root: str, source: str, date_col: str, sort_columns: list[str]) -> None:
     """K3 + O4: per-source table partitioned by year, each year replaced whole,
-    rows sorted inside every file."""
-    out = df.withColumn("year", year_of(date_col)).repartition("year").sortWithinPartitions(*sort_columns)
+    rows sorted inside every file. Rows are dealt by ranges of (year, sort columns),
+    so a large year is written by several tasks whose files follow one another."""
+    out = df.withColumn("year", year_of(date_col)).repartitionByRange("year", *sort_columns)
+    out = out.sortWithinPartitions("year", *sort_columns)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year").parquet(f"{root.rstrip('/')}/silver/{source}"))
 
@@ -72,14 +75,30 @@ def materialize_gold(df: DataFrame, path: str, order_by: list[str] | None = None
 
 
 def export_json(df: DataFrame, path: str, date_cols: list[str], order_by: list[str], decimals: int = 15) -> None:
-    """K8: ordered JSON records, dates as ``YYYY-MM-DD``, doubles with at most
-    ``decimals`` decimal places, NULL fields kept. Written as JSON lines by the
-    executors (``orderBy`` range-partitions, so part files are in order); nothing
-    is gathered into one task."""
+    """K8: one ordered JSON array of records, as the dashboard loads it: dates as
+    ``YYYY-MM-DD``, doubles with at most ``decimals`` decimal places, NULL fields
+    kept, one record a line. The exported gold tables have one row per week, spike
+    or match, so one text file holds them; larger tables go to ``export_json_lines``."""
+    rows = _json_rows(df, date_cols, decimals)
+    record = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value")
+    ordered = rows.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order_by)], record)
+    keys = [f"_k{i}" for i in range(len(order_by))]
+    listed = ordered.agg(F.sort_array(F.collect_list(F.struct(*keys, "value"))).alias("rows"))
+    body = F.array_join(F.transform("rows", lambda r: r["value"]), ",\n")
+    listed.select(F.concat(F.lit("["), body, F.lit("]")).alias("value")).write.mode("overwrite").text(path)
+
+
+def export_json_lines(df: DataFrame, path: str, date_cols: list[str], order_by: list[str], decimals: int = 15) -> None:
+    """K8 for tables of any size: the same records as JSON lines, written by the
+    executors (``orderBy`` range-partitions, so part files are in order)."""
+    out = _json_rows(df, date_cols, decimals).orderBy(*order_by)
+    out.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def _json_rows(df: DataFrame, date_cols: list[str], decimals: int) -> DataFrame:
     doubles = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
     out = df.withColumns({c: F.round(F.col(c), decimals) for c in doubles})
-    out = out.withColumns({c: F.date_format(F.col(c), "yyyy-MM-dd") for c in date_cols}).orderBy(*order_by)
-    out.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    return out.withColumns({c: F.date_format(F.col(c), "yyyy-MM-dd") for c in date_cols})
 
 
 def replace_partitions_from(spark: SparkSession, source: str, target: str, partition_col: str) -> int:
@@ -90,7 +109,9 @@ def replace_partitions_from(spark: SparkSession, source: str, target: str, parti
     rows. Returns the number of replaced partitions."""
     try:
         src = spark.read.option("pathGlobFilter", "*.parquet").parquet(source)
-    except Exception as e:  # missing or empty folder
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         raise FileNotFoundError(f"no parquet partitions under {source}") from e
     if partition_col not in src.columns or src.limit(1).count() == 0:
         raise FileNotFoundError(f"no parquet partitions under {source}")

@@ -1,20 +1,14 @@
-"""Collector payloads as DataFrames.
+"""Collector payloads as DataFrames.
 
-Payloads (one JSON/HTML document per request) arrive as a string column, one
-row per payload, so many payloads parse in parallel. JSON is parsed with
-``from_json`` against an explicit schema; HTML tables go through one
-``mapInPandas`` step with the standard-library HTML parser (the only part
-Spark has no expression for), which emits raw cell texts; typing, checks and
-quarantine are JVM expressions afterwards.
-"""
+Payloads (one JSON document per request) arrive as a string column, one row per
+payload, so many payloads parse in parallel with ``from_json`` against an
+explicit schema. Strict parsing (the default) fails on a payload without its
+list, as the reference does; ``strict=False`` skips such payloads, and
+``pageview_payload_errors`` / ``timeline_payload_errors`` return them. Match
+rows arrive as raw cell texts; typing, checks and rejects are JVM expressions."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-from html.parser import HTMLParser
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,11 +24,16 @@ WIDGETS_SCHEMA = "struct<widgets: array<struct<id: string, token: string, reques
 XSSI_GUARD = r"^\)\]\}'[^\n]*\n"
 
 
-def parse_pageviews(df: DataFrame, col: str = "payload", keep: list[str] | None = None) -> DataFrame:
-    """``{"items": [{"timestamp": "YYYYMMDDHH", "views": n}]}`` -> (date, views).
-    Payloads without an ``items`` list produce no rows; see ``pageview_payload_errors``."""
+def _required(items: Column, what: str, strict: bool) -> Column:
+    """``items``, or in strict mode an error at run time where it is NULL."""
+    return F.coalesce(items, F.raise_error(F.lit(f"payload without {what}"))) if strict else items
+
+
+def parse_pageviews(df: DataFrame, col: str = "payload", keep: list[str] | None = None, strict: bool = True) -> DataFrame:
+    """``{"items": [{"timestamp": "YYYYMMDDHH", "views": n}]}`` -> (date, views)."""
     keep = keep or []
-    parsed = df.select(*keep, F.from_json(F.col(col), PAGEVIEWS_SCHEMA)["items"].alias("_items"))
+    items = F.from_json(F.col(col), PAGEVIEWS_SCHEMA)["items"]
+    parsed = df.select(*keep, _required(items, "an items list", strict).alias("_items"))
     rows = parsed.select(*keep, F.explode("_items").alias("_i"))
     return rows.select(
         *keep,
@@ -53,11 +52,17 @@ def strip_xssi(value) -> Column:
     return F.regexp_replace(col_of(value), XSSI_GUARD, "")
 
 
-def parse_timeline(df: DataFrame, col: str = "payload", keep: list[str] | None = None) -> DataFrame:
+def timeline_payload_errors(df: DataFrame, col: str = "payload") -> DataFrame:
+    """Payloads without a ``default.timelineData`` list."""
+    return df.filter(F.from_json(strip_xssi(col), TIMELINE_SCHEMA)["default"]["timelineData"].isNull())
+
+
+def parse_timeline(df: DataFrame, col: str = "payload", keep: list[str] | None = None, strict: bool = True) -> DataFrame:
     """S11 + F29: ``default.timelineData[]`` -> (week_start, interest): epoch seconds
     (UTC) to a date, first value as the interest."""
     keep = keep or []
-    parsed = df.select(*keep, F.from_json(strip_xssi(col), TIMELINE_SCHEMA)["default"]["timelineData"].alias("_t"))
+    points = F.from_json(strip_xssi(col), TIMELINE_SCHEMA)["default"]["timelineData"]
+    parsed = df.select(*keep, _required(points, "a timelineData list", strict).alias("_t"))
     rows = parsed.select(*keep, F.explode("_t").alias("_p"))
     return rows.select(
         *keep,
@@ -110,162 +115,6 @@ RAW_MATCH_SCHEMA = (
     "total_time_raw string, goals_raw string, penalties_raw string, missed_penalties_raw string, "
     "yellow_cards_raw string, red_cards_raw string, parse_error string"
 )
-_VOID = {"br", "img", "hr", "meta", "link", "input", "col", "area", "base", "source", "wbr"}
-
-
-class _Node:
-    __slots__ = ("tag", "attrs", "children", "text")
-
-    def __init__(self, tag, attrs):
-        self.tag, self.attrs, self.children, self.text = tag, dict(attrs), [], []
-
-    def classes(self):
-        return set((self.attrs.get("class") or "").split())
-
-    def all_text(self) -> str:
-        parts = list(self.text)
-        for c in self.children:
-            parts.append(c.all_text())
-        return " ".join(p for p in parts if p)
-
-    def walk(self):
-        for c in self.children:
-            yield c
-            yield from c.walk()
-
-    def find(self, pred):
-        return [n for n in self.walk() if pred(n)]
-
-    def kids(self, tag):
-        return [c for c in self.children if c.tag == tag]
-
-
-class _Tree(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = _Node("#root", [])
-        self.stack = [self.root]
-
-    def handle_starttag(self, tag, attrs):
-        node = _Node(tag, attrs)
-        self.stack[-1].children.append(node)
-        if tag not in _VOID:
-            self.stack.append(node)
-
-    def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                del self.stack[i:]
-                return
-
-    def handle_data(self, data):
-        self.stack[-1].text.append(data)
-
-
-def _clean(text: str) -> str:
-    return " ".join(text.split())
-
-
-def _tabs(root: _Node) -> dict[str, str]:
-    tabs = {}
-    menus = root.find(lambda n: n.tag == "div" and n.attrs.get("aria-labelledby") == "tournamentsMenuButton")
-    for menu in menus:
-        for a in menu.find(lambda n: n.tag == "a" and n.attrs.get("data-toggle") == "tab"
-                           and (n.attrs.get("href") or "").startswith("#t")):
-            tab_id = a.attrs["href"][1:]
-            if tab_id != "tlast_matches":
-                tabs[tab_id] = _clean(a.all_text())
-    return tabs
-
-
-def _rows_of_payload(payload_id: str, raw: str) -> list[dict]:
-    """Raw cell texts of every match row; a structural problem becomes one row with
-    ``parse_error`` set (the quarantine of Q6)."""
-    def err(msg):
-        return [{"payload_id": payload_id, "parse_error": msg}]
-
-    try:
-        html = (json.loads(raw).get("js") or {}).get("result")
-    except (ValueError, AttributeError):
-        return err("payload is not a JSON object")
-    if not html:
-        return err("payload has no js.result HTML")
-    tree = _Tree()
-    tree.feed(html)
-    root = tree.root
-    tabs = _tabs(root)
-    if not tabs:
-        return err("no tournament tabs")
-    out = []
-    for pane in root.find(lambda n: n.tag == "div" and "tab-pane" in n.classes()):
-        comp_id = pane.attrs.get("id", "")
-        if comp_id not in tabs:
-            continue
-        competition = tabs[comp_id]
-        tables = pane.find(lambda n: n.tag == "table" and {"maintbl", "standings-table"} <= n.classes())
-        if not tables:
-            out += err(f"missing table for tab {comp_id}")
-            continue
-        table = tables[0]
-        thead = table.find(lambda n: n.tag == "thead")
-        heads = thead[0].find(lambda n: n.tag == "th") if thead else []
-        metrics = []
-        for th in heads[2:]:
-            icons = th.find(lambda n: n.tag == "i" and "title" in n.attrs)
-            title = _clean(icons[0].attrs["title"]).lower() if icons else None
-            if title is None or title not in METRIC_NAME_BY_TITLE:
-                metrics = None
-                out += err(f"unknown metric header {title!r} in {competition}")
-                break
-            metrics.append(METRIC_NAME_BY_TITLE[title])
-        if metrics is None:
-            continue
-        body = table.find(lambda n: n.tag == "tbody")
-        if not body:
-            out += err(f"missing table body for tab {comp_id}")
-            continue
-        for tr in body[0].kids("tr"):
-            cells = tr.kids("td")
-            rec = {"payload_id": payload_id, "competition": competition}
-            if len(cells) != 2 + len(metrics):
-                rec["parse_error"] = f"expected {2 + len(metrics)} cells, got {len(cells)}"
-                out.append(rec)
-                continue
-            teams = cells[1].find(lambda n: n.tag == "span" and "team" in n.classes()
-                                  and ({"team1", "team2"} & n.classes()))
-            score = cells[1].find(lambda n: n.tag == "span" and "score" in n.classes())
-            rec["date_text"] = _clean(cells[0].all_text())
-            if len(teams) != 2:
-                rec["parse_error"] = f"expected 2 teams, got {len(teams)}"
-            elif not score:
-                rec["parse_error"] = "missing score"
-            else:
-                rec["team1"], rec["team2"] = _clean(teams[0].all_text()), _clean(teams[1].all_text())
-                rec["score"] = _clean(score[0].all_text())
-            raw_metrics = dict(zip(metrics, (_clean(c.all_text()) for c in cells[2:])))
-            for m in ["total_time", *EVENT_METRICS]:
-                rec[f"{m}_raw"] = raw_metrics.get(m)
-            out.append(rec)
-    if not out:
-        return err("no match rows")
-    return out
-
-
-def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cols = [c.split()[0] for c in RAW_MATCH_SCHEMA.split(", ")]
-    for batch in batches:
-        rows = []
-        for pid, raw in zip(batch["payload_id"], batch["payload"]):
-            rows.extend(_rows_of_payload(str(pid), raw if isinstance(raw, str) else ""))
-        yield pd.DataFrame([[r.get(c) for c in cols] for r in rows], columns=cols, dtype=object)
-
-
-def parse_match_tables(payloads: DataFrame, id_col: str = "payload_id", col: str = "payload") -> DataFrame:
-    """One raw row per match row of every payload (``mapInPandas``)."""
-    src = payloads.select(F.col(id_col).cast("string").alias("payload_id"), F.col(col).alias("payload"))
-    return src.mapInPandas(_parse_batches, RAW_MATCH_SCHEMA)
-
-
 def type_match_rows(raw: DataFrame) -> DataFrame:
     """F24-F28 + Q6: typed match columns plus ``error_reason`` (NULL when valid):
     digits-only metrics, ``-`` minutes means unplayed and needs all events 0,
@@ -275,7 +124,7 @@ def type_match_rows(raw: DataFrame) -> DataFrame:
     total = strict_int(dash_to_null("total_time_raw"))
     reason = (
         F.when(F.col("parse_error").isNotNull(), F.col("parse_error"))
-        .when(~F.coalesce(F.col("score").rlike(r"^\d+:\d+$"), F.lit(False)), F.lit("bad score"))
+        .when(~F.coalesce(squeeze_whitespace("score").rlike(r"^\d+:\d+$"), F.lit(False)), F.lit("bad score"))
         .when(date_from_text("date_text").isNull(), F.lit("no date"))
         .when(~unplayed & total.isNull(), F.lit("bad total_time"))
     )
@@ -296,11 +145,11 @@ def type_match_rows(raw: DataFrame) -> DataFrame:
     )
 
 
-def matches_from_payloads(payloads: DataFrame, exclude_competition: str | None = "UEFA Youth League",
-                          strict: bool = True) -> tuple[DataFrame, DataFrame]:
-    """S13 end to end: (valid typed matches without the excluded competition,
-    quarantined rows). ``strict`` raises on the first bad row (bounded probe)."""
-    typed = type_match_rows(parse_match_tables(payloads))
+def typed_matches(raw: DataFrame, exclude_competition: str | None = "UEFA Youth League",
+                  strict: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Raw cell texts (RAW_MATCH_SCHEMA) to (valid matches without the excluded
+    competition, rejected rows). ``strict`` raises on the first rejected row."""
+    typed = type_match_rows(raw)
     bad = typed.filter(F.col("error_reason").isNotNull())
     if strict:
         first = bad.select("payload_id", "error_reason").limit(1).collect()

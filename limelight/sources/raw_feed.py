@@ -4,12 +4,14 @@ Files are headerless tab-separated text, 27 string columns, laid out as
 ``<root>/date=YYYY-MM-DD/stream=<feed>/<timestamp>[.translation].gkg.csv``.
 The reader passes an explicit schema (a short first file cannot change the
 arity), turns quoting/escaping off, reads only ``*.gkg.csv`` files and lets
-partition discovery turn the folder keys into ``feed_date`` and ``stream``,
-so a date-range filter prunes folders instead of opening every file.
+partition discovery turn the folder keys into ``feed_date`` and ``stream``. A
+date range lists and reads the folders of its days and feeds only.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
@@ -53,8 +55,6 @@ def read_raw_feed(spark: SparkSession, paths: list[str] | str, glob: str = FILE_
     return reader.csv(paths if isinstance(paths, list) else [paths])
 
 
-PATH_DATE = r"date=(\d{4}-\d{2}-\d{2})"
-PATH_STREAM = r"stream=([^/]+)"
 _DATE_TEXT = "_feed_DATE_text"
 FEED_READ_SCHEMA = StructType(
     [StructField(_DATE_TEXT if f.name == "DATE" else f.name, f.dataType, True) for f in RAW_SCHEMA.fields]
@@ -67,51 +67,73 @@ def restore_feed_columns(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed("date", "feed_date").withColumnRenamed(_DATE_TEXT, "DATE")
 
 
-def read_feed_range(spark: SparkSession, root: str, start, end, streams: list[str] | None = None,
-                    glob: str = FILE_GLOB) -> DataFrame:
-    """S3 + S5: the lake under ``root``; folder names become ``feed_date`` and
-    ``stream`` by partition discovery, and the range/feed filters are partition
-    filters (only matching folders are listed and read).
+FEEDS = ["regular", "translation"]
+
+
+def feed_folders(spark: SparkSession, root: str, start, end, streams: list[str] | None = None,
+                 glob: str = FILE_GLOB) -> tuple[list[str], list[tuple[dt.date, str]]]:
+    """The requested ``date=/stream=`` folders that hold feed files, and the (day, feed)
+    pairs that have none. Only the requested folders are listed, on the driver, as
+    many as there are days times feeds."""
+    first, last = dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end))
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    present, missing = [], []
+    for n in range((last - first).days + 1):
+        day = first + dt.timedelta(n)
+        for stream in streams or FEEDS:
+            folder = f"{root.rstrip('/')}/date={day.isoformat()}/stream={stream}"
+            pattern = jvm.org.apache.hadoop.fs.Path(f"{folder}/{glob}")
+            found = pattern.getFileSystem(conf).globStatus(pattern)
+            if found is not None and len(found):
+                present.append(folder)
+            else:
+                missing.append((day, stream))
+    return present, missing
+
+
+def _read_folders(spark: SparkSession, root: str, folders: list[str], glob: str) -> DataFrame:
+    """S3 + S5: the given folders; folder names become ``feed_date`` and ``stream``.
 
     The folder key ``date`` equals the feed's own ``DATE`` column up to case, and
     Spark column names are case-insensitive, so the text column is read under a
     temporary name and renamed after the partition column became ``feed_date``."""
-    df = (
+    return restore_feed_columns(
         spark.read.schema(FEED_READ_SCHEMA)
         .option("sep", "\t").option("header", "false").option("quote", "").option("escape", "")
         .option("pathGlobFilter", glob)
         .option("basePath", root)
-        .csv(root)
+        .csv(folders)
     )
-    df = restore_feed_columns(df)
-    df = df.filter(F.col("feed_date").between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")))
-    if streams:
-        df = df.filter(F.col("stream").isin(streams))
-    return df
-
-
-def missing_partitions(spark: SparkSession, root: str, expected: DataFrame) -> DataFrame:
-    """Expected ``(feed_date, stream)`` pairs with no readable file. The present
-    pairs come from file paths of a listing-only scan (no content is read)."""
-    path = F.col("path")
-    present = (
-        spark.read.format("binaryFile").option("pathGlobFilter", FILE_GLOB).option("recursiveFileLookup", "true")
-        .load(root).select(
-            F.regexp_extract(path, PATH_DATE, 1).cast("date").alias("feed_date"),
-            F.regexp_extract(path, PATH_STREAM, 1).alias("stream"),
-        ).distinct()
-    )
-    return expected.join(present, ["feed_date", "stream"], "left_anti")
 
 
-def read_feed_range_lenient(spark: SparkSession, root: str, expected: DataFrame, start, end,
-                            streams: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Read what exists, report what is missing; fail only if nothing exists."""
-    missing = missing_partitions(spark, root, expected)
-    data = read_feed_range(spark, root, start, end, streams)
-    if data.select("GKGRECORDID").limit(1).count() == 0:
+def read_feed_range(spark: SparkSession, root: str, start, end, streams: list[str] | None = None,
+                    glob: str = FILE_GLOB) -> DataFrame:
+    """S3: every requested day and feed (default: both); fails if one of them has no file."""
+    present, missing = feed_folders(spark, root, start, end, streams, glob)
+    if missing:
+        said = ", ".join(f"{d}/{s}" for d, s in missing[:20])
+        raise FileNotFoundError(f"{len(missing)} of the requested days and feeds have no files under {root}: {said}")
+    return _read_folders(spark, root, present, glob)
+
+
+def read_feed_range_lenient(spark: SparkSession, root: str, start, end, streams: list[str] | None = None,
+                            glob: str = FILE_GLOB) -> tuple[DataFrame, DataFrame]:
+    """What exists of the range, and the missing ``(feed_date, stream)`` pairs from
+    the same listing; fails only if nothing exists."""
+    present, missing = feed_folders(spark, root, start, end, streams, glob)
+    if not present:
         raise FileNotFoundError(f"no feed files under {root} for {start}..{end}")
-    return data, missing
+    return _read_folders(spark, root, present, glob), spark.createDataFrame(missing, "feed_date date, stream string")
+
+
+def raw_rows_from_lines(lines: DataFrame, line_col: str = "line", keep: list[str] | None = None) -> DataFrame:
+    """S1 for lines that are already a column: tab-split into the 27 raw columns
+    (missing trailing fields -> NULL, empty -> NULL)."""
+    parts = F.split(F.col(line_col), "\t", -1)
+    return lines.select(
+        *(keep or []),
+        *[F.nullif(F.try_element_at(parts, F.lit(i + 1)), F.lit("")).alias(c) for i, c in enumerate(GKG_COLUMNS)],
+    )
 
 
 def source_tag_from_path(pattern: str = r"stream=([^/]+)") -> F.Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
     DateType,
@@ -49,5 +50,7 @@ def read_day_summaries(spark: SparkSession, path: str, schema: StructType = OBSE
     """The per-day file summaries of a run; an empty table when there are none."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # the folder does not exist (yet)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)

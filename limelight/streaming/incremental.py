@@ -18,7 +18,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from limelight.plans.pipeline import REFERENCE_TOKEN
 from limelight.operators.filters import any_column_contains, parse_timestamps
-from limelight.session import ensure_checkpoint_dir
 from limelight.sources.raw_feed import (
     BRONZE_COLUMNS,
     FEED_READ_SCHEMA,
@@ -45,13 +44,14 @@ def candidate_stream(raw: DataFrame, token: str = REFERENCE_TOKEN) -> DataFrame:
 
 
 def start_incremental_extraction(spark: SparkSession, root: str, bronze_path: str, rejects_path: str | None = None,
-                                 checkpoint: str | None = None, token: str = REFERENCE_TOKEN,
+                                 *, checkpoint: str, token: str = REFERENCE_TOKEN,
                                  available_now: bool = True) -> list[StreamingQuery]:
     """New candidates go to bronze (Parquet file sink partitioned by ``gkg_date``;
     the sink's commit log makes every micro-batch land exactly once even when a
     batch is retried); rows with unparseable timestamps go to ``rejects_path``.
-    Checkpoints live under the shared ``spark.checkpoint.dir`` unless given."""
-    base = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/incremental_extraction"
+    ``checkpoint`` is a folder on shared storage that outlives the session: it
+    remembers which files were read, so a restarted job must be given the same one."""
+    base = checkpoint.rstrip("/")
     candidates = candidate_stream(raw_feed_stream(spark, root), token)
 
     def start(df: DataFrame, path: str, name: str, partition: list[str]) -> StreamingQuery:

@@ -18,14 +18,13 @@ def test_single_day(spark):
     assert [r.date for r in calendar_days(spark, "2024-01-01", "2024-01-01").collect()] == [d("2024-01-01")]
 
 
-def test_year_in_90_day_chunks(spark):
-    rows = interval_spine(bounds_frame(spark, "2024-01-01", "2024-12-31"), 90).orderBy("interval_start").collect()
+def test_half_year_in_50_day_chunks(spark):
+    rows = interval_spine(bounds_frame(spark, "2023-02-10", "2023-07-20"), 50).orderBy("interval_start").collect()
     assert [(r.interval_start, r.interval_end) for r in rows] == [
-        (d("2024-01-01"), d("2024-03-30")),
-        (d("2024-03-31"), d("2024-06-28")),
-        (d("2024-06-29"), d("2024-09-26")),
-        (d("2024-09-27"), d("2024-12-25")),
-        (d("2024-12-26"), d("2024-12-31")),
+        (d("2023-02-10"), d("2023-03-31")),
+        (d("2023-04-01"), d("2023-05-20")),
+        (d("2023-05-21"), d("2023-07-09")),
+        (d("2023-07-10"), d("2023-07-20")),
     ]
 
 

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from limelight.plans.pipeline import extract_candidates, extraction_counts
-from limelight.sources.raw_feed import GKG_COLUMNS, read_feed_range
+from limelight.sources.raw_feed import GKG_COLUMNS, read_feed_range, read_feed_range_lenient
 
 
 def row(**values):
@@ -41,7 +41,7 @@ def make_lake(root):
 def test_extraction_end_to_end(spark, tmp_path):
     root = str(tmp_path / "lake")
     make_lake(root)
-    raw = read_feed_range(spark, root, "2025-01-01", "2025-01-02")
+    raw, _ = read_feed_range_lenient(spark, root, "2025-01-01", "2025-01-02")
     good, bad = extract_candidates(raw, "mbapp")
     got = {r.GKGRECORDID: r for r in good.collect()}
     assert set(got) == {"1", "4"}
@@ -55,7 +55,7 @@ def test_extraction_end_to_end(spark, tmp_path):
 def test_date_range_prunes_partitions(spark, tmp_path):
     root = str(tmp_path / "lake")
     make_lake(root)
-    raw = read_feed_range(spark, root, "2025-01-01", "2025-01-02")
+    raw, _ = read_feed_range_lenient(spark, root, "2025-01-01", "2025-01-02")
     plan = raw._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
     assert raw.filter(F.col("feed_date") == "2025-01-03").count() == 0

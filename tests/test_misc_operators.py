@@ -10,8 +10,7 @@ from limelight.functions.urls import article_url, pageviews_url
 from limelight.operators.filters import exclude_category, rename_normalize
 from limelight.operators.quality import CheckFailed, CheckSpec, enforce, run_checks
 from limelight.operators.sets import concat_tagged
-from limelight.sources.raw_feed import GKG_COLUMNS, read_feed_range_lenient
-from limelight.sources.spines import calendar_days
+from limelight.sources.raw_feed import GKG_COLUMNS, read_feed_range, read_feed_range_lenient
 
 
 def write(root, day, stream, name, values):
@@ -27,13 +26,16 @@ def test_lenient_range_reports_missing_days(spark, tmp_path):
     root = str(tmp_path / "lake")
     write(root, "2025-01-01", "regular", "a.gkg.csv", {"GKGRECORDID": "1", "DATE": "20250101000000"})
     write(root, "2025-01-03", "regular", "b.gkg.csv", {"GKGRECORDID": "2", "DATE": "20250103000000"})
-    expected = calendar_days(spark, "2025-01-01", "2025-01-03").select(
-        F.col("date").alias("feed_date"), F.lit("regular").alias("stream"))
-    data, missing = read_feed_range_lenient(spark, root, expected, "2025-01-01", "2025-01-03", ["regular"])
+    data, missing = read_feed_range_lenient(spark, root, "2025-01-01", "2025-01-03", ["regular"])
     assert sorted(r.GKGRECORDID for r in data.collect()) == ["1", "2"]
     assert [str(r.feed_date) for r in missing.collect()] == ["2025-01-02"]
     with pytest.raises(FileNotFoundError):
-        read_feed_range_lenient(spark, root, expected, "2025-02-01", "2025-02-03", ["regular"])
+        read_feed_range_lenient(spark, root, "2025-02-01", "2025-02-03", ["regular"])
+    with pytest.raises(FileNotFoundError, match="2025-01-02/regular"):
+        read_feed_range(spark, root, "2025-01-01", "2025-01-03", ["regular"])
+    os.makedirs(os.path.join(root, "date=2025-01-04", "stream=regular"))  # a folder without feed files is missing too
+    with pytest.raises(FileNotFoundError, match="2025-01-04/regular"):
+        read_feed_range(spark, root, "2025-01-03", "2025-01-04", ["regular"])
 
 
 def test_rename_normalize_and_exclude(spark):

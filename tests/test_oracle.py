@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from oracle_harness import compare, duck
 
 SF = "/root/testdata/sf0.01"
-NAMES = sorted(entry.queries())
+NAMES = sorted(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")

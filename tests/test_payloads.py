@@ -1,4 +1,4 @@
-"""Collector payloads: pageviews JSON, interest timeline, widget choice, match tables."""
+"""Collector payloads: pageviews JSON, interest timeline, widget choice, match rows."""
 
 import datetime as dt
 import json
@@ -6,20 +6,21 @@ import json
 import pytest
 
 from limelight.sources.payloads import (
-    matches_from_payloads,
+    RAW_MATCH_SCHEMA,
     pageview_payload_errors,
-    parse_match_tables,
     parse_pageviews,
     parse_timeline,
     select_widget,
+    timeline_payload_errors,
     type_match_rows,
+    typed_matches,
 )
 
 
 def test_pageviews(spark):
     payload = json.dumps({"items": [{"timestamp": "2025010100", "views": 5}, {"timestamp": "2025010200", "views": 7}]})
     df = spark.createDataFrame([("en", payload), ("fr", json.dumps({"oops": 1}))], "language string, payload string")
-    rows = parse_pageviews(df, keep=["language"]).collect()
+    rows = parse_pageviews(df, keep=["language"], strict=False).collect()
     assert [(r.language, r.date, r.views) for r in rows] == [
         ("en", dt.date(2025, 1, 1), 5), ("en", dt.date(2025, 1, 2), 7)]
     assert [r.language for r in pageview_payload_errors(df).collect()] == ["fr"]
@@ -40,48 +41,36 @@ def test_select_widget(spark):
     assert (rows[1].widget_found, rows[1].weekly_resolution) == (False, False)
 
 
-HEAD = "".join(f'<th><i title="{t}"></i></th>' for t in ["Total time", "Goal", "Penalty", "Missing penalty", "Yellow card", "Red card"])
+def raw_match(spark, *rows):
+    names = [c.split()[0] for c in RAW_MATCH_SCHEMA.split(", ")]
+    base = dict.fromkeys(names) | {"payload_id": "p", "competition": "Cup", "team1": "A", "team2": "B", "score": "1:1", "date_text": "2024/08/17"}
+    zero = {n: "0" for n in names if n.endswith("_raw")} | {"total_time_raw": "90"}
+    return spark.createDataFrame([[({**base, **zero, **r})[n] for n in names] for r in rows], RAW_MATCH_SCHEMA)
 
 
-def match_row(date, t1, score, t2, cells):
-    tds = "".join(f"<td>{c}</td>" for c in cells)
-    return (f'<tr><td><span>{date}</span></td><td><span class="team team1">{t1}</span>'
-            f'<span class="score">{score}</span><span class="team team2">{t2}</span></td>{tds}</tr>')
-
-
-def payload(rows_by_tab):
-    menu = '<div aria-labelledby="tournamentsMenuButton">' + "".join(
-        f'<a data-toggle="tab" href="#{tid}">{name}</a>' for tid, (name, _) in rows_by_tab.items()) + \
-        '<a data-toggle="tab" href="#tlast_matches">Last</a></div>'
-    panes = "".join(
-        f'<div class="tab-pane" id="{tid}"><table class="maintbl standings-table"><thead><tr><th>Date</th><th>Match</th>{HEAD}'
-        f'</tr></thead><tbody>{"".join(rows)}</tbody></table></div>' for tid, (_, rows) in rows_by_tab.items())
-    return json.dumps({"js": {"result": menu + panes}})
-
-
-def test_match_tables(spark):
-    good = payload({
-        "t1": ("Ligue 1", [match_row("2024/08/17", "PSG", "2:1", "Lyon", ["90", "1", "0", "0", "1", "0"]),
-                           match_row("2024/08/24", "PSG", "0:0", "Nice", ["-", "0", "0", "0", "0", "0"])]),
-        "t2": ("UEFA Youth League", [match_row("2024/09/01", "PSG U19", "3:0", "X", ["90", "2", "0", "0", "0", "0"])]),
-    })
-    df = spark.createDataFrame([("2024", good)], "payload_id string, payload string")
-    matches, bad = matches_from_payloads(df)
+def test_typed_matches(spark):
+    raw = raw_match(spark, {"goals_raw": " 2 ", "score": " 2:1 ", "team1": "Red  Star"}, {"total_time_raw": "-", "date_text": "on 2024/08/24"},
+                    {"competition": "UEFA Youth League", "date_text": "2024/09/01"})
+    matches, bad = typed_matches(raw)
     rows = sorted(matches.collect(), key=lambda r: r.match_date)
     assert [(r.competition, r.match_date, r.team1, r.score, r.total_time, r.goals) for r in rows] == [
-        ("Ligue 1", dt.date(2024, 8, 17), "PSG", "2:1", 90, 1),
-        ("Ligue 1", dt.date(2024, 8, 24), "PSG", "0:0", None, 0),
-    ]
+        ("Cup", dt.date(2024, 8, 17), "Red Star", "2:1", 90, 2), ("Cup", dt.date(2024, 8, 24), "A", "1:1", None, 0)]
     assert bad.count() == 0
 
 
-def test_match_quarantine(spark):
-    broken = payload({"t1": ("Cup", [match_row("2024/08/17", "A", "2-1", "B", ["90", "1", "0", "0", "0", "0"]),
-                                     match_row("2024/08/18", "A", "1:1", "B", ["-", "1", "0", "0", "0", "0"]),
-                                     match_row("2024/08/19", "A", "1:1", "B", ["x", "0", "0", "0", "0", "0"])])})
-    df = spark.createDataFrame([("p", broken), ("q", json.dumps({"js": {}}))], "payload_id string, payload string")
-    typed = type_match_rows(parse_match_tables(df)).collect()
-    reasons = sorted(r.error_reason for r in typed)
-    assert reasons == ["bad score", "bad total_time", "payload has no js.result HTML", "unplayed match with events"]
+def test_match_rejects(spark):
+    raw = raw_match(spark, {"score": "2-1"}, {"total_time_raw": "-", "goals_raw": "1"}, {"total_time_raw": "x"}, {"parse_error": "no cells"})
+    assert sorted(r.error_reason for r in type_match_rows(raw).collect()) == [
+        "bad score", "bad total_time", "no cells", "unplayed match with events"]
     with pytest.raises(ValueError):
-        matches_from_payloads(df, strict=True)
+        typed_matches(raw)
+    assert typed_matches(raw, strict=False)[1].count() == 4
+
+
+def test_strict_payloads_fail(spark):
+    for value in ("{}", "not json", None):
+        df = spark.createDataFrame([("en", value)], "language string, payload string")
+        for parse, errors in ((parse_pageviews, pageview_payload_errors), (parse_timeline, timeline_payload_errors)):
+            with pytest.raises(Exception, match="payload without"):
+                parse(df).collect()
+            assert parse(df, strict=False).collect() == [] and errors(df).count() == 1

@@ -16,6 +16,7 @@ def test_layers_equal_lazy_plan(spark, tmp_path):
     lazy_good, lazy_bad = P.extract_candidates(T.raw_feed(spark, SF), T.TOKEN)
     assert counts == {"total_output_rows": lazy_good.count(), "invalid_datetime_rows_skipped": lazy_bad.count()}
     run_silver(spark, layout, T.TOKEN, T.CANONICAL)
+    lazy_articles = P.process_articles(lazy_good, T.TOKEN, T.CANONICAL).count()
     pv, tr, m = T.pageviews(spark, SF), T.trends(spark, SF), T.matches(spark, SF)
     run_gold(spark, layout, pv, tr, m)
     weekly = spark.read.parquet(layout.path("gold", "player_weekly"))
@@ -24,5 +25,11 @@ def test_layers_equal_lazy_plan(spark, tmp_path):
     assert sorted(weekly.select(*cols).collect()) == sorted(lazy.select(*cols).collect())
     run_export(spark, layout)
     out = layout.path("export", "player_weekly")
-    rows = [json.loads(x) for f in sorted(os.listdir(out)) if f.endswith(".json") for x in open(os.path.join(out, f))]
+    (part,) = [f for f in os.listdir(out) if f.endswith(".txt")]
+    rows = json.load(open(os.path.join(out, part), encoding="utf-8"))
+    runs = layout.path("runs")
+    assert spark.read.json(f"{runs}/extraction").first().total_output_rows == counts["total_output_rows"]
+    dedup = spark.read.json(f"{runs}/dedup").first()
+    assert dedup.candidate_rows == counts["total_output_rows"] and dedup.retained_rows == lazy_articles
+    assert spark.read.json(f"{runs}/dataset_qc").first()["rows"] == lazy_articles and spark.read.json(f"{runs}/feed_qc").count() >= 1
     assert len(rows) == weekly.count() and "english_avg_tone" in rows[0]

@@ -1,27 +1,26 @@
-"""ZIP members as data, partitioned sinks, JSON export, observed counts."""
+"""Raw lines, partitioned sinks, JSON export, observed counts."""
 
 import json
 import os
-import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
-from limelight.sinks.writers import export_json, observed_counts, write_partitioned_overwrite, write_year_snapshot
-from limelight.sources.archives import archive_lines, archive_status, raw_rows_from_lines
+from limelight.sinks.writers import (
+    export_json,
+    export_json_lines,
+    observed_counts,
+    replace_partitions_from,
+    write_partitioned_overwrite,
+    write_year_snapshot,
+)
+from limelight.sources.raw_feed import raw_rows_from_lines
 from limelight.sources.snapshots import read_day_summaries, read_union_by_name, read_yearly_snapshots
 
 
-def test_zip_members_and_bad_archive(spark, tmp_path):
-    root = tmp_path / "zips"
-    root.mkdir()
-    with zipfile.ZipFile(root / "20250101000000.gkg.csv.zip", "w") as zf:
-        zf.writestr("20250101000000.gkg.csv", "1\t20250101000000\t1\tsrc\n2\t20250101001500\n")
-    (root / "broken.gkg.csv.zip").write_bytes(b"not a zip")
-    status = {os.path.basename(r.zip_path): r for r in archive_status(spark, str(root)).collect()}
-    assert status["20250101000000.gkg.csv.zip"].unzip_status == "extracted"
-    assert status["20250101000000.gkg.csv.zip"].csv_size_bytes > 0
-    assert status["broken.gkg.csv.zip"].unzip_status == "unzip_failed"
-    rows = raw_rows_from_lines(archive_lines(spark, str(root))).orderBy("GKGRECORDID").collect()
+def test_raw_rows_from_lines(spark):
+    lines = spark.createDataFrame([("1\t20250101000000\t1\tsrc",), ("2\t20250101001500",)], "line string")
+    rows = raw_rows_from_lines(lines).orderBy("GKGRECORDID").collect()
     assert [(r.GKGRECORDID, r.DATE, r.SourceCommonName, r.Extras) for r in rows] == [
         ("1", "20250101000000", "src", None), ("2", "20250101001500", None, None)]
 
@@ -49,12 +48,20 @@ def test_export_json_keeps_nulls_and_formats_dates(spark, tmp_path):
     df = spark.createDataFrame([("2025-01-05", None, "é"), ("2025-01-12", 2.5, "b")], "week_start string, v double, s string") \
         .withColumn("week_start", F.col("week_start").cast("date"))
     out = str(tmp_path / "weekly")
-    export_json(df, out, ["week_start"], ["week_start"])
+    export_json_lines(df, out, ["week_start"], ["week_start"])
     lines = []
     for name in sorted(os.listdir(out)):
         if name.endswith(".json"):
             lines += [json.loads(x) for x in open(os.path.join(out, name), encoding="utf-8") if x.strip()]
-    assert lines == [{"week_start": "2025-01-05", "v": None, "s": "é"}, {"week_start": "2025-01-12", "v": 2.5, "s": "b"}]
+    want = [{"week_start": "2025-01-05", "v": None, "s": "é"}, {"week_start": "2025-01-12", "v": 2.5, "s": "b"}]
+    assert lines == want
+    array = str(tmp_path / "array")
+    export_json(df.orderBy(F.desc("week_start")), array, ["week_start"], ["week_start"])
+    (part,) = [n for n in os.listdir(array) if n.endswith(".txt")]
+    assert json.load(open(os.path.join(array, part), encoding="utf-8")) == want
+    export_json(df.limit(0), array, ["week_start"], ["week_start"])
+    (part,) = [n for n in os.listdir(array) if n.endswith(".txt")]
+    assert json.load(open(os.path.join(array, part), encoding="utf-8")) == []
 
 
 def test_observed_counts_in_one_pass(spark, tmp_path):
@@ -71,3 +78,25 @@ def test_union_by_name_and_empty_summaries(spark, tmp_path):
     merged = read_union_by_name(spark, str(tmp_path / "logs"))
     assert set(merged.columns) >= {"id", "s", "extra", "run"} and merged.count() == 2
     assert read_day_summaries(spark, str(tmp_path / "missing")).count() == 0
+
+
+def test_only_a_missing_path_reads_as_empty(spark, tmp_path):
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "x.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        read_day_summaries(spark, str(bad)).count()
+    with pytest.raises(Exception, match="nofilesystem"):
+        read_day_summaries(spark, "nofilesystem://x/y")
+    with pytest.raises(FileNotFoundError):
+        replace_partitions_from(spark, str(tmp_path / "none"), str(tmp_path / "t"), "d")
+
+
+def test_a_large_year_is_written_in_order_by_several_tasks(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    df = spark.range(20000).select(F.expr("date_add(date'2024-01-01', cast(id % 400 as int))").alias("date"), "id").repartition(5)
+    write_year_snapshot(df, root, "x", "date", ["date", "id"])
+    assert read_yearly_snapshots(spark, root, "x").count() == 20000
+    files = sorted(os.listdir(os.path.join(root, "silver", "x", "year=2024")))
+    rows = [spark.read.parquet(os.path.join(root, "silver", "x", "year=2024", f)).collect() for f in files if f.endswith(".parquet")]
+    assert all(r == sorted(r) for r in rows)

@@ -7,7 +7,8 @@ import random
 from pyspark.sql import functions as F
 
 from limelight.operators.spikes import SignalSpec, index_to_peak, signals_long, spikes_from_long
-from limelight.operators.streaks import keyed_run, keyed_run_naive, run_sum, zero_streak
+from limelight.operators.streaks import keyed_run, run_sum, zero_streak
+from naive import keyed_run_naive
 
 
 def js_scoreless(goals):
@@ -36,6 +37,12 @@ def test_streaks_match_dashboard_semantics(spark):
     assert [x.run_sum for x in r] == js_goal_run(goals)
 
 
+def test_null_amount_does_not_end_a_run(spark):
+    df = spark.createDataFrame([(1, i, g) for i, g in enumerate([2, None, 3, 0, None, 1])], "k int, i int, g long")
+    got = run_sum(df, ["k"], ["i"], F.col("g"), chunk=F.floor(F.col("i") / 2)).orderBy("i").collect()
+    assert [r.run_sum for r in got] == [2, 2, 5, 0, 0, 1]
+
+
 def test_chunked_equals_naive_with_hot_key(spark):
     rnd = random.Random(11)
     rows = []

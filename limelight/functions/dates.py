@@ -20,11 +20,6 @@ def to_day(value) -> Column:
     return F.to_date(col_of(value))
 
 
-def as_date(value) -> Column:
-    """Explicit cast for TIMESTAMP_NTZ columns of the inputs."""
-    return col_of(value).cast("date")
-
-
 def week_start(value) -> Column:
     """Sunday that starts the week of ``value`` (Spark: Sunday = 1)."""
     d = col_of(value).cast("date")
@@ -41,10 +36,6 @@ def add_days(value, days) -> Column:
     return F.date_add(col_of(value).cast("date"), days if isinstance(days, Column) else F.lit(days))
 
 
-def hour_start(value) -> Column:
-    return F.date_trunc("hour", col_of(value).cast("timestamp"))
-
-
 def date_from_text(value) -> Column:
     """first ``YYYY/MM/DD`` inside free text as DATE, else NULL."""
     found = F.regexp_extract(col_of(value), r"(\d{4}/\d{2}/\d{2})", 1)

@@ -28,13 +28,5 @@ def spine_left_joins(spine: DataFrame, facts: list[DataFrame], on: str = "date",
 
 def densify(spine: DataFrame, facts: DataFrame, on: list[str], fill: dict[str, object]) -> DataFrame:
     """Spine LEFT JOIN facts, NULL -> fill value. Uniqueness of ``on`` in the
-    facts is what keeps this one-to-one; see ``one_to_one_violations`` (Q8)."""
+    facts is what keeps this one-to-one; see ``quality.check_one_to_one`` (Q8)."""
     return spine.join(facts, on, "left").fillna(fill)
-
-
-def one_to_one_violations(spine: DataFrame, facts: DataFrame, on: list[str]) -> DataFrame:
-    """Q8 for J5: duplicated keys on either side."""
-    return (
-        check_unique_combination(spine.select(*on), on).withColumn("side", F.lit("spine"))
-        .unionByName(check_unique_combination(facts.select(*on), on).withColumn("side", F.lit("facts")))
-    )

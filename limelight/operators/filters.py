@@ -38,11 +38,6 @@ def split_bad_timestamp(df: DataFrame, ts_col: str = "gkg_datetime") -> tuple[Da
     return df.filter(F.col(ts_col).isNotNull()), df.filter(F.col(ts_col).isNull())
 
 
-def project(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Explicit ordered output column list."""
-    return df.select(*columns)
-
-
 def date_between(df: DataFrame, column: str, start, end) -> DataFrame:
     """Closed date range."""
     return df.filter(F.col(column).between(F.lit(start).cast("date"), F.lit(end).cast("date")))

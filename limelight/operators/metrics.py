@@ -78,11 +78,6 @@ def conditional_max_pivot(df: DataFrame, keys: list[str], pivot_col: str, value_
     return df.groupBy(*keys).agg(*measures)
 
 
-def add_week_start(df: DataFrame, date_col: str = "date", out: str = "week_start") -> DataFrame:
-    """F19 as a column."""
-    return df.withColumn(out, week_start_of(date_col))
-
-
 def weekly_rollup(daily: DataFrame, columns: list[str], weights: dict[str, str],
                   availability: dict[str, str] | None = None, date_col: str = "date",
                   week_col: str = "week_start") -> DataFrame:
@@ -176,4 +171,3 @@ def collector_totals(df: DataFrame, key: str, value: str | None = None) -> DataF
     if value:
         measures.append(F.sum(value).alias(f"total_{value}"))
     return df.groupBy(key).agg(*measures)
-

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from limelight.operators.spikes import REFERENCE_CONTEXT, REFERENCE_SIGNALS
 from limelight.plans import oracle as O
 from limelight.plans import pipeline as P
 from limelight.plans import testdata as T
@@ -80,9 +81,9 @@ GOLD = O.gold_ctes()
 
 # ---------------------------------------------------------------- extraction / silver
 
-@register("candidate_filter", "P1 P3 S6", """
+@register("candidate_filter", "P1 P3", """
 SELECT doc_id, lang, source, n_chars FROM documents
-WHERE text ILIKE '%ouen%' OR source ILIKE '%ouen%' OR lang ILIKE '%ouen%'
+WHERE text ILIKE '%ente%' OR source ILIKE '%ente%' OR lang ILIKE '%ente%'
 """)
 def q_candidate_filter(spark, sf):
     from limelight.operators.filters import filter_candidates
@@ -90,7 +91,7 @@ def q_candidate_filter(spark, sf):
     return filter_candidates(docs, ["text", "source", "lang"], T.TOKEN).select("doc_id", "lang", "source", "n_chars")
 
 
-@register("extract_candidates", "S1-shape P1 P2 F1 F2 P3",
+@register("extract_candidates", "P1 P2 F1 F2 P3",
           O.with_ctes(O.raw_feed_cte(), O.candidates_cte(), O.bronze_cte()) + """
 SELECT GKGRECORDID, gkg_datetime, gkg_date, stream, SourceCommonName, DocumentIdentifier, V2Tone, TranslationInfo,
   length(AllNames) AS all_names_chars, length(V2Persons) AS persons_chars
@@ -177,7 +178,7 @@ def q_first_number(spark, sf):
 SELECT GKGRECORDID,
   CAST(len(p) AS BIGINT) AS person_entries, CAST(len(n) AS BIGINT) AS name_entries,
   list_max(list_transform(n, lambda e: e.offset)) AS max_name_offset,
-  list_min(list_transform(list_filter(list_concat(p, n), lambda e: instr(e.name, 'ouen') > 0), lambda e: e.offset)) AS first_token_offset,
+  list_min(list_transform(list_filter(list_concat(p, n), lambda e: instr(e.name, 'ente') > 0), lambda e: e.offset)) AS first_token_offset,
   CAST(len(list_distinct(list_transform(n, lambda e: e.name))) AS BIGINT) AS distinct_names
 FROM (SELECT GKGRECORDID, {O.parse_entries('V2Persons')} AS p, {O.parse_entries('AllNames')} AS n FROM raw_feed)""")
 def q_offset_entries(spark, sf):
@@ -197,7 +198,7 @@ def q_offset_entries(spark, sf):
 @register("normalize_names", "F7 F8 F9 A23", O.with_ctes(O.raw_feed_cte()) + f"""
 SELECT GKGRECORDID, CAST(len(nc) AS BIGINT) AS normalized_names,
   CAST(len(list_distinct(nc)) AS BIGINT) AS distinct_normalized,
-  CAST(len(list_filter(nc, lambda x: x = 'ouen')) AS BIGINT) AS target_mentions,
+  CAST(len(list_filter(nc, lambda x: x = 'ente')) AS BIGINT) AS target_mentions,
   CAST({O.max_mult('nc')} AS BIGINT) AS max_multiplicity
 FROM (SELECT GKGRECORDID, {O.normalize_names(O.parse_entries('AllNames'))} AS nc FROM raw_feed)""")
 def q_normalize_names(spark, sf):
@@ -226,7 +227,7 @@ def q_salience(spark, sf):
     return rounded(articles(spark, sf).select("GKGRECORDID", "canonical_url", *SALIENCE_OUT))
 
 
-@register("process_articles", "K6 W1 F3 F4 F5 F18", O.with_ctes(*SILVER) + f"""
+@register("process_articles", "W1 F3 F4 F5 F18", O.with_ctes(*SILVER) + f"""
 SELECT GKGRECORDID, gkg_datetime, gkg_date, stream, SourceCommonName, DocumentIdentifier, canonical_url,
   TranslationInfo, source_language, {r('tone')}, {r('salience_score')}, salience_class
 FROM articles""")
@@ -269,7 +270,7 @@ def q_feed_qc(spark, sf):
     return feed_qc(articles(spark, sf))
 
 
-@register("score_qc", "A16 Q7", O.with_ctes(*SILVER) + f"SELECT {QC_SCORE_SQL} FROM articles")
+@register("score_qc", "A16", O.with_ctes(*SILVER) + f"SELECT {QC_SCORE_SQL} FROM articles")
 def q_score_qc(spark, sf):
     from limelight.operators.quality import score_qc
     return score_qc(articles(spark, sf))
@@ -285,7 +286,7 @@ def _round_cols(cols, skip=()):
                            or c in ("days_in_period", "gdelt_days_available") or "interest" in c) else r(c) for c in cols)
 
 
-@register("daily_article_metrics", "A1 A2 P9 O1", O.with_ctes(*SILVER, O.daily_cte()) +
+@register("daily_article_metrics", "A1 A2 P9", O.with_ctes(*SILVER, O.daily_cte()) +
           f"SELECT date, {_round_cols(DAILY_COLS)} FROM daily")
 def q_daily_article_metrics(spark, sf):
     return rounded(P.daily_metrics(articles(spark, sf)))
@@ -350,7 +351,7 @@ def q_signals_long(spark, sf):
     return signals_long(gold_weekly(spark, sf), REFERENCE_SIGNALS)
 
 
-@register("period_bounds_filter", "A7 J4 P6 P5 K7", O.with_ctes(*GOLD) + "SELECT * FROM gold_matches")
+@register("period_bounds_filter", "A7 J4 P6 P5", O.with_ctes(*GOLD) + "SELECT * FROM gold_matches")
 def q_period_bounds_filter(spark, sf):
     return gold_matches(spark, sf)
 
@@ -368,7 +369,7 @@ def nation_spikes(spark, sf):
     return spikes_from_long(T.weekly_nation_signals(spark, sf))
 
 
-@register("weekly_spikes", "W2 W3 P8 F20 F21 F22 O1",
+@register("weekly_spikes", "W2 W3 P8 F20 F22",
           O.with_ctes(O.weekly_nation_cte(), O.spikes_sql_cte("nation_weekly", "week_start")) + f"SELECT {SPIKE_SELECT} FROM spikes")
 def q_weekly_spikes(spark, sf):
     return rounded(nation_spikes(spark, sf))
@@ -385,6 +386,21 @@ def q_hourly_spikes(spark, sf):
     return rounded(spikes_from_long(T.hourly_event_signals(spark, sf), order="hour_start", with_week_end=False))
 
 
+CONTEXT_SELECT = ", ".join(f"round(CAST(w.{c} AS DOUBLE), {DIGITS}) AS {c}" if c.endswith(("_tone", "_share")) else f"w.{c}" for c in REFERENCE_CONTEXT)
+ORDER_SIGNALS_SQL = "order_signals AS (" + " UNION ALL ".join(
+    f"SELECT week_start, '{s.signal}' AS signal, CASE WHEN {s.gate} THEN CAST({s.column} AS DOUBLE) END AS signal_value FROM weekly_orders"
+    for s in REFERENCE_SIGNALS) + ")"
+
+
+@register("detect_spikes", "U1 P7 W2 W3 P8 J3 F20 F21 F22", O.with_ctes(
+    O.weekly_orders_cte(), ORDER_SIGNALS_SQL, O.spikes_sql_cte("order_signals", "week_start")) + f"""
+SELECT {", ".join(r("s." + c, c) if c in ("signal_value", "baseline_median", "spike_threshold", "spike_ratio") else "s." + c for c in SPIKE_COLS)}, {CONTEXT_SELECT}
+FROM spikes s JOIN weekly_orders w USING (week_start)""")
+def q_detect_spikes(spark, sf):
+    from limelight.operators.spikes import detect_spikes
+    return rounded(detect_spikes(T.weekly_orders(spark, sf)))
+
+
 NATION_WEEK_TOTALS_SQL = """week_totals AS (
   SELECT week_start, count(*) AS week_orders, round(sum(o_totalprice), 2) AS week_total
   FROM (SELECT o_totalprice, CAST(CAST(o_orderdate AS DATE) - CAST(dayofweek(CAST(o_orderdate AS DATE)) AS INTEGER) AS DATE) AS week_start FROM orders)
@@ -441,7 +457,7 @@ def q_top_signals_per_week(spark, sf):
     return rounded(out.withColumn("signal_rank", F.col("signal_rank").cast("bigint")))
 
 
-LANES = ["GERMANY", "FRANCE", "BRAZIL", "JAPAN", "CHINA", "UNITED STATES"]
+LANES = [f"NATION_{i}" for i in range(0, 25, 2)]
 
 
 @register("signal_in_lanes", "P13", O.with_ctes(*NATION_SPIKES) + f"""
@@ -634,7 +650,7 @@ def files(spark, sf):
     return collapse_observations(T.observations(spark, sf))
 
 
-@register("file_collapse", "A8 F31 F32 S9", O.with_ctes(*FILES) + f"SELECT {', '.join(FILE_COLS)} FROM files")
+@register("file_collapse", "A8 F31 F32", O.with_ctes(*FILES) + f"SELECT {', '.join(FILE_COLS)} FROM files")
 def q_file_collapse(spark, sf):
     return files(spark, sf).select(*FILE_COLS)
 
@@ -689,11 +705,11 @@ def q_audit_by_day(spark, sf):
 
 @register("day_status", "P12", O.with_ctes(*FILES, O.event_bounds_cte(), O.spine_cte(), BY_DAY_SQL) + """
 SELECT *, CASE WHEN files_ready = 0 AND files_unresolved_404 = files_expected THEN 'empty_all_404'
-  WHEN files_ready = 0 THEN 'empty' WHEN files_ready < 192 THEN 'partial' ELSE 'complete' END AS day_status
+  WHEN files_ready = 0 THEN 'empty' WHEN files_ready < 150 THEN 'partial' ELSE 'complete' END AS day_status
 FROM by_day""")
 def q_day_status(spark, sf):
     from limelight.operators.audit import with_day_status
-    return with_day_status(audit_days(spark, sf), 192)
+    return with_day_status(audit_days(spark, sf), 150)
 
 
 @register("size_profile", "A12", O.with_ctes(*FILES) + """
@@ -739,7 +755,7 @@ def q_failure_runs(spark, sf):
     return out.withColumn("failure_run", F.col("failure_run").cast("bigint"))
 
 
-@register("ingestion_metrics", "A17 F36", O.with_ctes(*OBS) + """
+@register("ingestion_metrics", "A17", O.with_ctes(*OBS) + """
 SELECT count(*) AS files_expected,
   count(*) FILTER (WHERE download_status = 'skipped') AS files_download_skipped,
   count(*) FILTER (WHERE download_status = 'downloaded') AS files_downloaded,
@@ -834,12 +850,16 @@ def q_files_to_fetch(spark, sf):
 @register("null_check", "Q1", """
 SELECT * FROM (VALUES
   ('conv_id', (SELECT count(*) FILTER (WHERE conv_id IS NULL) FROM conversations)),
-  ('turn', (SELECT count(*) FILTER (WHERE turn IS NULL) FROM conversations)),
-  ('role', (SELECT count(*) FILTER (WHERE role IS NULL) FROM conversations)),
-  ('text', (SELECT count(*) FILTER (WHERE text IS NULL) FROM conversations))) t(column_name, null_rows)""")
+  ('turn', (SELECT count(*) FILTER (WHERE turn = 0) FROM conversations)),
+  ('role', (SELECT count(*) FILTER (WHERE role = 'system') FROM conversations)),
+  ('text', (SELECT count(*) FILTER (WHERE length(text) < 40) FROM conversations))) t(column_name, null_rows)""")
 def q_null_check(spark, sf):
+    """First turns, system roles and short texts are blanked, so that there are NULLs to count."""
     from limelight.operators.quality import check_not_null
-    return check_not_null(T.table(spark, sf, "conversations"), ["conv_id", "turn", "role", "text"])
+    c = T.table(spark, sf, "conversations").select(
+        "conv_id", F.nullif("turn", F.lit(0)).alias("turn"), F.nullif("role", F.lit("system")).alias("role"),
+        F.when(F.length("text") >= 40, F.col("text")).alias("text"))
+    return check_not_null(c, ["conv_id", "turn", "role", "text"])
 
 
 @register("unique_check", "Q2", """
@@ -857,37 +877,71 @@ def q_unique_combination(spark, sf):
     return check_unique_combination(T.table(spark, sf, "conversations"), ["conv_id", "role"])
 
 
-@register("week_start_check", "Q4", O.with_ctes(O.trends_cte()) + """
-SELECT count(*) FILTER (WHERE dayofweek(week_start) <> 0) AS non_sunday_rows FROM trends""")
+DEGRADED_TRENDS_SQL = """shifted AS (
+  SELECT CAST(week_start + CASE WHEN audience_scope = 'fr' THEN 1 ELSE 0 END AS DATE) AS week_start, audience_scope, interest FROM trends
+  UNION ALL SELECT week_start, audience_scope, interest FROM trends WHERE audience_scope = 'es')"""
+
+
+def degraded_trends(spark, sf):
+    """Trends with violations: the ``fr`` weeks start on a Monday, the ``es`` weeks occur twice."""
+    t = T.trends(spark, sf)
+    day = F.date_add("week_start", F.when(F.col("audience_scope") == "fr", 1).otherwise(0))
+    return t.select(day.alias("week_start"), "audience_scope", "interest").unionByName(t.filter(F.col("audience_scope") == "es"))
+
+
+@register("week_start_check", "Q4", O.with_ctes(O.trends_cte(), DEGRADED_TRENDS_SQL) + """
+SELECT count(*) FILTER (WHERE dayofweek(week_start) <> 0) AS non_sunday_rows FROM shifted""")
 def q_week_start_check(spark, sf):
     from limelight.operators.quality import check_week_start_day
-    return check_week_start_day(T.trends(spark, sf))
+    return check_week_start_day(degraded_trends(spark, sf))
+
 
+@register("range_check", "Q7", """
+SELECT count(*) FILTER (WHERE value IS NOT NULL AND NOT (value BETWEEN 0.0 AND 100.0)) AS out_of_range_rows FROM events""")
+def q_range_check(spark, sf):
+    from limelight.operators.quality import check_range
+    return check_range(T.table(spark, sf, "events"), "value", 0.0, 100.0)
 
-@register("check_suite", "Q8 Q9 Q2 Q3 Q7", O.with_ctes(O.event_bounds_cte(), O.spine_cte(), O.pageviews_cte(), O.trends_cte(),
-                                                      O.matches_cte()) + """
+
+@register("one_to_one_check", "Q8", O.with_ctes(O.matches_cte(), O.trends_cte(), DEGRADED_TRENDS_SQL) + """
+SELECT week_start, n_records, side FROM (
+  SELECT week_start, count(*) AS n_records, 'left' AS side FROM shifted GROUP BY week_start HAVING count(*) > 1
+  UNION ALL SELECT CAST(match_date - CAST(dayofweek(match_date) AS INTEGER) AS DATE), count(*), 'right' FROM matches GROUP BY 1 HAVING count(*) > 1)""")
+def q_one_to_one_check(spark, sf):
+    from limelight.functions.dates import week_start
+    from limelight.operators.quality import check_one_to_one
+    weeks = T.matches(spark, sf).select(week_start("match_date").alias("week_start"))
+    return check_one_to_one(degraded_trends(spark, sf), weeks, ["week_start"])
+
+
+@register("check_suite", "Q9 Q1 Q2 Q3 Q4 Q7", O.with_ctes(O.event_bounds_cte(), O.spine_cte(), O.pageviews_cte(), O.trends_cte(),
+                                                         O.matches_cte(), DEGRADED_TRENDS_SQL) + """
 SELECT 'pageviews_unique' AS check_name, CAST(count(*) AS BIGINT) AS violations FROM (
   SELECT date, language FROM pageviews GROUP BY ALL HAVING count(*) > 1)
-UNION ALL SELECT 'trends_unique', count(*) FROM (SELECT week_start, audience_scope FROM trends GROUP BY ALL HAVING count(*) > 1)
-UNION ALL SELECT 'matches_date_unique', count(*) FROM (SELECT match_date FROM matches WHERE match_date IS NOT NULL GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT 'trends_unique', count(*) FROM (SELECT week_start, audience_scope FROM shifted GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT 'goals_unique', count(*) FROM (SELECT goals FROM matches WHERE goals <> 0 GROUP BY ALL HAVING count(*) > 1)
 UNION ALL SELECT 'matches_not_null', CAST(coalesce(sum(n), 0) AS BIGINT) FROM (
-  SELECT count(*) FILTER (WHERE competition IS NULL) + count(*) FILTER (WHERE match_date IS NULL) + count(*) FILTER (WHERE goals IS NULL) AS n FROM matches)
-UNION ALL SELECT 'trends_week_start', count(*) FILTER (WHERE dayofweek(week_start) <> 0) FROM trends""")
+  SELECT count(*) FILTER (WHERE competition IS NULL) + count(*) FILTER (WHERE goals = 0) + count(*) FILTER (WHERE total_time IS NULL) AS n FROM matches)
+UNION ALL SELECT 'cards_range', count(*) FILTER (WHERE yellow_cards IS NOT NULL AND NOT (yellow_cards BETWEEN 0 AND 1)) FROM matches
+UNION ALL SELECT 'trends_week_start', count(*) FILTER (WHERE dayofweek(week_start) <> 0) FROM shifted""")
 def q_check_suite(spark, sf):
     from limelight.operators.quality import CheckSpec, run_checks
-    pv, tr, m = T.pageviews(spark, sf), T.trends(spark, sf), T.matches(spark, sf)
+    m = T.matches(spark, sf).withColumn("goals", F.nullif("goals", F.lit(0)))
     return (
-        run_checks(pv, [CheckSpec("pageviews_unique", "unique_combination", ["date", "language"])])
-        .unionByName(run_checks(tr, [CheckSpec("trends_unique", "unique_combination", ["week_start", "audience_scope"])]))
-        .unionByName(run_checks(m, [CheckSpec("matches_date_unique", "unique", ["match_date"]),
-                                    CheckSpec("matches_not_null", "not_null", ["competition", "match_date", "goals"])]))
-        .unionByName(run_checks(tr, [CheckSpec("trends_week_start", "week_start", ["week_start"])]))
+        run_checks(T.pageviews(spark, sf), [CheckSpec("pageviews_unique", "unique_combination", ["date", "language"])])
+        .unionByName(run_checks(degraded_trends(spark, sf), [
+            CheckSpec("trends_unique", "unique_combination", ["week_start", "audience_scope"]),
+            CheckSpec("trends_week_start", "week_start", ["week_start"])]))
+        .unionByName(run_checks(m, [
+            CheckSpec("goals_unique", "unique", ["goals"]),
+            CheckSpec("matches_not_null", "not_null", ["competition", "goals", "total_time"]),
+            CheckSpec("cards_range", "range", ["yellow_cards"], 0, 1)]))
     )
 
 
 # ---------------------------------------------------------------- payloads and collectors
 
-@register("json_props", "S10 S12-style", """
+@register("json_props", "S10", """
 SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
 def q_json_props(spark, sf):
     e = T.table(spark, sf, "events")
@@ -895,7 +949,7 @@ def q_json_props(spark, sf):
     return e.select("event_id", parsed["k"].alias("k"))
 
 
-@register("pageviews_payload", "S10 F29", O.with_ctes(O.event_bounds_cte(), O.spine_cte(), O.pageviews_cte()) + """
+@register("pageviews_payload", "S10", O.with_ctes(O.event_bounds_cte(), O.spine_cte(), O.pageviews_cte()) + """
 SELECT language, date, views FROM pageviews""")
 def q_pageviews_payload(spark, sf):
     """Round trip through the collector's JSON payload shape: one payload per
@@ -910,7 +964,116 @@ def q_pageviews_payload(spark, sf):
     return parse_pageviews(payloads, "payload", keep=["language"])
 
 
-@register("html_extract", "S13", r"""
+@register("timeline_payload", "S11 F29", O.with_ctes(O.trends_cte()) + "SELECT audience_scope, week_start, interest FROM trends")
+def q_timeline_payload(spark, sf):
+    """One guarded payload per scope and year (at most 53 points a group), parsed back by S11."""
+    from limelight.sources.payloads import parse_timeline
+    points = F.sort_array(F.collect_list(F.struct(
+        F.unix_timestamp(F.col("week_start").cast("timestamp")).cast("string").alias("time"),
+        F.array("interest").alias("value"))))
+    body = F.struct(F.struct(points.alias("timelineData")).alias("default"))
+    payloads = T.trends(spark, sf).groupBy("audience_scope", F.year("week_start").alias("year")) \
+        .agg(F.concat(F.lit(")]}',\n"), F.to_json(body)).alias("payload"))
+    return parse_timeline(payloads, keep=["audience_scope"])
+
+
+@register("widget_choice", "S12 Q5", """
+SELECT event_id, CASE WHEN event_type <> 'error' THEN 't' || user_id END AS widget_token,
+  event_type <> 'error' AS widget_found, event_type = 'view' AS weekly_resolution
+FROM events""")
+def q_widget_choice(spark, sf):
+    from limelight.sources.payloads import select_widget
+    kind = F.col("event_type")
+    widget = lambda name, token, unit: F.struct(
+        F.lit(name).alias("id") if isinstance(name, str) else name.alias("id"), token.alias("token"),
+        F.struct(unit.alias("resolution")).alias("request"))
+    chosen = F.when(kind == "error", "RELATED").otherwise("TIMESERIES")
+    widgets = F.array(
+        widget("GEO", F.lit("g"), F.lit("WEEK")),
+        widget(chosen, F.concat(F.lit("t"), F.col("user_id")), F.when(kind == "view", "WEEK").otherwise("DAY")))
+    payloads = T.table(spark, sf, "events").select("event_id", F.to_json(F.struct(widgets.alias("widgets"))).alias("payload"))
+    return select_widget(payloads).select("event_id", "widget_token", "widget_found", "weekly_resolution")
+
+
+@register("raw_lines", "S1", O.with_ctes(O.raw_feed_cte()) + """
+SELECT GKGRECORDID, "DATE" AS record_date, SourceCommonName, DocumentIdentifier, Themes, length(AllNames) AS names_chars,
+  length(V2Persons) AS persons_chars, V2Tone, TranslationInfo FROM raw_feed""")
+def q_raw_lines(spark, sf):
+    """The feed written as tab-separated lines and parsed back."""
+    from limelight.sources.raw_feed import GKG_COLUMNS, raw_rows_from_lines
+    feed = T.raw_feed(spark, sf)
+    lines = feed.select(F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in GKG_COLUMNS]).alias("line"))
+    return raw_rows_from_lines(lines).select(
+        "GKGRECORDID", F.col("DATE").alias("record_date"), "SourceCommonName", "DocumentIdentifier", "Themes",
+        F.length("AllNames").cast("bigint").alias("names_chars"), F.length("V2Persons").cast("bigint").alias("persons_chars"),
+        "V2Tone", "TranslationInfo")
+
+
+CELLS_SQL = """cells AS (
+  SELECT event_id, event_type, CAST(ts AS DATE) AS d, CAST(floor(value) AS BIGINT) AS v, event_id % 10 AS c FROM events),
+typed AS (
+  SELECT event_id, event_type, d, v, c,
+    CASE WHEN c <> 0 THEN v % 120 END AS total_time,
+    CASE WHEN c = 0 THEN 0 ELSE v % 4 END AS goals FROM cells)"""
+
+
+def match_cells(spark, sf):
+    """Events as raw match cells: padded numbers, ``-`` for unplayed, and one broken kind of cell in ten."""
+    e = T.table(spark, sf, "events")
+    v, c = F.floor("value").cast("bigint"), F.col("event_id") % 10
+    day = F.date_format(F.col("ts").cast("date"), "yyyy/MM/dd")
+    num = lambda x: F.concat(F.lit(" "), x.cast("string"), F.lit("\n"))
+    zero = F.lit("0")
+    return e.select(
+        F.col("event_id").cast("string").alias("payload_id"),
+        F.concat(F.lit("  League "), F.col("event_type"), F.lit(" ")).alias("competition"),
+        F.when(c == 1, F.lit("soon")).otherwise(F.concat(F.lit("on "), day)).alias("date_text"),
+        F.lit("Red  Star").alias("team1"),
+        F.when(c == 2, F.lit("2-1")).otherwise(F.concat(v.cast("string"), F.lit(":0"))).alias("score"), F.lit("Blue").alias("team2"),
+        F.when(c == 0, F.lit(" - ")).when(c == 3, F.lit("x")).otherwise(num(v % 120)).alias("total_time_raw"),
+        F.when(c == 0, zero).when(c == 4, F.lit("1.5")).otherwise(num(v % 4)).alias("goals_raw"),
+        zero.alias("penalties_raw"), zero.alias("missed_penalties_raw"),
+        F.when((c == 0) & (v % 2 == 0), F.lit("1")).otherwise(zero).alias("yellow_cards_raw"), zero.alias("red_cards_raw"),
+        F.when(c == 5, F.lit("no cells")).alias("parse_error"))
+
+
+@register("match_rows", "F24 F25 F26 F28 Q6", O.with_ctes(CELLS_SQL) + """
+SELECT CAST(event_id AS VARCHAR) AS payload_id, 'League ' || event_type AS competition, CASE WHEN c <> 1 THEN d END AS match_date,
+  'Red Star' AS team1, CASE WHEN c <> 3 THEN total_time END AS total_time, CASE WHEN c <> 4 THEN goals END AS goals,
+  CASE WHEN c = 5 THEN 'no cells' WHEN c = 2 THEN 'bad score' WHEN c = 1 THEN 'no date' WHEN c = 3 THEN 'bad total_time'
+    WHEN c = 4 THEN 'bad goals' WHEN c = 0 AND v % 2 = 0 THEN 'unplayed match with events' END AS error_reason
+FROM typed""")
+def q_match_rows(spark, sf):
+    from limelight.sources.payloads import type_match_rows
+    return type_match_rows(match_cells(spark, sf)).select("payload_id", "competition", "match_date", "team1", "total_time", "goals", "error_reason")
+
+
+@register("league_matches", "P10 P15 F25", O.with_ctes(CELLS_SQL) + """
+SELECT 'League ' || event_type AS league, count(*) AS matches, CAST(sum(total_time) AS BIGINT) AS minutes, CAST(sum(goals) AS BIGINT) AS goals
+FROM typed WHERE NOT (c BETWEEN 1 AND 5 OR c = 0 AND v % 2 = 0) AND event_type <> 'error' GROUP BY 1""")
+def q_league_matches(spark, sf):
+    """Valid matches without one competition, renamed and cast, summed per league."""
+    from limelight.operators.filters import exclude_category, rename_normalize
+    from limelight.sources.payloads import typed_matches
+    good, _ = typed_matches(match_cells(spark, sf), exclude_competition=None, strict=False)
+    named = rename_normalize(exclude_category(good, "competition", "League error"),
+                             {"competition": "league", "total_time": "minutes"}, ["minutes", "goals"], ["league", "minutes", "goals"])
+    return named.groupBy("league").agg(F.count(F.lit(1)).alias("matches"), F.sum("minutes").alias("minutes"), F.sum("goals").alias("goals"))
+
+
+@register("tagged_union", "U2 F35", O.with_ctes(O.event_bounds_cte(), O.spine_cte(), O.pageviews_cte()) + """
+SELECT CASE language WHEN 'en' THEN 'English' ELSE 'French' END AS edition, strftime(date, '%Y-%m-%d') AS day, views
+FROM pageviews WHERE language IN ('en', 'fr')""")
+def q_tagged_union(spark, sf):
+    from limelight.functions.dates import format_date
+    from limelight.operators.sets import concat_tagged
+    pv = T.pageviews(spark, sf)
+    frames = {name: pv.filter(F.col("language") == code).select(format_date("date").alias("day"), "views")
+              for name, code in (("English", "en"), ("French", "fr"))}
+    return concat_tagged(frames, "edition")
+
+
+@register("html_extract", "page fields", r"""
 SELECT page_id,
   regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title,
   regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) AS h1,
@@ -922,7 +1085,7 @@ def q_html_extract(spark, sf):
     return html_fields(T.table(spark, sf, "pages"), "html").select("page_id", "title", "h1", "links", "lang")
 
 
-@register("collector_totals", "A24 U2", O.with_ctes(O.event_bounds_cte(), O.spine_cte(), O.pageviews_cte()) + """
+@register("collector_totals", "A24", O.with_ctes(O.event_bounds_cte(), O.spine_cte(), O.pageviews_cte()) + """
 SELECT language, count(*) AS rows, CAST(sum(views) AS BIGINT) AS total_views FROM pageviews GROUP BY language""")
 def q_collector_totals(spark, sf):
     from limelight.operators.metrics import collector_totals

@@ -7,7 +7,7 @@ not used by the Spark code path.
 
 from __future__ import annotations
 
-from limelight.plans.testdata import CANONICAL, LANG_CODES, PAGEVIEW_LANGUAGES, TOKEN, TREND_SCOPES
+from limelight.plans.testdata import CANONICAL, LANG_CODES, PAGEVIEW_LANGUAGES, TOKEN, TREND_SCOPES, WEEKLY_ORDER_MEASURES
 from limelight.sources.raw_feed import BRONZE_COLUMNS, GKG_COLUMNS, SEARCH_TEXT_COLUMNS
 
 WS = r"'^\s+|\s+$'"
@@ -53,7 +53,8 @@ def raw_feed_cte() -> str:
         "SourceCollectionIdentifier": "'1'",
         "SourceCommonName": "d.source",
         "DocumentIdentifier": "'https://' || CASE WHEN e.event_type IN ('view', 'click') THEN 'www.' ELSE '' END"
-        " || d.source || '.example.com/' || d.lang || '/' || md5(d.text)"
+        " || 'news.example.com/' || CASE WHEN e.event_type = 'purchase' THEN '100%/' ELSE '' END || d.lang || '/'"
+        f" || {words}[1] || '/' || md5(d.text)"
         " || CASE WHEN e.event_type = 'signup' THEN '/' ELSE '' END",
         "V2Persons": packed(words, True),
         "AllNames": packed(words, False),
@@ -374,10 +375,11 @@ def observations_cte() -> str:
     CAST(NULL AS VARCHAR) AS gcp_url
   FROM (
     SELECT *, strftime(to_timestamp(floor(epoch(CAST(ts AS TIMESTAMP)) / 900) * 900)::TIMESTAMP, '%Y%m%d%H%M%S') AS stamp,
-      CASE WHEN event_type = 'error' THEN CASE WHEN value < 50 THEN 'missing_upstream' ELSE 'download_failed' END
+      CASE WHEN day(ts) % 7 = 1 THEN 'downloaded' WHEN day(ts) % 7 = 3 THEN 'missing_upstream' WHEN day(ts) % 7 = 5 THEN 'download_failed'
+        WHEN event_type = 'error' THEN CASE WHEN value < 50 THEN 'missing_upstream' ELSE 'download_failed' END
         WHEN event_type = 'view' THEN 'skipped' ELSE 'downloaded' END AS status,
       CASE WHEN event_type IN ('view', 'click') THEN 'translation' ELSE 'regular' END AS stream
-    FROM events)
+    FROM (SELECT * REPLACE (CASE WHEN day(ts) % 7 = 1 THEN value + 5 ELSE value END AS value) FROM events))
 )"""
 
 
@@ -395,9 +397,16 @@ files AS (
     coalesce(zip_size_bytes, 0) > 0 AS zip_size_known, coalesce(csv_size_bytes, 0) > 0 AS csv_size_known
   FROM (
     SELECT stream, gdelt_timestamp,
-      arg_min(gdelt_date, run_id) AS gdelt_date, arg_min(url, run_id) AS url,
+      arg_min(gdelt_date, {'r': run_id, 'v': gdelt_date}) AS gdelt_date, arg_min(url, {'r': run_id, 'v': url}) AS url,
       bool_or(was_downloaded) AS was_downloaded, bool_or(was_skipped) AS was_skipped, bool_or(had_404) AS had_404,
       max(zip_size_bytes) AS zip_size_bytes, max(csv_size_bytes) AS csv_size_bytes,
       count(*) AS observations, bool_or(is_ready) AS is_ready
     FROM obs_flagged GROUP BY stream, gdelt_timestamp)
 )"""
+
+
+def weekly_orders_cte() -> str:
+    measures = ", ".join(f"{e} AS {c}" for c, e in WEEKLY_ORDER_MEASURES.items())
+    return f"""weekly_orders AS (
+  SELECT CAST(CAST(o_orderdate AS DATE) - CAST(dayofweek(CAST(o_orderdate AS DATE)) AS INTEGER) AS DATE) AS week_start, {measures}
+  FROM orders GROUP BY 1)"""

@@ -32,9 +32,9 @@ TABLES = [
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
-# Parameters of the test entity: a syllable present in about a quarter of the documents.
-TOKEN = "ouen"
-CANONICAL = "ouen"
+# Parameters of the test entity: a syllable that occurs in documents of all four languages.
+TOKEN = "ente"
+CANONICAL = "ente"
 
 LANG_CODES = {"en": "eng", "fr": "fra", "es": "spa", "de": "deu"}
 PAGEVIEW_LANGUAGES = {"view": "en", "click": "fr", "signup": "es"}
@@ -89,10 +89,13 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.date_format(F.col("ts").cast("timestamp"), "yyyyMMddHHmmss")),
         "SourceCollectionIdentifier": F.lit("1"),
         "SourceCommonName": F.col("source"),
+        # copies of a text share the address up to www. and the last slash, so they are duplicates;
+        # the first word may hold the token or a broken escape, as the folder "100%" does
         "DocumentIdentifier": F.concat(
             F.lit("https://"),
             F.when(F.col("event_type").isin("view", "click"), F.lit("www.")).otherwise(F.lit("")),
-            F.col("source"), F.lit(".example.com/"), F.col("lang"), F.lit("/"), F.md5(F.col("text")),
+            F.lit("news.example.com/"), F.when(F.col("event_type") == "purchase", F.lit("100%/")).otherwise(F.lit("")),
+            F.col("lang"), F.lit("/"), words[0], F.lit("/"), F.md5(F.col("text")),
             F.when(F.col("event_type") == "signup", F.lit("/")).otherwise(F.lit("")),
         ),
         "V2Persons": packed_words(words, only_capitalized=True),
@@ -178,6 +181,45 @@ def weekly_nation_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.round(F.sum("o_totalprice"), 2).alias("signal_value"))
 
 
+def _priority(n: int) -> str:
+    return f"o_orderpriority LIKE '{n}%'"
+
+
+# Weekly measures of the orders under the names of the wide weekly table, in SQL that
+# both engines read. Counts of rare orders and steep powers of the price make spikes.
+WEEKLY_ORDER_MEASURES = {
+    "days_in_period": "count(DISTINCT CAST(o_orderdate AS DATE))",
+    "gdelt_days_available": "count(DISTINCT CASE WHEN o_totalprice > 5000 THEN CAST(o_orderdate AS DATE) END)",
+    "english_coverage": f"CAST(count_if(o_totalprice >= 490000 AND {_priority(1)}) AS BIGINT)",
+    "english_avg_tone": f"avg(CASE WHEN {_priority(1)} THEN o_totalprice END)",
+    "english_negative_share": f"avg(CASE WHEN {_priority(1)} THEN CAST(o_orderstatus = 'F' AS DOUBLE) END)",
+    "english_high_salience_coverage": f"CAST(count_if(o_totalprice >= 250000 AND {_priority(1)}) AS BIGINT)",
+    "english_high_salience_avg_tone": f"avg(CASE WHEN o_totalprice >= 250000 AND {_priority(1)} THEN o_totalprice END)",
+    "english_high_salience_negative_share": f"avg(CASE WHEN o_totalprice >= 250000 AND {_priority(1)} THEN CAST(o_orderstatus = 'F' AS DOUBLE) END)",
+    "translated_coverage": f"CAST(count_if(NOT {_priority(1)}) AS BIGINT)",
+    "translated_avg_tone": f"avg(CASE WHEN NOT {_priority(1)} THEN o_totalprice END)",
+    "translated_negative_share": f"avg(CASE WHEN NOT {_priority(1)} THEN CAST(o_orderstatus = 'F' AS DOUBLE) END)",
+    "translated_french_coverage": f"CAST(count_if(o_totalprice >= 490000 AND {_priority(2)}) AS BIGINT)",
+    "translated_spanish_coverage": f"CAST(count_if(o_totalprice >= 490000 AND {_priority(3)}) AS BIGINT)",
+    "wikipedia_en_views": "CAST(round(sum(pow(o_totalprice / 500000.0, 200)) * 1000) AS BIGINT)",
+    "wikipedia_fr_views": "CAST(round(sum(CASE WHEN o_orderstatus = 'F' THEN pow(o_totalprice / 500000.0, 200) END) * 1000) AS BIGINT)",
+    "wikipedia_es_views": "CAST(round(sum(CASE WHEN o_orderstatus = 'P' THEN pow(o_totalprice / 500000.0, 200) END) * 1000) AS BIGINT)",
+    "google_trends_global_avg_interest": "CAST(round(max(pow(o_totalprice / 500000.0, 400)) * 1000) AS BIGINT)",
+    "google_trends_fr_avg_interest": "CAST(round(max(CASE WHEN o_orderstatus = 'F' THEN pow(o_totalprice / 500000.0, 400) END) * 1000) AS BIGINT)",
+    "google_trends_es_avg_interest": "CAST(round(max(CASE WHEN o_orderstatus = 'P' THEN pow(o_totalprice / 500000.0, 400) END) * 1000) AS BIGINT)",
+    "football_appearances": "CAST(count_if(o_orderstatus = 'O') AS BIGINT)",
+    "football_minutes": "CAST(sum(CASE WHEN o_orderstatus = 'O' THEN o_orderkey % 90 END) AS BIGINT)",
+    "football_goals": "CAST(count_if(o_orderstatus = 'O' AND o_totalprice > 400000) AS BIGINT)",
+}
+
+
+def weekly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide weekly table (nine signals, 18 context columns) from the orders of each week."""
+    o = table(spark, sf_dir, "orders")
+    return o.groupBy(week_start(F.col("o_orderdate").cast("date")).alias("week_start")).agg(
+        *[F.expr(e).alias(c) for c, e in WEEKLY_ORDER_MEASURES.items()])
+
+
 def hourly_event_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.groupBy(
@@ -198,13 +240,19 @@ def appearances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The file-observation log: one row per event; file key = (stream, 15-minute slot)."""
+    """The file-observation log: one row per event; file key = (stream, 15-minute slot).
+
+    By the day of the month modulo 7: 1 all files are downloaded and extracted, 3 all
+    are missing upstream, 5 all downloads fail; other days are mixed."""
     e = table(spark, sf_dir, "events")
     ts = F.col("ts").cast("timestamp")
     slot = F.timestamp_seconds(F.floor(F.unix_timestamp(ts) / 900) * 900)
-    status = F.when(F.col("event_type") == "error", F.when(F.col("value") < 50, F.lit("missing_upstream"))
-                    .otherwise(F.lit("download_failed"))) \
+    day = F.dayofmonth(ts) % 7
+    status = F.when(day == 1, F.lit("downloaded")).when(day == 3, F.lit("missing_upstream")).when(day == 5, F.lit("download_failed")) \
+        .when(F.col("event_type") == "error", F.when(F.col("value") < 50, F.lit("missing_upstream"))
+              .otherwise(F.lit("download_failed"))) \
         .when(F.col("event_type") == "view", F.lit("skipped")).otherwise(F.lit("downloaded"))
+    value = F.when(day == 1, F.col("value") + 5).otherwise(F.col("value"))
     stream = F.when(F.col("event_type").isin("view", "click"), F.lit("translation")).otherwise(F.lit("regular"))
     stamp = F.date_format(slot, "yyyyMMddHHmmss")
     return e.select(
@@ -217,12 +265,12 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("http://feed.example/"), stamp, F.when(stream == "translation", F.lit(".translation"))
                  .otherwise(F.lit("")), F.lit(".gkg.csv.zip")).alias("url"),
         status.alias("download_status"),
-        F.when(status == "downloaded", F.when(F.col("value") < 5, F.lit("unzip_failed")).otherwise(F.lit("extracted")))
+        F.when(status == "downloaded", F.when(value < 5, F.lit("unzip_failed")).otherwise(F.lit("extracted")))
         .alias("unzip_status"),
         F.when(status == "missing_upstream", F.lit(404)).when(status == "download_failed", F.lit(500))
         .when(status == "downloaded", F.lit(200)).cast("int").alias("http_status"),
-        F.when(status == "downloaded", (F.col("value") * 1000).cast("bigint")).alias("zip_size_bytes"),
-        F.when(status.isin("downloaded", "skipped") & (F.col("value") >= 2), (F.col("value") * 8000).cast("bigint"))
+        F.when(status == "downloaded", (value * 1000).cast("bigint")).alias("zip_size_bytes"),
+        F.when(status.isin("downloaded", "skipped") & (value >= 2), (value * 8000).cast("bigint"))
         .alias("csv_size_bytes"),
         F.lit(None).cast("string").alias("gcp_url"),
     )

@@ -23,3 +23,18 @@ def test_query_matches_oracle(spark, con, name):
     res = compare(df, entry.oracle_sql()[name], con)
     assert res["match"], res
     assert not res.get("type_mismatches"), res
+    assert res["rows_spark"] > 0, "an empty result proves nothing"
+
+
+def test_results_are_not_constant(spark):
+    """The measures that a broken operator would leave empty or constant on weak input."""
+    values = lambda name, column: {r[0] for r in entry.queries()[name](spark, SF).select(column).distinct().collect()}
+    assert values("detect_spikes", "signal_group") == {"media", "wikipedia", "google_trends"}
+    assert values("day_status", "day_status") >= {"empty", "empty_all_404", "partial", "complete"}
+    assert values("salience", "url_player_signal") == {0.0, 1.0}
+    assert entry.queries()["dedup_metrics"](spark, SF).first().removed_rows > 0
+    assert entry.queries()["full_day_profile"](spark, SF).first().full_days > 0
+    for name, column in (("check_suite", "violations"), ("null_check", "null_rows")):
+        assert max(values(name, column)) > 0
+    assert entry.queries()["week_start_check"](spark, SF).first()[0] > 0 and entry.queries()["range_check"](spark, SF).first()[0] > 0
+    assert "spa" in {r[0] for r in entry.queries()["process_articles"](spark, SF).select("source_language").distinct().collect()}

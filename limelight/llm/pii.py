@@ -210,9 +210,14 @@ def _found(with_entities: bool):
 def assign(found: DataFrame, key: bytes) -> DataFrame:
     """(type, value, surrogate) of every distinct entity, surrogates distinct within a type and no entity themselves."""
 
-    @F.udf("string")
-    def make(kind, value, attempt):
-        return surrogate(kind, value, attempt, key)
+    def make(attempt):
+        def run(batches):
+            for b in batches:
+                kinds, values = b.column("type").to_pylist(), b.column("value").to_pylist()
+                made = [surrogate(k, v, attempt, key) for k, v in zip(kinds, values)]
+                yield pa.record_batch([b.column("type"), b.column("value"), pa.array(made, pa.string())], names=["type", "value", "surrogate"])
+
+        return run
 
     # a name's forms share one space of surrogates, so that no two persons meet
     space = F.when(F.col("type").startswith("given_"), "given").otherwise(F.col("type"))
@@ -220,7 +225,8 @@ def assign(found: DataFrame, key: bytes) -> DataFrame:
     real = todo.select(space.alias("space"), F.col("value").alias("surrogate")).distinct()
     done, attempt = None, 0
     while True:
-        tried = C.cut(todo.withColumn("surrogate", make("type", "value", F.lit(attempt))).withColumn("space", space))
+        made = todo.mapInArrow(make(attempt), "type string, value string, surrogate string")
+        tried = C.cut(made.withColumn("space", space))
         first = tried.groupBy("space", "surrogate").agg(F.min(F.struct("type", "value")).alias("winner"))
         free = first.join(real, ["space", "surrogate"], "left_anti")
         if done is not None:

@@ -1048,6 +1048,19 @@ def q_match_rows(spark, sf):
     return type_match_rows(match_cells(spark, sf)).select("payload_id", "competition", "match_date", "team1", "total_time", "goals", "error_reason")
 
 
+@register("metric_titles", "F24 F27", """
+SELECT CASE event_type WHEN 'purchase' THEN 'goals' WHEN 'error' THEN 'missed_penalties' WHEN 'click' THEN 'total_time' WHEN 'view' THEN 'red_cards' END AS metric,
+  count(*) AS events, CAST(sum(user_id) AS BIGINT) AS users FROM events GROUP BY 1""")
+def q_metric_titles(spark, sf):
+    """Headings of the event types, in odd case and spacing, and one that is unknown."""
+    from limelight.sources.payloads import metric_name
+    headings = {"purchase": " Goal", "error": "Missing\n Penalty ", "click": "TOTAL  time", "view": "Red card", "signup": "Corner"}
+    lookup = F.create_map(*[F.lit(x) for pair in headings.items() for x in pair])
+    e = T.table(spark, sf, "events").withColumn("heading", lookup[F.col("event_type")])
+    return e.groupBy(metric_name("heading").alias("metric")).agg(
+        F.count(F.lit(1)).alias("events"), F.sum("user_id").cast("bigint").alias("users"))
+
+
 @register("league_matches", "P10 P15 F25", O.with_ctes(CELLS_SQL) + """
 SELECT 'League ' || event_type AS league, count(*) AS matches, CAST(sum(total_time) AS BIGINT) AS minutes, CAST(sum(goals) AS BIGINT) AS goals
 FROM typed WHERE NOT (c BETWEEN 1 AND 5 OR c = 0 AND v % 2 = 0) AND event_type <> 'error' GROUP BY 1""")

@@ -115,6 +115,12 @@ RAW_MATCH_SCHEMA = (
     "total_time_raw string, goals_raw string, penalties_raw string, missed_penalties_raw string, "
     "yellow_cards_raw string, red_cards_raw string, parse_error string"
 )
+def metric_name(title) -> Column:
+    """a column heading (any case and spacing) to its metric; unknown headings -> NULL."""
+    lookup = F.create_map(*[F.lit(x) for pair in METRIC_NAME_BY_TITLE.items() for x in pair])
+    return F.try_element_at(lookup, F.lower(squeeze_whitespace(title)))
+
+
 def type_match_rows(raw: DataFrame) -> DataFrame:
     """F24-F28 + Q6: typed match columns plus ``error_reason`` (NULL when valid):
     digits-only metrics, ``-`` minutes means unplayed and needs all events 0,

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from limelight.llm import common as C
 
+#: An anchor with more distinct spans than this is looked at window by window instead of as one group.
+CROWD = 1000
 NONE = np.uint64(2**64 - 1)
 INVERSE = np.uint64(pow(int(C.BASE), -1, 2**64))
 
@@ -151,22 +153,25 @@ def pc_fill(ids: pa.Array) -> pa.Array:
 
 
 def settle(rows: DataFrame, ordered: bool) -> DataFrame:
-    """Per doc the list ``runs`` of struct(start, count, at, key, done, open).
+    """Per doc the list ``runs`` of struct(start, count, at, key, done, open, crowded).
 
     ``done``: all windows of the run are repeats. ``open``: its windows have to be
     compared with those of other phrases of the anchor (one phrase for each distinct
-    span). One shuffle by anchor; both windows go over one sort.
+    span); ``crowded``: more than CROWD of them have this anchor. One shuffle by
+    anchor; both windows go over one sort.
     """
     same, anchor = Window.partitionBy("key", "span"), Window.partitionBy("key")
     place = F.struct("doc", "start")
     seen = rows.repartition("key").select(
         "*", F.min(place).over(same).alias("first"), F.sum("n").over(same).alias("times")
-    ).select("*", (F.min("span").over(anchor) != F.max("span").over(anchor)).alias("several"))
+    )
     is_first = place == F.col("first")
+    seen = seen.select("*", F.count(F.when(is_first & ~F.col("done"), 1)).over(anchor).alias("spans"))
     done = F.col("done") | (~is_first if ordered else F.col("times") > 1)
     rows = seen.select("doc", "start", "count", "at", "key", done.alias("done"),
-                       (~F.col("done") & F.col("several") & is_first).alias("open")).where("done or open")
-    return rows.groupBy("doc").agg(F.collect_list(F.struct("start", "count", "at", "key", "done", "open")).alias("runs"))
+                       (~F.col("done") & (F.col("spans") > 1) & is_first).alias("open"),
+                       (F.col("spans") > CROWD).alias("crowded")).where("done or open")
+    return rows.groupBy("doc").agg(F.collect_list(F.struct("start", "count", "at", "key", "done", "open", "crowded")).alias("runs"))
 
 
 def covered(runs: list[tuple[int, int]], window: int, n: int) -> np.ndarray:

@@ -31,6 +31,19 @@ from limelight.llm import common as C
 from limelight.llm import phrases as P
 
 
+def _collapsed(key: np.ndarray, ids: pa.Array, row: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
+    """Windows of a batch: the first of equal ones asks the corpus, the others are ``later`` for sure and meet nobody."""
+    doc = np.asarray(P.pc_fill(ids))[row]
+    order = np.lexsort((start, doc, key))
+    key, doc, row, start = key[order], doc[order], row[order], start[order]
+    new = np.append(True, key[1:] != key[:-1])
+    head = np.repeat(np.flatnonzero(new), np.diff(np.append(np.flatnonzero(new), len(key))))
+    later = (doc != doc[head]) | (start != start[head])
+    own = C.mix(key + (np.arange(len(key)) + 1).astype(np.uint64) * C.STEP)
+    return pa.record_batch([pa.array(np.where(later, own, key).view(np.int64)), ids.take(pa.array(row)),
+                            pa.array(start.astype(np.int32)), pa.array(later)], names=["window", "doc", "start", "later"])
+
+
 def _boundary_windows(window: int):
     def run(batches):
         for p in C.pieces(batches):
@@ -49,8 +62,7 @@ def _boundary_windows(window: int):
             if rows:
                 row, start = np.concatenate(rows), np.concatenate(starts)
                 if len(row):
-                    yield pa.record_batch([pa.array(hasher(bounds[row] + start, window).view(np.int64)), p.column("doc_id").take(pa.array(row)),
-                                           pa.array(start.astype(np.int32))], names=["window", "doc", "start"])
+                    yield _collapsed(hasher(bounds[row] + start, window), p.column("doc_id"), row, start)
 
     return run
 
@@ -78,10 +90,10 @@ def remove_repeats(docs: DataFrame, window: int = 20, gram: int = 5) -> DataFram
     runs = C.cut(P.settle(P.phrase_rows(texts, True, window, gram, True), True))
     on = F.col("doc_id").eqNullSafe(F.col("doc"))
     open_ = runs.where(F.exists("runs", lambda r: r["open"]))
-    found = texts.join(open_, on).select("doc_id", "text", "runs").mapInArrow(_boundary_windows(window), "window long, doc long, start int")
+    found = texts.join(open_, on).select("doc_id", "text", "runs").mapInArrow(_boundary_windows(window), "window long, doc long, start int, later boolean")
     place = F.struct("doc", "start")
     first = F.min(place).over(Window.partitionBy("window"))
-    repeats = found.select("doc", "start", (place != first).alias("later")).where("later")
+    repeats = found.select("doc", "start", (F.col("later") | (place != first)).alias("later")).where("later")
     more = repeats.groupBy(F.col("doc").alias("doc2")).agg(F.collect_set("start").alias("more"))
     both = texts.join(runs, on, "left").drop("doc").join(more, F.col("doc_id").eqNullSafe(F.col("doc2")), "left")
     return both.select("doc_id", "text", "runs", "more").mapInArrow(_kept(window), "doc_id long, n_words long, n_removed long, kept string")

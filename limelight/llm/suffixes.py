@@ -12,7 +12,10 @@ a neighbour reaches the window's length.
 The strings come from the sorted shuffle files of a partition and are read
 sequentially, whole anchors at a time, ``BLOCK`` bytes of strings a batch. Memory
 is the batch plus two integers per string. Phrases that are equal as a whole
-collapse beforehand: they repeat everywhere.
+collapse beforehand: they repeat everywhere. An anchor of more than
+``phrases.CROWD`` distinct phrases (the edge of a passage that stands in a great
+many documents) is no group for one task: its windows are dealt out by their own
+hash instead and counted as a stream, which is exact as well.
 
 Defined cases: null and empty texts have no bytes; every row counts as a text of
 its own, so a repeated row is removed wherever it has a window; rows of one
@@ -98,54 +101,97 @@ def _least_between(common: np.ndarray, keep: np.ndarray) -> np.ndarray:
     return np.append(0, np.minimum.reduceat(np.append(common, 0), pairs)[::2])
 
 
+ROWS = "key long, doc long, start int, count int, at int, done boolean, bytes binary"
+
+
 def _strings(window: int):
-    """The bytes of the phrases that are open, as rows to be dealt by anchor."""
+    """What has to be compared: the bytes of open phrases, to be dealt by anchor, and the
+    windows of crowded anchors (``at`` -1, ``count`` how often in this batch), by their hash."""
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
+    names = [c.split()[0] for c in ROWS.split(", ")]
+
+    def windows(p, crowded):
+        data, off = C.text_buffer(p.column("text"))
+        hasher = P.Hasher(C.BYTE_CODE[data])
+        row, start, done = ([], [], [])
+        for i, r in crowded:
+            at = np.arange(r["start"], max(r["start"], min(r["start"] + r["count"], off[i + 1] - off[i] - window + 1)))
+            row.append(np.full(len(at), i))
+            start.append(at)
+            done.append(np.full(len(at), r["done"]))
+        row, start, done = map(np.concatenate, (row, start, done))
+        key = hasher(off[row] + start, window)
+        order = np.argsort(key, kind="stable")
+        new = np.append(True, key[order][1:] != key[order][:-1]) if len(order) else np.zeros(0, bool)
+        times = np.diff(np.append(np.flatnonzero(new), len(order)))
+        # the first of equal windows speaks for the batch; the others are repeats for sure and meet nobody
+        own = C.mix(key[order] + (np.arange(len(order)) + 1).astype(np.uint64) * C.STEP)
+        key = np.where(new, key[order], own).view(np.int64)
+        n = len(order)
+        return pa.record_batch(
+            [pa.array(key), p.column("doc_id").take(pa.array(row[order])), pa.array(start[order].astype(np.int32)),
+             pa.array(np.repeat(times, times).astype(np.int32)), pa.array(np.full(n, -1, np.int32)), pa.array(done[order]), pa.nulls(n, pa.binary())],
+            names=names)
 
     def run(batches):
         for p in C.pieces(batches):
-            out = []
-            for doc, text, runs in zip(*(p.column(c).to_pylist() for c in ("doc_id", "text", "runs"))):
+            out, crowded = [], []
+            for i, (doc, text, runs) in enumerate(zip(*(p.column(c).to_pylist() for c in ("doc_id", "text", "runs")))):
                 raw = (text or "").encode()
-                out += [(r["key"], doc, r["start"], r["count"], r["at"], r["done"], raw[r["start"]:r["start"] + r["count"] - 1 + window])
-                        for r in runs if r["open"]]
+                for r in runs:
+                    if r["open"] and r["crowded"]:
+                        crowded.append((i, r))
+                    elif r["open"]:
+                        out.append((r["key"], doc, r["start"], r["count"], r["at"], r["done"], raw[r["start"]:r["start"] + r["count"] - 1 + window]))
             if out:
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), kinds)],
-                                      names=["key", "doc", "start", "count", "at", "done", "bytes"])
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+            if crowded:
+                yield windows(p, crowded)
 
     return run
 
 
 def _sorted_strings(window: int):
-    """Runs of repeated windows, from rows that come sorted by anchor."""
+    """Runs of repeated windows, from rows that come sorted by key and ``at``."""
 
     def solve(rows):
         rows = [r for r in rows if len(r[6]) >= window]
         if not rows:
-            return None
-        key = np.array([r[0] for r in rows])
-        group = np.unique(key, return_inverse=True)[1]
+            return []
+        group = np.unique(np.array([r[0] for r in rows]), return_inverse=True)[1]
         count = np.array([min(r[3], len(r[6]) - window + 1) for r in rows])
         out = []
         for r, flag in zip(rows, repeats([r[6] for r in rows], group, np.array([r[4] for r in rows]), count, window)):
             if not r[5] and flag.any():
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], flag.view(np.int8), [0]])))
                 out += [(r[1], r[2] + int(a), int(b - a)) for a, b in zip(edge[::2], edge[1::2])]
-        if out:
-            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32()))], names=["doc", "start", "count"])
+        return out
+
+    def batch(out):
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32()))], names=["doc", "start", "count"])
 
     def run(batches):
-        held, size = [], 0
+        held, size, single = [], 0, None
         for b in batches:
+            out = []
             for r in zip(*(b.column(i).to_pylist() for i in range(7))):
+                if r[4] < 0:  # a window: it repeats if its batch had several, or another batch has one
+                    met = single is not None and single[0] == r[0]
+                    if met and not single[5] and single[3] == 1:
+                        out.append((single[1], single[2], 1))
+                    if (met or r[3] > 1) and not r[5]:
+                        out.append((r[1], r[2], 1))
+                    single = (*r[:3], 2 if met else r[3], *r[4:])
+                    continue
                 if size > BLOCK and r[0] != held[-1][0]:
-                    if (found := solve(held)) is not None:
-                        yield found
+                    out += solve(held)
                     held, size = [], 0
                 held.append(r)
                 size += len(r[6])
-        if held and (found := solve(held)) is not None:
-            yield found
+            if out:
+                yield batch(out)
+        if held and (out := solve(held)):
+            yield batch(out)
 
     return run
 
@@ -176,9 +222,8 @@ def remove_repeats(docs: DataFrame, window: int = 200, gram: int = 64) -> DataFr
     runs = C.cut(P.settle(P.phrase_rows(texts, False, window, gram, False), False))
     on = F.col("doc_id").eqNullSafe(F.col("doc"))
     open_ = runs.where(F.exists("runs", lambda r: r["open"]))
-    strings = texts.join(open_, on).select("doc_id", "text", "runs").mapInArrow(
-        _strings(window), "key long, doc long, start int, count int, at int, done boolean, bytes binary")
-    found = strings.repartition("key").sortWithinPartitions("key").mapInArrow(_sorted_strings(window), "doc long, start int, count int")
+    strings = texts.join(open_, on).select("doc_id", "text", "runs").mapInArrow(_strings(window), ROWS)
+    found = strings.repartition("key").sortWithinPartitions("key", "at").mapInArrow(_sorted_strings(window), "doc long, start int, count int")
     more = found.groupBy(F.col("doc").alias("doc2")).agg(F.collect_list(F.struct("start", "count")).alias("more"))
     both = texts.join(runs, on, "left").drop("doc").join(more, F.col("doc_id").eqNullSafe(F.col("doc2")), "left")
     return both.select("doc_id", "text", "runs", "more").mapInArrow(

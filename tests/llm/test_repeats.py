@@ -44,7 +44,9 @@ def test_substring(documents, corpus):
     assert got == brute.repeated_words(corpus)
 
 
-def test_suffixes(documents, corpus):
+@pytest.mark.parametrize("crowd", [1000, 1, 4])
+def test_suffixes(documents, corpus, monkeypatch, crowd):
+    monkeypatch.setattr(P, "CROWD", crowd)  # also with anchors that are looked at window by window
     got = {r.doc_id: tuple(r) for r in suffixes.op4(documents).collect()}
     assert got == brute.repeated_bytes(corpus)
 

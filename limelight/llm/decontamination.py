@@ -65,7 +65,8 @@ def rarest_words(wins: DataFrame, docs: DataFrame, block: int) -> DataFrame:
         seen = (docs.select(F.explode(_words(F.col("text"))).alias("raw")).select(_lower("raw").alias("word"))
                 .join(some, "word").groupBy("word").agg(F.count("*").alias("n")))
         counts = seen if counts is None else counts.unionAll(seen)
-    ranked = _by_word(wins.select("win").distinct()).join(counts, "word", "left").fillna(0, ["n"])
+    # one row per word of the benchmark: at most ``block`` rows if there is one part
+    ranked = _by_word(wins.select("win").distinct()).join(F.broadcast(counts) if parts == 1 else counts, "word", "left").fillna(0, ["n"])
     best = ranked.groupBy("win").agg(F.min(F.struct("n", "word", "k")).alias("best"))
     return best.where("best.n > 0").select("win", "best.word", "best.k")  # a word that never occurs rules its windows out
 

@@ -19,27 +19,32 @@ from limelight.llm import common, decontamination, neardup, packing, quality, se
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least 0.7; the model is fitted on the labelled rows of the documents given."""
+    common.ready(spark)
     model = quality.train(docs, common.table(spark, sf_dir, "labels"))
     return quality.keep_good(docs, model, threshold=0.7)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of each group of near-duplicates (five-word shingles, similarity 0.8)."""
+    common.ready(spark)
     return neardup.keep_one(docs, n=5, percent=80)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of ten benchmark words."""
+    common.ready(spark)
     return decontamination.drop_contaminated(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked in the text and n_chars following it."""
+    common.ready(spark)
     return secrets.mask(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    common.ready(spark)
     return packing.pack_documents(docs)
 
 

@@ -8,14 +8,20 @@
    first k - t + 1 of each in a common order, so only that prefix is posted, the
    rarest pairs first; pairs that only one representative has fill prefix places
    and need no list. Texts like nothing else leave the join here.
-3. Lists are worked off in rounds. A few hubs of each list are compared with
-   all its members: agreeing coordinates are counted, pairs with at least ``t`` are
-   confirmed on the full sets. Disagreement is a metric, so a member linked with
-   a hub can be skipped from the list once no unlinked member is near enough
-   to it by the triangle inequality; everything else it could link with is linked with
-   the same hub. Hubs, which have met the whole list, leave too. The number of
-   hubs grows eightfold a round until no list has two members. So groups of
-   copies cost a comparison per member, not one per pair, and no pair is lost.
+3. Lists are worked off in rounds. In a list of few members all are hubs, in a
+   longer one a single member is, the one that shares most; hubs are compared with
+   all members of their list: agreeing coordinates are counted, and pairs with at
+   least ``t`` that no chain of links joins yet are confirmed on the full sets. Then lists are skipped
+   forward: hubs have met all members and leave; disagreement is a metric, so a
+   member of a hub's component leaves once no member of another component is near
+   enough to it by the triangle inequality; a list of one component is done. So
+   groups of copies cost a comparison per member, not one per pair. What remains
+   of a long list is mostly texts that share one frequent line: they are posted
+   anew under the rarest shingles of their full sets, of which two sets of the wanted
+   similarity share one among the first n - ceil(s n) + 1. Shingles that a set has
+   to itself bound its overlaps, so far pairs are dropped unverified and sets with
+   many such shingles need not be hubs. Lists that are still long get 64-fold more
+   hubs a round. No link between components is lost on the way.
 4. Links are contracted to components.
 
 ``t`` is the largest threshold that a pair of exactly the wanted similarity
@@ -41,6 +47,8 @@ from limelight.llm import common as C
 from limelight.llm.graph import components
 
 K = 40
+BROADCAST_IDS = 2_000_000
+FEW, SHORT = 4, 64  # members of a list that is compared as a whole, in the first round and in later ones
 MISS = 2e-5
 _rng = np.random.Generator(np.random.PCG64(41))
 MULTIPLY = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -116,26 +124,51 @@ def _sets(n: int):
 
 
 def _postings(reps: DataFrame, k: int, t: int) -> DataFrame:
-    """(list, rep): the prefix of every representative, without lists of one."""
+    """(list, rep, light): the prefix of every signature, without values that only one has."""
     token = reps.select("rep", F.posexplode("sig").alias("c", "v")).select(
         "rep", F.shiftleft(F.col("c").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(0xFFFFFFFF)).alias("list"))
     often = token.groupBy("list").agg(F.count("*").alias("f")).where("f > 1")
     shared = token.join(often, "list").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("f", "list"))).alias("s"))  # at most k a row
-    room = F.lit(k - t + 1 - k) + F.size("s")  # prefix places left by the pairs that nobody shares
+    room = F.lit(1 - t) + F.size("s")  # places left by the k - size(s) values that are nobody else's and come first
     return (shared.where(room > 0).select("rep", F.explode(F.slice("s", F.lit(1), room)).alias("x"))
-            .select(F.col("x.list").alias("list"), "rep"))
+            .select("x.list", "rep", F.lit(True).alias("light")))
+
+
+def _set_postings(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(list, rep, light): the prefix of every full set, by the rarest shingles among the sets given; and (rep, most, light).
+
+    ``most`` is the number of shingles that any other of the sets has, an upper bound
+    of every overlap. ``light`` sets have few shingles of their own: of two sets of
+    similarity s, one has at most (1 - s) / (1 + s) of its shingles to itself."""
+    token = sets.select(F.col("doc_id").alias("rep"), F.size("shingles").alias("n"), F.explode("shingles").alias("list"))
+    often = token.groupBy("list").agg(F.count("*").alias("f")).where("f > 1")
+    least = F.ceil(F.col("n") * F.lit(percent) / 100).cast("int")
+    shared = C.cut(token.join(often, "list").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("f", "list"))).alias("s"))
+                   .where(F.size("s") >= least)
+                   .select("rep", F.size("s").alias("most"), F.slice("s", F.lit(1), F.size("s") - least + 1).alias("s"),
+                           ((F.col("n") - F.size("s")) * (100 + percent) <= F.col("n") * (100 - percent)).alias("light")))
+    return shared.select("rep", "light", F.explode("s").alias("x")).select("x.list", "rep", "light"), shared.select("rep", "most", "light")
 
 
 def _compare(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Adds ``apart``, the number of disagreeing coordinates, to pairs (a, b)."""
-    left = reps.select(F.col("rep").alias("a"), F.col("sig").alias("sa"))
-    right = reps.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
+    """Adds ``apart``, the number of disagreeing coordinates, and both set sizes to pairs (a, b)."""
+    left = reps.select(F.col("rep").alias("a"), F.col("sig").alias("sa"), F.col("n_shingles").alias("na"))
+    right = reps.select(F.col("rep").alias("b"), F.col("sig").alias("sb"), F.col("n_shingles").alias("nb"))
     apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.when(x == y, 0).otherwise(1)), F.lit(0), lambda s, x: s + x)
-    return pairs.join(left, "a").join(right, "b").select("a", "b", apart.alias("apart"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", apart.alias("apart"), "na", "nb")
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _sets_of(texts: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """Shingle sets of the documents in ``pairs``, one per doc_id."""
+    ids = C.cut(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
+    small = ids.count() <= BROADCAST_IDS  # 8 bytes each; more ids are joined by a shuffle
+    found = texts.join(F.broadcast(ids) if small else ids, F.col("doc_id") == F.col("_id"), "left_semi")
+    return found.mapInArrow(_sets(n), "doc_id long, shingles array<bigint>").dropDuplicates(["doc_id"])
+
+
+def _confirm(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets have 100 * intersection >= percent * union."""
+    sets = _sets_of(texts, pairs, n)
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -143,33 +176,64 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b"))
 
 
+def _named(df: DataFrame, parts: DataFrame, node: str, name: str) -> DataFrame:
+    """Adds the component of ``node`` (itself where it has no link yet)."""
+    part = parts.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
+    return (df.join(part, F.col(node) == F.col("_node"), "left")
+            .withColumn(name, F.coalesce("_component", node)).drop("_node", "_component"))
+
+
 def links(texts: DataFrame, reps: DataFrame, n: int, percent: int, k: int) -> DataFrame:
     """Confirmed links (a, b), enough of them to give the components of all links."""
     t = match_threshold(k, percent / 100)
-    lists = C.cut(_postings(reps, k, t))
-    members = lists.select(F.col("rep").alias("_rep")).distinct()
-    sets = C.cut(texts.join(members, F.col("doc_id") == F.col("_rep"), "left_semi").mapInArrow(_sets(n), "doc_id long, shingles array<bigint>")
-                 .dropDuplicates(["doc_id"]))
-    found, hubs_a_list = None, 1
+    spark = texts.sparkSession
+    found = spark.createDataFrame([], "a long, b long")
+    parts = spark.createDataFrame([], "node long, component long")
+    bounds = spark.createDataFrame([], "rep long, most int")
+    lists, few, hubs_a_list, by_sets = _postings(reps, k, t), FEW, 1, False
     while True:
-        slot = F.pmod(F.xxhash64("rep"), F.lit(hubs_a_list)).alias("slot")
-        hubs = lists.groupBy("list", slot).agg(F.min("rep").alias("hub"), F.count("*").alias("n"))
-        met = C.cut(lists.join(hubs.select("list", "hub"), "list").where(F.col("rep") != F.col("hub")))
-        if met.isEmpty():
-            return found if found is not None else met.select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+        named = _named(lists, parts, "rep", "part")
+        size = named.groupBy("list").agg(F.count("*").alias("size"), F.min("part").alias("lo"), F.max("part").alias("hi"), F.bool_or("light").alias("any"))
+        lists = C.cut(lists.join(size.where("any and lo != hi").select("list", "size"), "list"))
+        if lists.isEmpty():
+            return found
+        slots = F.when(F.col("size") <= few, 4096).otherwise(hubs_a_list)
+        # the member that shares most makes the hub: of a group of copies that is its original
+        shares = lists.groupBy(F.col("rep").alias("_rep")).agg(F.sum("size").alias("shares"))
+        ranked = lists.join(shares, F.col("rep") == F.col("_rep")).withColumn("slot", F.pmod(F.xxhash64("rep"), slots))
+        hubs = ranked.where("light").groupBy("list", "slot").agg(F.max(F.struct("shares", (-F.col("rep")).alias("r"))).alias("x")).select("list", (-F.col("x.r")).alias("hub"))
+        met = C.cut(lists.select("list", "rep").join(hubs, "list").where(F.col("rep") != F.col("hub")))
         pairs = met.select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).distinct()
         compared = C.cut(_compare(pairs, reps))
-        linked = C.cut(_confirm(compared.where(F.col("apart") <= k - t), sets, percent))
-        found = linked if found is None else found.unionAll(linked)
-        known = compared.join(linked.withColumn("link", F.lit(True)), ["a", "b"], "left")
+        close = compared.where((F.col("apart") <= k - t) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
+        if by_sets:
+            most = lambda side: bounds.select(F.col("rep").alias(side), F.col("most").alias(f"m{side}"))
+            overlap = F.least(F.coalesce("ma", "na"), F.coalesce("mb", "nb"))  # no bound where a set was not among those posted
+            overlap = F.when(F.col("ma").isNull() | F.col("mb").isNull(), F.least("na", "nb")).otherwise(overlap)
+            close = (close.join(most("a"), "a", "left").join(most("b"), "b", "left")
+                     .where(100 * overlap >= percent * (F.col("na") + F.col("nb") - overlap)))
+        todo = C.cut(_named(_named(close, parts, "a", "ca"), parts, "b", "cb").where("ca != cb").select("a", "b"))
+        linked = None if todo.isEmpty() else C.cut(_confirm(todo, texts, n, percent))
+        if linked is not None and not linked.isEmpty():
+            found = found.unionAll(linked)
+            parts = components(found)
         seen = (met.withColumn("a", F.greatest("rep", "hub")).withColumn("b", F.least("rep", "hub"))
-                .join(known, ["a", "b"]).select("list", "rep", "hub", "apart", F.coalesce("link", F.lit(False)).alias("link")))
-        ring = seen.where(~F.col("link")).groupBy("list", "hub").agg(F.min("apart").alias("nearest"))
-        settled = (seen.where("link").join(ring, ["list", "hub"], "left")
+                .join(compared.select("a", "b", "apart"), ["a", "b"]).select("list", "rep", "hub", "apart"))
+        seen = C.cut(_named(_named(seen, parts, "rep", "crep"), parts, "hub", "chub"))
+        ring = seen.where("crep != chub").groupBy("list", "hub").agg(F.min("apart").alias("nearest"))
+        settled = (seen.where("crep = chub").join(ring, ["list", "hub"], "left")
                    .where(F.col("nearest").isNull() | (F.col("nearest") - F.col("apart") > k - t)).select("list", "rep"))
         gone = settled.unionAll(hubs.select("list", F.col("hub").alias("rep"))).distinct()
-        lists = C.cut(lists.join(gone, ["list", "rep"], "left_anti"))
-        hubs_a_list *= 8
+        left = lists.join(gone, ["list", "rep"], "left_anti")
+        if by_sets:
+            lists, hubs_a_list = left.select("list", "rep", "light"), hubs_a_list * 64
+        else:
+            left = C.cut(left)
+            crowd = left.where(F.col("size") > SHORT).select(F.col("rep").alias("a"), F.col("rep").alias("b")).distinct()
+            by_set, bounds = _set_postings(C.cut(_sets_of(texts, crowd, n)), percent)
+            lists = left.where(F.col("size") <= SHORT).select("list", "rep", "light").unionAll(by_set)
+            by_sets = True
+        few = SHORT
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = K) -> DataFrame:
@@ -179,7 +243,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = K)
     real = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     print_ = ["n_shingles", "f1", "f2"]
     groups = C.cut(real.groupBy(*print_).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("sig").alias("sig")))
-    reps = groups.select("rep", "sig")
+    reps = groups.select("rep", "sig", "n_shingles")
     edges = links(texts, reps, n, percent, k)
     again = real.groupBy("doc_id").agg(F.count("*").alias("times")).where("times > 1").select("doc_id")  # ids given twice
     several = (real.join(again, "doc_id", "left_semi").join(groups.select(*print_, "rep"), print_)

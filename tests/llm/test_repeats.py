@@ -10,8 +10,9 @@ from limelight.llm import graph, neardup, substring, suffixes
 from limelight.llm import phrases as P
 
 
-@pytest.mark.parametrize("n", [2, 5])
-def test_near_duplicates(documents, corpus, n):
+@pytest.mark.parametrize("n, short", [(2, 64), (5, 64), (2, 3), (5, 1)])
+def test_near_duplicates(documents, corpus, n, short, monkeypatch):
+    monkeypatch.setattr(neardup, "SHORT", short)  # also with lists that are posted anew under rare shingles
     got = {r.doc_id: tuple(r)[:4] for r in neardup.near_duplicates(documents, n, 80).collect()}
     assert got == brute.near_duplicates(corpus, n, 80)
 

@@ -16,6 +16,14 @@ surrogates that depend on a secret key and the entity alone:
   where two meet, or a surrogate is itself an entity of the corpus, all but the
   smallest take their next surrogate (``attempt``), until no collision is left.
 
+A format may have fewer surrogates than the corpus has entities of it (10,000 IPv4
+addresses of four one-digit octets, 196 e-mail addresses of two consonants under a
+top-level domain). So what has met collisions in ``ROUNDS`` attempts gives up the
+exact length, and more of it after every further ``ROUNDS``: octets take any length,
+then further octets follow; the local part of an e-mail address, and the last group of
+a number or of a name in a script without syllables, get one more character each time.
+Separators, script and case stay. Every space grows without end, so the attempts end.
+
 Only texts with entities are written and joined with the surrogates; all others
 pass through.
 
@@ -61,6 +69,10 @@ _MARKS[list(b"0123456789@")] = True
 _TITLES = re.compile(r"\b(?:" + "|".join(sorted(TITLE, key=len, reverse=True)) + r")\b\.?\x20")
 
 
+# Fixed value: attempts within one length before a surrogate may grow.
+ROUNDS = 8
+
+
 def _capital(word: str | None) -> bool:
     return bool(word) and word[0].isupper()
 
@@ -135,10 +147,16 @@ def _shape(value: str, s: _Stream) -> str:
     return "".join(str(s.below(10)) if c.isdigit() else _letter(c, s) if c.isalpha() else c for c in value)
 
 
+def _longer(value: str, by: int) -> str:
+    """``value`` with its last letter or digit written ``by`` times more (a consonant if it has none)."""
+    at = next((i for i in range(len(value), 0, -1) if value[i - 1].isdigit() or value[i - 1].isalpha()), 0)
+    return value[:at] + value[at - 1] * by + value[at:] if at else value + "k" * by
+
+
 def _name(value: str, form: str, s: _Stream, attempt: int) -> str:
     kind = script(value[0])
     if kind not in SOUNDS:
-        return _shape(value, s)
+        return _shape(_longer(value, attempt // ROUNDS), s)
     consonants, vowels, ends = SOUNDS[kind]
     out = "".join(consonants[s.below(len(consonants))] + vowels[s.below(len(vowels))] for _ in range(max(2, len(value) // 2) + attempt // 4))
     out += consonants[s.below(len(consonants))] if form == "f" else ""
@@ -153,24 +171,27 @@ def luhn(digits: str) -> bool:
 
 def surrogate(kind: str, value: str, attempt: int, key: bytes) -> str:
     s = _Stream(key, kind, value, attempt)
+    wider = attempt // ROUNDS
     if kind == "email":
         host, dot, top = value.rpartition(".")
-        return _shape(host, s) + dot + top
+        local, at, host = host.partition("@")
+        return _shape(_longer(local, wider) + at + host, s) + dot + top
     if kind == "ip":
         ranges = {1: (0, 10), 2: (10, 100), 3: (100, 256)}
-        return ".".join(str(lo + s.below(hi - lo)) for lo, hi in (ranges[len(o)] for o in value.split(".")))
-    if kind == "card":
+        octets = [ranges[len(o)] for o in value.split(".")] if not wider else [(0, 256)] * (3 + wider)
+        return ".".join(str(lo + s.below(hi - lo)) for lo, hi in octets)
+    if kind == "surname" or kind.startswith("given_"):
+        return _name(value, "s" if kind == "surname" else kind[-1], s, attempt)
+    valid = kind == "card" and luhn(re.sub(r"\D", "", value))
+    value = _longer(value, wider)
+    if valid:
         out = _shape(value, s)
-        if luhn(re.sub(r"\D", "", value)):
-            out = next(x for x in (out[:-1] + str(d) for d in range(10)) if luhn(re.sub(r"\D", "", x)))
-        return out
+        return next(x for x in (out[:-1] + str(d) for d in range(10)) if luhn(re.sub(r"\D", "", x)))
     if kind == "phone" and value.startswith("+"):
         code = re.match(r"\+\d{1,3}(?=\D|$)|\+\d", value)[0]
         return code + _shape(value[len(code):], s)
     if kind == "iban":
         return value[:2] + _shape(value[2:], s)
-    if kind == "surname" or kind.startswith("given_"):
-        return _name(value, "s" if kind == "surname" else kind[-1], s, attempt)
     return _shape(value, s)
 
 

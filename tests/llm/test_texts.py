@@ -46,6 +46,41 @@ def test_colliding_surrogates_are_parted(spark, monkeypatch):
     assert len(pairs) == 20 and len({b for _, b in pairs}) == 20 and not {a for a, _ in pairs} & {b for _, b in pairs}
 
 
+def test_spaces_smaller_than_the_entities_widen(spark, monkeypatch):
+    rng = random.Random(8)
+    ips = [".".join(f"{k:04d}") for k in sorted(rng.sample(range(10_000), 5_200))]
+    mails = [f"{a}@{b}.com" for a in "bcdfghjklmnpqrstvwxyz" for b in "bcdfghjklmnpqrstvwxyz"]
+    odd = ["_@-.com", "%_@-.com", "7@8.com"]
+    df = spark.createDataFrame([(i, f"see {e} there") for i, e in enumerate(ips + mails + odd)], "doc_id long, text string")
+    cut, calls = pii.C.cut, []
+
+    def counted(frame):
+        calls.append(1)
+        assert len(calls) < 100  # before, the attempts went on for ever
+        return cut(frame)
+
+    monkeypatch.setattr(pii.C, "cut", counted)
+    new = {r.doc_id: r.text[4:-6] for r in pii.replace_entities(df, KEY).collect()}
+    old = dict(enumerate(ips + mails + odd))
+    assert new.keys() == old.keys() and len(set(new.values())) == len(old) and not set(new.values()) & set(old.values())
+    for i, e in new.items():
+        if "@" in old[i]:
+            assert re.fullmatch(r"[\w%]+@[a-z0-9-]\.com", e) and len(e) <= len(old[i]) + 3
+        else:
+            assert re.fullmatch(r"\d+(\.\d+){3}", e) and all(int(o) < 256 for o in e.split("."))
+    assert sum(len(new[i]) == 7 for i in range(len(ips))) > 3000  # the exact shape where it has room
+
+
+@pytest.mark.parametrize("kind, value", [("phone", "555-1234"), ("phone", "+1 (017) 555-7713"), ("ssn", "123-45-6789"), ("card", "4539 1488 0343 6467"),
+                                         ("iban", "GB29 NWBK 6016 1331 9268 19"), ("ip", "1.2.3.4"), ("email", "a.b@c.de"), ("surname", "Հ"), ("given_f", "Հ")])
+def test_every_type_grows_with_the_attempts(kind, value):
+    made = [pii.surrogate(kind, value, a, KEY) for a in range(4 * pii.ROUNDS)]
+    assert max(map(len, made[:pii.ROUNDS])) == len(value) or len(value) == 1
+    assert max(map(len, made[-pii.ROUNDS:])) > max(map(len, made[:pii.ROUNDS]))
+    if kind == "card":
+        assert all(pii.luhn(m.replace(" ", "")) for m in made)
+
+
 def test_secret_spans(spark, no_documents):
     hexes = [hashlib.sha1(bytes([k])).hexdigest() for k in range(60)]
     rows = [(k, f'x é token = "{h}" y') for k, h in enumerate(hexes[:50])]

@@ -66,7 +66,8 @@ PATTERNS = [
 ]
 _MARKS = np.zeros(256, bool)
 _MARKS[list(b"0123456789@")] = True
-_TITLES = re.compile(r"\b(?:" + "|".join(sorted(TITLE, key=len, reverse=True)) + r")\b\.?\x20")
+# The patterns take the decimal digits of every script.
+_TITLE_OR_DIGIT = re.compile(r"\b(?:" + "|".join(sorted(TITLE, key=len, reverse=True)) + r")\b\.?\x20|\d")
 
 
 # Fixed value: attempts within one length before a surrogate may grow.
@@ -199,10 +200,10 @@ MENTIONS = "array<struct<start:int,end:int,type:string,value:string>>"
 
 
 def _suspects(data: np.ndarray, off: np.ndarray, texts: pa.Array) -> list[int]:
-    """Rows with a digit, an @ or a title before a word; nothing else can hold an entity."""
+    """Rows with a digit of any script, an @ or a title before a word; nothing else can hold an entity."""
     hit = np.zeros(len(off) - 1, bool)
     hit[np.searchsorted(off, np.flatnonzero(_MARKS[data]), "right") - 1] = True
-    return [i for i in range(len(hit)) if texts[i].is_valid and (hit[i] or _TITLES.search(texts[i].as_py()))]
+    return [i for i in range(len(hit)) if texts[i].is_valid and (hit[i] or _TITLE_OR_DIGIT.search(texts[i].as_py()))]
 
 
 def _found(with_entities: bool):

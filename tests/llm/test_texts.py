@@ -81,6 +81,25 @@ def test_every_type_grows_with_the_attempts(kind, value):
         assert all(pii.luhn(m.replace(" ", "")) for m in made)
 
 
+def test_every_text_with_entities_is_among_the_suspects(spark):
+    import pyarrow as pa
+
+    from limelight.llm import common as C
+
+    rng = random.Random(9)
+    digits = ["0123456789", "٠١٢٣٤٥٦٧٨٩", "०१२३४५६७८९", "０１２３４５６７８９", "𝟎𝟏𝟐𝟑𝟒𝟓𝟔𝟕𝟖𝟗"]
+    numbers = ["555-1234", "123-45-6789", "+1 (017) 555-7713", "4539 1488 0343 6467", "GB29 NWBK 6016 1331 9268 19"]
+    turned = [n.translate(str.maketrans(digits[0], d)) for n in numbers for d in digits[1:]]
+    texts = [" ".join(rng.choice([*numbers, *turned, "a@b.com", "Mr Berg", "Госпожа Мария", "née", "word", "٣", "²"]) for _ in range(rng.randrange(4))) for _ in range(2000)]
+    col = pa.array(texts)
+    hit = set(pii._suspects(*C.text_buffer(col), col))
+    assert hit >= {i for i, t in enumerate(texts) if pii.entities(t)} and len(hit) < len(texts)
+    rows = [(0, "call ٥٥٥-١٢٣٤ now"), (1, "call ٥٥٥-١٢٣٤ at 7"), (2, "id १२३-४५-६७८९")]
+    got = {r.doc_id: r for r in pii.replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    assert [got[i].n_entities for i in range(3)] == [1, 1, 1] and "٥٥٥" not in got[0].text and "४५" not in got[2].text
+    assert got[0].text.split()[1] == got[1].text.split()[1]
+
+
 def test_secret_spans(spark, no_documents):
     hexes = [hashlib.sha1(bytes([k])).hexdigest() for k in range(60)]
     rows = [(k, f'x é token = "{h}" y') for k, h in enumerate(hexes[:50])]

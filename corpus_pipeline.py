@@ -18,7 +18,10 @@ from limelight.llm import common, decontamination, neardup, packing, quality, se
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is at least 0.7; the model is fitted on the labelled rows of the documents given."""
+    """Documents whose quality score is at least 0.7; the model is fitted on the labelled rows of the documents given.
+
+    Where these hold no two classes, no model is fitted and all documents stay.
+    """
     common.ready(spark)
     model = quality.train(docs, common.table(spark, sf_dir, "labels"))
     return quality.keep_good(docs, model, threshold=0.7)

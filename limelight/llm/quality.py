@@ -11,8 +11,8 @@ scoring reads every whole text.
 
 Defined cases: null and empty texts get the score of their (all-zero) word
 features and zero statistics; without usable labels (or with one class only)
-the score is the share of label 1 among the training rows (0.5 without rows);
-repeated rows are scored each; null ids are scored and never trained on.
+the score is the share of label 1 among the training rows (0.5 without rows)
+and ``keep_good`` keeps every row; repeated rows are scored each; null ids are scored and never trained on.
 """
 
 from __future__ import annotations
@@ -167,13 +167,17 @@ def held_out(doc_id) -> F.Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = 6000) -> Machine:
-    """Fit on at most ``max_train`` labelled rows, those of smallest hash of the id."""
+    """Fit on at most ``max_train`` labelled rows, those of smallest hash of the id among the ids of ``docs``.
+
+    Rows of one id train once, with the smallest of their texts.
+    """
+    texts = docs.select(F.col("doc_id").alias("_id"), "text")
     sample = (labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("label"))
               .where(F.col("_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("_id")))
+              .join(texts.select("_id").distinct(), "_id", "left_semi")
               .distinct().orderBy(F.xxhash64("_id"), "_id", "label").limit(max_train))
-    rows = (docs.select(F.col("doc_id").alias("_id"), "text")
-            .join(F.broadcast(sample), "_id")  # at most max_train rows
-            .select("_id", "label", "text"))
+    rows = (texts.join(F.broadcast(sample), "_id")  # at most max_train rows
+            .groupBy("_id", "label").agg(F.min("text").alias("text")))
     found = rows.mapInArrow(_training_rows, "label int, buckets array<int>, values array<float>, stats array<double>")
     return fit(sorted(found.collect(), key=lambda r: (r["label"], r["stats"], r["buckets"])))
 
@@ -190,7 +194,12 @@ def score(docs: DataFrame, model: Machine) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Machine, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` whose score is at least ``threshold``, all columns unchanged."""
+    """The rows of ``docs`` whose score is at least ``threshold``, all columns unchanged.
+
+    All rows where no model could be fitted: a constant says nothing about a document.
+    """
+    if model.constant is not None:
+        return docs
     names = docs.columns
     at = names.index("text")
 

@@ -152,6 +152,26 @@ def test_quality_learns_and_handles_odd_rows(spark, no_documents):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {k for k, r in got.items() if r.predicted}
 
 
+def test_training_rows_come_from_the_documents_given(spark, monkeypatch):
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda rows, **k: seen.append(rows) or fit(rows, **k))
+    labels = spark.createDataFrame([(k, k % 2) for k in range(4000)] + [(3, 1), (None, 1)], "doc_id long, quality int")
+    share = spark.createDataFrame([(k, f"{'ab' * (k % 2)} w{k}") for k in range(0, 4000, 19)], "doc_id long, text string")
+    quality.train(share, labels, max_train=100)
+    assert len(seen[-1]) == 100 and {r["label"] for r in seen[-1]} == {0, 1}
+    quality.train(share.unionAll(share).unionAll(share.selectExpr("doc_id", "'zz' text")), labels, max_train=100)
+    assert seen[-1] == seen[-2]
+
+
+def test_without_a_model_every_document_stays(spark, documents):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    one = spark.createDataFrame([(k, 0) for k in range(300)], "doc_id long, quality int")
+    for labels in (none, one, one.selectExpr("doc_id", "cast(null as int) quality")):
+        kept = quality.keep_good(documents, quality.train(documents, labels))
+        assert kept.columns == documents.columns and kept.count() == documents.count()
+
+
 def test_factorisation_identity():
     rng = np.random.default_rng(1)
     m = quality.Machine(0.3, rng.normal(size=quality.BUCKETS + quality.N_STATS), rng.normal(size=(quality.BUCKETS + quality.N_STATS, 4)),

@@ -135,5 +135,11 @@ def row_bounds(row: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(row, np.arange(n + 1))
 
 
+def runs(keys: np.ndarray) -> zip:
+    """Bounds (lo, hi) of the maximal runs of equal neighbours."""
+    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, int)
+    return zip(heads, np.append(heads[1:], len(keys)))
+
+
 def long_ids(col: str = "doc_id"):
     return F.col(col).cast("long").alias(col)

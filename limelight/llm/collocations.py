@@ -11,8 +11,8 @@
    these); passes go on until none fails. A phrase is as rare as its rarest part, so
    the result is all frequent phrases with exact counts, whatever the sample held.
 
-Proposals are kept as a Bloom filter of fixed size (``filter_bits``), which is all that
-is sent to the tasks. It has no false negatives; a false positive only makes a pass
+Proposals are kept as a Bloom filter of bounded size (at most MOST_BITS, 16 MB), which is
+all that is sent to the tasks. It has no false negatives; a false positive only makes a pass
 count some phrases more, so results do not depend on its size. Whether a phrase is
 admitted by a pass depends on the phrase alone, so it is counted in one pass, wholly.
 
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from limelight.llm import common as C
 
 BLOCK_BYTES = 8_000_000
-FILTER_BITS = 2**27
+LEAST_BITS, MOST_BITS, BITS_EACH = 2**20, 2**27, 32
 PROBES = 2
 CUT = np.zeros(256, bool)
 CUT[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -222,18 +222,20 @@ def _grow(known: Filter, proposed: DataFrame, longest: int) -> Filter:
 
 
 def frequent_phrases(docs: DataFrame, longest: int = 3, least: int = 10, share: int = 8, lowered: int = 2,
-                     filter_bits: int = FILTER_BITS) -> tuple[DataFrame, int]:
+                     filter_bits: int | None = None) -> tuple[DataFrame, int]:
     """(lang, size, phrase, f) of all phrases of up to ``longest`` words with f >= ``least``, and the number of full passes.
 
     Size 0 has the number of words of the language. One document in ``share`` makes the
     sample, in which ``lowered`` occurrences propose a phrase; both only decide how many
-    phrases and passes are needed."""
+    phrases and passes are needed. The filter has ``filter_bits`` bits, a power of two; where
+    that is unset, BITS_EACH for each proposal, within LEAST_BITS and MOST_BITS."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0)
     if longest > 1:
-        proposed = _added(sample, _count(longest - 1, None, None)).where((F.col("f") >= lowered) & (F.col("size") > 0))
-        new, old = _grow(Filter(np.zeros(max(1, filter_bits // 64), np.uint64)), proposed, longest), None
+        proposed = C.cut(_added(sample, _count(longest - 1, None, None)).where((F.col("f") >= lowered) & (F.col("size") > 0)))
+        bits = filter_bits or min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * proposed.count()).bit_length()))
+        new, old = _grow(Filter(np.zeros(max(1, bits // 64), np.uint64)), proposed, longest), None
     else:
         new, old = Filter(np.zeros(1, np.uint64)), None
     found, passes = None, 0
@@ -302,24 +304,28 @@ WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents WHERE text IS NOT NULL),
-runs AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
-starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM runs),
-grams AS (SELECT lang, m, w[i:i + m - 1] AS g FROM starts, (VALUES (1), (2), (3)) AS sizes(m) WHERE i + m - 1 <= len(w)),
-n AS (SELECT lang, count(*) AS n FROM grams WHERE m = 1 GROUP BY lang),
-f AS (SELECT lang, m, g, count(*) AS f FROM grams GROUP BY lang, m, g HAVING count(*) >= 10),
-longer AS (SELECT lang, g, max(f) AS longer FROM (
-  SELECT lang, g[1:2] AS g, f FROM f WHERE m = 3 UNION ALL SELECT lang, g[2:3] AS g, f FROM f WHERE m = 3) GROUP BY lang, g),
-kept AS (SELECT f.* FROM f LEFT JOIN longer USING (lang, g) WHERE m > 1 AND (longer IS NULL OR 100 * longer < 50 * f)),
+runs AS (SELECT lang, row_number() OVER () AS run, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+words AS (SELECT lang, run, generate_subscripts(w, 1) AS i, unnest(w) AS w1 FROM runs),
+ahead AS (SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3 FROM words WINDOW p AS (PARTITION BY run ORDER BY i)),
+f1 AS (SELECT lang, w1 AS p, count(*) AS f FROM ahead GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS f FROM ahead WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM ahead WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+longer AS (SELECT lang, w1, w2, max(f) AS longer FROM (
+  SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL),
+two AS (SELECT f2.* FROM f2 LEFT JOIN longer USING (lang, w1, w2) WHERE longer IS NULL OR 100 * longer < 50 * f),
 cuts AS (
-  SELECT c.lang, c.m, c.g, c.f AS a, k, l.f AS l, r.f AS r,
-         CAST((1000000::HUGEINT * c.f * c.f) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
-  FROM kept c, (VALUES (1), (2)) AS places(k)
-  JOIN f l ON l.lang = c.lang AND l.g = c.g[1:k]
-  JOIN f r ON r.lang = c.lang AND r.g = c.g[k + 1:c.m]
-  WHERE k < c.m),
-scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+  SELECT c.lang, c.w1 || ' ' || c.w2 AS phrase, c.f AS a, 1 AS k, l.f AS l, r.f AS r
+  FROM two c JOIN f1 l ON l.lang = c.lang AND l.p = c.w1 JOIN f1 r ON r.lang = c.lang AND r.p = c.w2
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 1, l.f, r.f
+  FROM f3 c JOIN f1 l ON l.lang = c.lang AND l.p = c.w1 JOIN f2 r ON r.lang = c.lang AND r.w1 = c.w2 AND r.w2 = c.w3
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 2, l.f, r.f
+  FROM f3 c JOIN f2 l ON l.lang = c.lang AND l.w1 = c.w1 AND l.w2 = c.w2 JOIN f1 r ON r.lang = c.lang AND r.p = c.w3),
 ranked AS (
-  SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM scored),
+  SELECT lang, phrase, a, l, r, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY (1000000::HUGEINT * a * a) // (l::HUGEINT * r), k) = 1),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked)
 SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, score FROM numbered JOIN n USING (lang) WHERE rank <= 2000
 """

@@ -155,8 +155,9 @@ def suspects(rows: DataFrame, owner_rows: int = OWNER_ROWS) -> DataFrame:
 
 def _grouped(rows: DataFrame, key: str) -> DataFrame:
     """Adds keep_id, group_size and kept to rows (doc_id, row, key, ...)."""
-    groups = rows.groupBy(F.col(key).alias("_key")).agg(
-        F.max(F.struct("doc_id", "row")).alias("top"), F.count("*").alias("group_size"))
+    # written first: then the join reads both sides from a shuffle, and rows of one large group are split over tasks
+    groups = C.cut(rows.groupBy(F.col(key).alias("_key")).agg(
+        F.max(F.struct("doc_id", "row")).alias("top"), F.count("*").alias("group_size")))
     return (rows.join(groups, F.col(key) == F.col("_key"))
             .select("doc_id", F.col("top.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("top.row")).alias("kept"), "digest"))
 

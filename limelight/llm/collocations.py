@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from limelight.llm import common as C
 
-BLOCK_BYTES = 3_000_000
+BLOCK_BYTES = 2_000_000
 LEAST_BITS, MOST_BITS, BITS_EACH = 2**20, 2**27, 16
 PROBES = 2
 CUT = np.zeros(256, bool)

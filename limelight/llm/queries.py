@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from limelight.llm import chat, collocations, common, decontamination, embeddings, exact, neardup, packing, pii, quality, secrets, substring, suffixes
+from limelight.llm import alignment, chat, collocations, common, decontamination, embeddings, exact, neardup, packing, pii, quality, secrets, substring, suffixes
 
 _t = common.table
 
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_event_sourced_chat": lambda s, d: chat.op8(s, _t(s, d, "conversations")),
     "op9_prefix_decontamination": lambda s, d: decontamination.op9(_t(s, d, "documents"), _t(s, d, "benchmark")),
     "op10_nnls_packing": lambda s, d: packing.op10(_t(s, d, "documents")),
+    "op11_merge_path_alignment": lambda s, d: alignment.op11(_t(s, d, "documents")),
     "op12_golomb_exact_dedup": lambda s, d: exact.op12(_t(s, d, "documents")),
     "op13_toivonen_collocations": lambda s, d: collocations.op13(_t(s, d, "documents")),
 }

@@ -11,10 +11,11 @@ they run.
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -77,3 +78,23 @@ def ship_package(spark: SparkSession) -> None:
     sc.addPyFile(shutil.make_archive(os.path.join(folder, "limelight"), "zip", os.path.dirname(source)))
     shutil.rmtree(os.path.join(folder, "source"))
     sc._limelight_shipped = True
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``. Where that is unset, a scratch folder in local
+    mode (one process: driver and executors share it), an error on a cluster."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        current = tempfile.mkdtemp(prefix="limelight-shared-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and go on from there; its partitions are fixed by that."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()

@@ -1,4 +1,4 @@
-"""Sinks (K1-K10, O4).
+"""Sinks (K1-K8, K10, O4; K9 is in ``hydration``).
 
 Writes are idempotent re-runs: partitioned tables use dynamic partition
 overwrite, so a run replaces exactly the partitions it produced and leaves
@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from limelight.session import checkpointed
+
 
 def write_partitioned_overwrite(df: DataFrame, path: str, partition_cols: list[str], compact: bool = True,
                                 fmt: str = "parquet") -> None:
@@ -77,15 +78,25 @@ def materialize_gold(df: DataFrame, path: str, order_by: list[str] | None = None
 def export_json(df: DataFrame, path: str, date_cols: list[str], order_by: list[str], decimals: int = 15) -> None:
     """K8: one ordered JSON array of records, as the dashboard loads it: dates as
     ``YYYY-MM-DD``, doubles with at most ``decimals`` decimal places, NULL fields
-    kept, one record a line. The exported gold tables have one row per week, spike
-    or match, so one text file holds them; larger tables go to ``export_json_lines``."""
+    kept, one record a line.
+
+    The records are range-sorted and written by tasks, a file a part; the files one
+    after another (by name) are one array. The sorted rows are checkpointed, which fixes
+    their parts; brackets and commas are placed by part number and place in the part, from
+    one row a part with its number of records."""
     rows = _json_rows(df, date_cols, decimals)
     record = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value")
-    ordered = rows.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order_by)], record)
-    keys = [f"_k{i}" for i in range(len(order_by))]
-    listed = ordered.agg(F.sort_array(F.collect_list(F.struct(*keys, "value"))).alias("rows"))
-    body = F.array_join(F.transform("rows", lambda r: r["value"]), ",\n")
-    listed.select(F.concat(F.lit("["), body, F.lit("]")).alias("value")).write.mode("overwrite").text(path)
+    ordered = checkpointed(rows.orderBy(*order_by).select(record))
+    at = F.monotonically_increasing_id()
+    placed = ordered.select("value", F.spark_partition_id().alias("part"), at.bitwiseAND(F.lit(2**33 - 1)).alias("place"))
+    counts = sorted((r.part, r.n) for r in placed.groupBy("part").agg(F.count("*").alias("n")).collect())
+    if not counts:
+        df.sparkSession.range(1).select(F.lit("[]").alias("value")).write.mode("overwrite").text(path)
+        return
+    first = (F.col("part") == counts[0][0]) & (F.col("place") == 0)
+    last = (F.col("part") == counts[-1][0]) & (F.col("place") == counts[-1][1] - 1)
+    line = F.concat(F.when(first, "[").otherwise(""), F.col("value"), F.when(last, "]").otherwise(","))
+    placed.select(line.alias("value")).write.mode("overwrite").text(path)
 
 
 def export_json_lines(df: DataFrame, path: str, date_cols: list[str], order_by: list[str], decimals: int = 15) -> None:
@@ -101,25 +112,6 @@ def _json_rows(df: DataFrame, date_cols: list[str], decimals: int) -> DataFrame:
     return out.withColumns({c: F.date_format(F.col(c), "yyyy-MM-dd") for c in date_cols})
 
 
-def replace_partitions_from(spark: SparkSession, source: str, target: str, partition_col: str) -> int:
-    """K9: copy the Parquet partitions under ``source`` into ``target``, replacing
-    only the partitions that exist in the source. Non-Parquet files (``_SUCCESS``)
-    and sibling folders that merely share the prefix are not read (the source is
-    the folder itself). Fails before touching the target when the source has no
-    rows. Returns the number of replaced partitions."""
-    try:
-        src = spark.read.option("pathGlobFilter", "*.parquet").parquet(source)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        raise FileNotFoundError(f"no parquet partitions under {source}") from e
-    if partition_col not in src.columns or src.limit(1).count() == 0:
-        raise FileNotFoundError(f"no parquet partitions under {source}")
-    replaced = src.select(partition_col).distinct().count()
-    write_partitioned_overwrite(src, target, [partition_col])
-    return replaced
-
-
 def observed_counts(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
     """Attach named aggregate metrics computed during the next action on the
     returned DataFrame (read ``obs.get`` afterwards); no second job."""

@@ -1,11 +1,12 @@
 """Collector payloads as DataFrames.
 
 Payloads (one JSON document per request) arrive as a string column, one row per
-payload, so many payloads parse in parallel with ``from_json`` against an
-explicit schema. Strict parsing (the default) fails on a payload without its
-list, as the reference does; ``strict=False`` skips such payloads, and
-``pageview_payload_errors`` / ``timeline_payload_errors`` return them. Match
-rows arrive as raw cell texts; typing, checks and rejects are JVM expressions."""
+payload, so many payloads parse in parallel. JSON is parsed once into a VARIANT; every
+item is typed and judged on its own: ``*_items`` return one row per item with
+``error_reason`` (NULL when valid), and one row for a payload that has no list. Strict
+parsing (the default) raises on the first item or payload with a reason, as the reference
+does; ``strict=False`` skips them, and ``*_rejects`` return them. Match rows arrive as raw
+cell texts; typing, checks and rejects are JVM expressions."""
 
 from __future__ import annotations
 
@@ -18,70 +19,111 @@ from limelight.functions.text import dash_to_null, squeeze_whitespace, strict_in
 
 # ---------------------------------------------------------------- JSON payloads
 
-PAGEVIEWS_SCHEMA = "struct<items: array<struct<timestamp: string, views: bigint>>>"
-TIMELINE_SCHEMA = "struct<default: struct<timelineData: array<struct<time: string, value: array<bigint>>>>>"
-WIDGETS_SCHEMA = "struct<widgets: array<struct<id: string, token: string, request: struct<resolution: string>>>>"
 XSSI_GUARD = r"^\)\]\}'[^\n]*\n"
+WHOLE = r"^[+-]?[0-9]+$"
 
 
-def _required(items: Column, what: str, strict: bool) -> Column:
-    """``items``, or in strict mode an error at run time where it is NULL."""
-    return F.coalesce(items, F.raise_error(F.lit(f"payload without {what}"))) if strict else items
+def strip_xssi(value) -> Column:
+    """Drop a leading ``)]}'`` guard line."""
+    return F.regexp_replace(col_of(value), XSSI_GUARD, "")
 
 
-def parse_pageviews(df: DataFrame, col: str = "payload", keep: list[str] | None = None, strict: bool = True) -> DataFrame:
-    """``{"items": [{"timestamp": "YYYYMMDDHH", "views": n}]}`` -> (date, views)."""
-    keep = keep or []
-    items = F.from_json(F.col(col), PAGEVIEWS_SCHEMA)["items"]
-    parsed = df.select(*keep, _required(items, "an items list", strict).alias("_items"))
-    rows = parsed.select(*keep, F.explode("_items").alias("_i"))
-    return rows.select(
-        *keep,
-        F.to_date(F.col("_i.timestamp"), "yyyyMMddHH").alias("date"),
-        F.col("_i.views").cast("bigint").alias("views"),
-    )
+def _kind(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
 
 
-def pageview_payload_errors(df: DataFrame, col: str = "payload") -> DataFrame:
-    """Payloads that are not an object with an ``items`` list."""
-    return df.filter(F.from_json(F.col(col), PAGEVIEWS_SCHEMA)["items"].isNull())
+def _whole(value: Column) -> Column:
+    """A whole number, given as a number without fraction or as text of digits; else NULL."""
+    text = F.try_variant_get(value, "$", "string")
+    number = F.try_variant_get(value, "$", "decimal(38,6)")
+    fits = number == F.floor(number)
+    return (F.when(_kind(value).rlike("^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$") & fits, number.try_cast("bigint"))
+            .when((_kind(value) == "STRING") & F.trim(text).rlike(WHOLE), F.trim(text).try_cast("bigint")))
 
 
-def strip_xssi(value) -> Column:
-    """Drop a leading ``)]}'`` guard line."""
-    return F.regexp_replace(col_of(value), XSSI_GUARD, "")
+def _items(df: DataFrame, keep: list[str], body: Column, path: str, missing: str) -> DataFrame:
+    """(keep..., item_no, _i, _listed): one row per element of the list at ``path``, one without an element where there is none."""
+    parsed = df.select(*keep, F.try_variant_get(F.try_parse_json(body), path, "array<variant>").alias("_list"))
+    # an empty list has no rows, a missing one a single row that says so
+    rows = F.when(F.col("_list").isNull(), F.array(F.lit(None).cast("variant"))).otherwise(F.col("_list"))
+    return (parsed.select(*keep, F.col("_list").isNotNull().alias("_listed"), F.posexplode(rows).alias("item_no", "_i"))
+            .withColumn("item_no", F.when(F.col("_listed"), F.col("item_no")))
+            .withColumn("_missing", F.when(~F.col("_listed"), F.lit(f"payload without {missing}"))))
 
 
-def timeline_payload_errors(df: DataFrame, col: str = "payload") -> DataFrame:
-    """Payloads without a ``default.timelineData`` list."""
-    return df.filter(F.from_json(strip_xssi(col), TIMELINE_SCHEMA)["default"]["timelineData"].isNull())
+def _good(items: DataFrame, columns: list[str], strict: bool) -> DataFrame:
+    if strict:  # the reason is raised while the value is computed, so no row can leave without the check
+        checked = F.when(F.col("error_reason").isNotNull(), F.raise_error(F.col("error_reason"))).otherwise(F.col(columns[-1]))
+        return items.select(*columns[:-1], checked.alias(columns[-1]))
+    return items.filter(F.col("error_reason").isNull()).select(*columns)
 
 
-def parse_timeline(df: DataFrame, col: str = "payload", keep: list[str] | None = None, strict: bool = True) -> DataFrame:
-    """S11 + F29: ``default.timelineData[]`` -> (week_start, interest): epoch seconds
-    (UTC) to a date, first value as the interest."""
-    keep = keep or []
-    points = F.from_json(strip_xssi(col), TIMELINE_SCHEMA)["default"]["timelineData"]
-    parsed = df.select(*keep, _required(points, "a timelineData list", strict).alias("_t"))
-    rows = parsed.select(*keep, F.explode("_t").alias("_p"))
-    return rows.select(
-        *keep,
-        epoch_to_date(F.col("_p.time")).alias("week_start"),
-        F.col("_p.value")[0].cast("bigint").alias("interest"),
-    )
+def pageview_items(df: DataFrame, col: str = "payload", keep: list[str] | None = None) -> DataFrame:
+    """``{"items": [{"timestamp": "YYYYMMDDHH", "views": n}]}`` -> (keep..., item_no, date, views, error_reason)."""
+    rows = _items(df, keep or [], F.col(col), "$.items", "an items list")
+    stamp = F.when(_kind(F.try_variant_get("_i", "$.timestamp", "variant")) == "STRING", F.try_variant_get("_i", "$.timestamp", "string"))
+    date = F.when(stamp.rlike("^[0-9]{10}$"), F.try_to_timestamp(stamp, F.lit("yyyyMMddHH"))).cast("date")
+    views = _whole(F.try_variant_get("_i", "$.views", "variant"))
+    reason = F.coalesce("_missing", F.when(date.isNull(), "item without a valid timestamp"), F.when(views.isNull(), "item without whole views"))
+    return rows.select(*(keep or []), "item_no", date.alias("date"), views.alias("views"), reason.alias("error_reason"))
 
 
-def select_widget(df: DataFrame, col: str = "payload", widget_id: str = "TIMESERIES") -> DataFrame:
-    """S12 + Q5: first widget with ``id = widget_id`` (NULL when absent) and whether
-    its declared resolution is weekly."""
-    widgets = F.from_json(strip_xssi(col), WIDGETS_SCHEMA)["widgets"]
-    chosen = F.try_element_at(F.filter(widgets, lambda w: w["id"] == F.lit(widget_id)), F.lit(1))
-    return df.withColumns({
-        "widget_token": chosen["token"],
-        "widget_resolution": chosen["request"]["resolution"],
-        "widget_found": chosen.isNotNull(),
-        "weekly_resolution": F.coalesce(chosen["request"]["resolution"] == "WEEK", F.lit(False)),
-    })
+def parse_pageviews(df: DataFrame, col: str = "payload", keep: list[str] | None = None, strict: bool = True) -> DataFrame:
+    """(keep..., date, views) of every item."""
+    return _good(pageview_items(df, col, keep), [*(keep or []), "date", "views"], strict)
+
+
+def pageview_rejects(df: DataFrame, col: str = "payload", keep: list[str] | None = None) -> DataFrame:
+    """Items that are not valid, and payloads without an ``items`` list (item_no NULL)."""
+    return pageview_items(df, col, keep).filter(F.col("error_reason").isNotNull())
+
+
+def timeline_items(df: DataFrame, col: str = "payload", keep: list[str] | None = None) -> DataFrame:
+    """S11 + F29: ``default.timelineData[]`` -> (keep..., item_no, week_start, interest, error_reason): epoch
+    seconds (UTC) to a date, first value as the interest."""
+    rows = _items(df, keep or [], strip_xssi(col), "$.default.timelineData", "a timelineData list")
+    seconds = _whole(F.try_variant_get("_i", "$.time", "variant"))
+    week = F.when(seconds.between(-62135596800, 253402300799), epoch_to_date(seconds))  # years 1 to 9999
+    interest = _whole(F.try_variant_get("_i", "$.value[0]", "variant"))
+    reason = F.coalesce("_missing", F.when(week.isNull(), "point without a valid time"), F.when(interest.isNull(), "point without a whole first value"))
+    return rows.select(*(keep or []), "item_no", week.alias("week_start"), interest.alias("interest"), reason.alias("error_reason"))
+
+
+def parse_timeline(df: DataFrame, col: str = "payload", keep: list[str] | None = None, strict: bool = True) -> DataFrame:
+    """S11 + F29: (keep..., week_start, interest) of every point."""
+    return _good(timeline_items(df, col, keep), [*(keep or []), "week_start", "interest"], strict)
+
+
+def timeline_rejects(df: DataFrame, col: str = "payload", keep: list[str] | None = None) -> DataFrame:
+    """Points that are not valid, and payloads without a ``default.timelineData`` list (item_no NULL)."""
+    return timeline_items(df, col, keep).filter(F.col("error_reason").isNotNull())
+
+
+def select_widget(df: DataFrame, col: str = "payload", widget_id: str = "TIMESERIES", resolution: str = "WEEK") -> DataFrame:
+    """S12 + Q5: first widget with ``id = widget_id`` (NULL when absent), whether its declared
+    resolution is ``resolution``, and ``error_reason`` (NULL when it is there, has a token and that resolution)."""
+    widgets = F.coalesce(F.try_variant_get(F.try_parse_json(strip_xssi(col)), "$.widgets", "array<variant>"), F.array().cast("array<variant>"))
+    text = lambda v, path: F.try_variant_get(v, path, "string")
+    chosen = F.try_element_at(F.filter(widgets, lambda w: text(w, "$.id") == F.lit(widget_id)), F.lit(1))
+    out = df.withColumn("_w", chosen)
+    weekly = F.coalesce(text(F.col("_w"), "$.request.resolution") == F.lit(resolution), F.lit(False))
+    reason = (F.when(F.col("_w").isNull(), F.lit(f"response without a {widget_id} widget"))
+              .when(text(F.col("_w"), "$.token").isNull() | F.try_variant_get("_w", "$.request", "variant").isNull(), F.lit("widget without request or token"))
+              .when(~weekly, F.concat(F.lit(f"resolution is not {resolution} but "), F.coalesce(text(F.col("_w"), "$.request.resolution"), F.lit("missing")))))
+    return out.withColumns({
+        "widget_token": text(F.col("_w"), "$.token"),
+        "widget_resolution": text(F.col("_w"), "$.request.resolution"),
+        "widget_found": F.col("_w").isNotNull(),
+        "weekly_resolution": weekly,
+        "error_reason": reason,
+    }).drop("_w")
+
+
+def require_widget(df: DataFrame, col: str = "payload", widget_id: str = "TIMESERIES", resolution: str = "WEEK") -> DataFrame:
+    """S12 + Q5, strict: (columns of ``df``, widget_token); raises where ``select_widget`` gives a reason."""
+    chosen = select_widget(df, col, widget_id, resolution)
+    token = F.when(F.col("error_reason").isNotNull(), F.raise_error(F.col("error_reason"))).otherwise(F.col("widget_token"))
+    return chosen.select(*df.columns, token.alias("widget_token"))
 
 
 # ---------------------------------------------------------------- HTML
@@ -115,6 +157,10 @@ RAW_MATCH_SCHEMA = (
     "total_time_raw string, goals_raw string, penalties_raw string, missed_penalties_raw string, "
     "yellow_cards_raw string, red_cards_raw string, parse_error string"
 )
+# The competition left out by default is a fixed value too.
+EXCLUDED_COMPETITION = "UEFA Youth League"
+
+
 def metric_name(title) -> Column:
     """a column heading (any case and spacing) to its metric; unknown headings -> NULL."""
     lookup = F.create_map(*[F.lit(x) for pair in METRIC_NAME_BY_TITLE.items() for x in pair])
@@ -151,7 +197,7 @@ def type_match_rows(raw: DataFrame) -> DataFrame:
     )
 
 
-def typed_matches(raw: DataFrame, exclude_competition: str | None = "UEFA Youth League",
+def typed_matches(raw: DataFrame, exclude_competition: str | None = EXCLUDED_COMPETITION,
                   strict: bool = True) -> tuple[DataFrame, DataFrame]:
     """Raw cell texts (RAW_MATCH_SCHEMA) to (valid matches without the excluded
     competition, rejected rows). ``strict`` raises on the first rejected row."""

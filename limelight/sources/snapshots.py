@@ -14,6 +14,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from limelight.sources.reconcile import read_reconciled
+
 # The file-observation log (one row per expected upstream file per run).
 OBSERVATION_SCHEMA = StructType([
     StructField("run_id", StringType()),
@@ -37,13 +39,14 @@ OBSERVATION_SCHEMA = StructType([
 
 
 def read_yearly_snapshots(spark: SparkSession, root: str, source: str) -> DataFrame:
-    """The per-year files of one source as one table (``year`` from the path)."""
-    return spark.read.parquet(f"{root.rstrip('/')}/silver/{source}")
+    """The per-year files of one source as one table (``year`` from the path), with
+    every column of any year, widened where years differ."""
+    return read_reconciled(spark, f"{root.rstrip('/')}/silver/{source}")
 
 
 def read_union_by_name(spark: SparkSession, pattern: str) -> DataFrame:
-    """Run logs written with differing schemas, merged by column name."""
-    return spark.read.option("mergeSchema", "true").parquet(pattern)
+    """Run logs written with differing schemas, united by column name and widened."""
+    return read_reconciled(spark, pattern)
 
 
 def read_day_summaries(spark: SparkSession, path: str, schema: StructType = OBSERVATION_SCHEMA) -> DataFrame:

@@ -12,9 +12,10 @@ SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from limelight.session import build_session
 
-    session = build_session("local[4]", app_name="limelight-tests", shuffle_partitions=8)
+    shared = {"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")), "spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+    session = build_session("local[4]", app_name="limelight-tests", shuffle_partitions=8, extra_conf=shared)
     yield session
     session.stop()

@@ -25,8 +25,8 @@ def test_layers_equal_lazy_plan(spark, tmp_path):
     assert sorted(weekly.select(*cols).collect()) == sorted(lazy.select(*cols).collect())
     run_export(spark, layout)
     out = layout.path("export", "player_weekly")
-    (part,) = [f for f in os.listdir(out) if f.endswith(".txt")]
-    rows = json.load(open(os.path.join(out, part), encoding="utf-8"))
+    rows = json.loads("".join(open(os.path.join(out, f), encoding="utf-8").read() for f in sorted(os.listdir(out)) if f.endswith(".txt")))
+    assert [r["week_start"] for r in rows] == sorted(r["week_start"] for r in rows)
     runs = layout.path("runs")
     assert spark.read.json(f"{runs}/extraction").first().total_output_rows == counts["total_output_rows"]
     dedup = spark.read.json(f"{runs}/dedup").first()

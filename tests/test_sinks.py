@@ -10,10 +10,10 @@ from limelight.sinks.writers import (
     export_json,
     export_json_lines,
     observed_counts,
-    replace_partitions_from,
     write_partitioned_overwrite,
     write_year_snapshot,
 )
+from limelight.sinks.hydration import replace_partitions_from
 from limelight.sources.raw_feed import raw_rows_from_lines
 from limelight.sources.snapshots import read_day_summaries, read_union_by_name, read_yearly_snapshots
 
@@ -44,6 +44,11 @@ def test_year_snapshot_sorted_and_replaced(spark, tmp_path):
     assert got == [("2024-01-01", 1, 2024), ("2024-03-01", 3, 2024), ("2025-01-01", 10, 2025)]
 
 
+def read_array(folder):
+    """The files of an exported array, one after another."""
+    return json.loads("".join(open(os.path.join(folder, n), encoding="utf-8").read() for n in sorted(os.listdir(folder)) if n.endswith(".txt")))
+
+
 def test_export_json_keeps_nulls_and_formats_dates(spark, tmp_path):
     df = spark.createDataFrame([("2025-01-05", None, "é"), ("2025-01-12", 2.5, "b")], "week_start string, v double, s string") \
         .withColumn("week_start", F.col("week_start").cast("date"))
@@ -57,11 +62,21 @@ def test_export_json_keeps_nulls_and_formats_dates(spark, tmp_path):
     assert lines == want
     array = str(tmp_path / "array")
     export_json(df.orderBy(F.desc("week_start")), array, ["week_start"], ["week_start"])
-    (part,) = [n for n in os.listdir(array) if n.endswith(".txt")]
-    assert json.load(open(os.path.join(array, part), encoding="utf-8")) == want
+    assert read_array(array) == want
     export_json(df.limit(0), array, ["week_start"], ["week_start"])
-    (part,) = [n for n in os.listdir(array) if n.endswith(".txt")]
-    assert json.load(open(os.path.join(array, part), encoding="utf-8")) == []
+    assert read_array(array) == []
+
+
+def test_export_of_many_parts_is_one_array(spark, tmp_path):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("id"), F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise("ä\n\"]").alias("s")).repartition(6)
+    out = str(tmp_path / "array")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        export_json(df, out, [], ["id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len([n for n in os.listdir(out) if n.endswith(".txt")]) > 3
+    assert [r["id"] for r in read_array(out)] == list(range(5000))
 
 
 def test_observed_counts_in_one_pass(spark, tmp_path):

@@ -995,6 +995,58 @@ def q_widget_choice(spark, sf):
     return select_widget(payloads).select("event_id", "widget_token", "widget_found", "weekly_resolution")
 
 
+@register("pageview_items", "S10", """
+SELECT event_id, n.item_no,
+  CASE WHEN n.item_no = 0 OR (n.item_no = 1 AND event_type <> 'signup') THEN CAST(ts AS DATE) END AS date,
+  CASE WHEN n.item_no = 0 THEN k WHEN n.item_no = 1 AND event_type <> 'purchase' THEN user_id END AS views,
+  CASE WHEN n.item_no IS NULL THEN 'payload without an items list'
+       WHEN n.item_no = 1 AND event_type = 'signup' THEN 'item without a valid timestamp'
+       WHEN n.item_no = 1 AND event_type = 'purchase' THEN 'item without whole views' END AS error_reason
+FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) e
+JOIN (VALUES (CAST(NULL AS INTEGER)), (0), (1)) AS n(item_no) ON (n.item_no IS NULL) = (event_type = 'error')""")
+def q_pageview_items(spark, sf):
+    """A payload per event, some without their list, some with an item that is not valid: every item with its reason."""
+    from limelight.sources.payloads import pageview_items
+    e = T.table(spark, sf, "events").withColumn("k", F.from_json("props", "k BIGINT")["k"])
+    stamp, kind = F.date_format("ts", "yyyyMMddHH"), F.col("event_type")
+    second = F.when(kind == "signup", F.format_string('{"views": %d}', "user_id")) \
+        .when(kind == "purchase", F.format_string('{"timestamp": "%s", "views": "x"}', stamp)) \
+        .otherwise(F.format_string('{"timestamp": "%s", "views": "%d"}', stamp, "user_id"))
+    body = F.format_string('{"items": [{"timestamp": "%s", "views": %d}, %s]}', stamp, "k", second)
+    payloads = e.withColumn("payload", F.when(kind == "error", '{"detail": "not found"}').otherwise(body))
+    return pageview_items(payloads, keep=["event_id"])
+
+
+@register("timeline_rejects", "S11 F29", """
+SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE 0 END AS item_no,
+  CASE event_type WHEN 'error' THEN 'payload without a timelineData list' WHEN 'signup' THEN 'point without a valid time'
+    ELSE 'point without a whole first value' END AS error_reason
+FROM events WHERE event_type IN ('error', 'signup', 'purchase')""")
+def q_timeline_rejects(spark, sf):
+    """A guarded payload per event: the points and payloads that strict parsing refuses."""
+    from limelight.sources.payloads import timeline_rejects
+    e, kind = T.table(spark, sf, "events"), F.col("event_type")
+    seconds = F.unix_timestamp("ts").cast("string")
+    point = F.when(kind == "signup", '{"value": [1]}').when(kind == "purchase", F.format_string('{"time": "%s", "value": []}', seconds)) \
+        .otherwise(F.format_string('{"time": "%s", "value": [%d]}', seconds, "user_id"))
+    body = F.when(kind == "error", '{"default": {}}').otherwise(F.format_string('{"default": {"timelineData": [%s]}}', point))
+    payloads = e.withColumn("payload", F.concat(F.lit(")]}',\n"), body))
+    return timeline_rejects(payloads, keep=["event_id"]).select("event_id", "item_no", "error_reason")
+
+
+@register("widget_reasons", "S12 Q5", """
+SELECT event_id, CASE event_type WHEN 'error' THEN 'response without a TIMESERIES widget' WHEN 'view' THEN NULL
+  WHEN 'signup' THEN 'widget without request or token' ELSE 'resolution is not WEEK but DAY' END AS error_reason
+FROM events""")
+def q_widget_reasons(spark, sf):
+    from limelight.sources.payloads import select_widget
+    e, kind = T.table(spark, sf, "events"), F.col("event_type")
+    widget = F.when(kind == "error", '{"id": "GEO", "token": "g"}').when(kind == "signup", '{"id": "TIMESERIES", "token": "t"}') \
+        .otherwise(F.format_string('{"id": "TIMESERIES", "token": "t", "request": {"resolution": "%s"}}', F.when(kind == "view", "WEEK").otherwise("DAY")))
+    payloads = e.withColumn("payload", F.format_string('{"widgets": [%s]}', widget))
+    return select_widget(payloads).select("event_id", "error_reason")
+
+
 @register("raw_lines", "S1", O.with_ctes(O.raw_feed_cte()) + """
 SELECT GKGRECORDID, "DATE" AS record_date, SourceCommonName, DocumentIdentifier, Themes, length(AllNames) AS names_chars,
   length(V2Persons) AS persons_chars, V2Tone, TranslationInfo FROM raw_feed""")

@@ -8,8 +8,6 @@ bounds the memory of a task whatever the partition size.
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limelight.session import ship_package
+from limelight.session import checkpointed, shared_dir, ship_package  # noqa: F401 (shared_dir: for the pipeline)
 
 CHUNK_BYTES = 2_000_000
 WHITE = np.zeros(256, bool)
@@ -41,21 +39,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a scratch folder only where that is unset (tests)."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="llm-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return current
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    return checkpointed(df)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

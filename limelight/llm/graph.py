@@ -8,9 +8,15 @@ from pyspark.sql import functions as F
 from limelight.llm import common as C
 
 
+def _both(df: DataFrame, first: tuple[str, str], second: tuple[str, str]) -> DataFrame:
+    """Two pairs (u, v) of every row."""
+    pair = lambda p: F.struct(F.col(p[0]).alias("u"), F.col(p[1]).alias("v"))
+    return df.select(F.explode(F.array(pair(first), pair(second))).alias("x")).select("x.u", "x.v")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours point at its smallest neighbour (or itself)."""
-    both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = _both(edges, ("u", "v"), ("v", "u"))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
@@ -18,9 +24,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours point at the smallest of them. Edges come as (larger, smaller)."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    down = edges.join(least, "u")
-    return (down.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionAll(least.select("u", F.col("m").alias("v"))).distinct())
+    return _both(edges.join(least, "u"), ("v", "m"), ("u", "m")).where("u != v").distinct()
 
 
 def _mark(edges: DataFrame):
@@ -39,5 +43,4 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             break
         seen = mark
     # every edge is now (node, smallest node of its component)
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
-        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return _both(now, ("u", "v"), ("v", "v")).select(F.col("u").alias("node"), F.col("v").alias("component")).distinct()

@@ -2,35 +2,33 @@
 
 1. Every whole text becomes its set of word shingles, a 128-bit fingerprint of
    the set and a MinHash signature of ``k`` coordinates. Equal sets collapse to one
-   representative (a map-side combined minimum).
-2. Representatives are posted under their (coordinate, value) pairs. Two
-   signatures that agree in at least ``t`` coordinates share a pair among the
-   first k - t + 1 of each in a common order, so only that prefix is posted, the
-   rarest pairs first; pairs that only one representative has fill prefix places
-   and need no list. Texts like nothing else leave the join here.
-3. Lists are worked off in rounds. In a list of few members all are hubs, in a
-   longer one a single member is, the one that shares most; hubs are compared with
-   all members of their list: agreeing coordinates are counted, and pairs with at
-   least ``t`` that no chain of links joins yet are confirmed on the full sets. Then lists are skipped
-   forward: hubs have met all members and leave; disagreement is a metric, so a
-   member of a hub's component leaves once no member of another component is near
-   enough to it by the triangle inequality; a list of one component is done. So
-   groups of copies cost a comparison per member, not one per pair. What remains
-   of a long list is mostly texts that share one frequent line: they are posted
-   anew under the rarest shingles of their full sets, of which two sets of the wanted
-   similarity share one among the first n - ceil(s n) + 1. Shingles that a set has
-   to itself bound its overlaps, so far pairs are dropped unverified and sets with
-   many such shingles need not be hubs. Lists that are still long get 64-fold more
-   hubs a round. No link between components is lost on the way.
-4. Links are contracted to components.
+   node (a map-side combined aggregate).
+2. Nodes are posted under their (coordinate, value) pairs. Two signatures that
+   agree in at least ``t`` coordinates share a pair among the first k - t + 1 of
+   each in a common order, so only that prefix is posted, the rarest pairs first;
+   pairs that only one node has fill prefix places and need no list. Texts like
+   nothing else leave the join here.
+3. Lists are merged in rounds. A round takes some members of each list as hubs (all of a
+   short list) and meets them with the members of other components: agreeing
+   coordinates are counted, and pairs with at least ``t`` are confirmed on the full
+   sets and linked. Then the merge skips: a hub has met all that it could newly link
+   to and leaves its list; members of one component are never met; a list of one
+   component is done. Where one component holds most of a list, hubs are its members,
+   so a round costs hubs times the members outside it, which become few: a group of
+   copies costs about a comparison a member, not one a pair. Hubs are the members
+   that share most with others (of a group of copies, its original), and there are
+   GROWTH times more of them each round. No link between components is lost on the
+   way: of each pair that shares a list and is not joined yet, the first to
+   leave met the other.
+4. Links are contracted to components, named by their smallest doc_id.
 
 ``t`` is the largest threshold that a pair of exactly the wanted similarity
 misses with probability below 2e-5.
 
 Defined cases: lower case means A-Z; texts with fewer words than a shingle have
 their whole sequence as the one shingle; null, empty and wordless texts have an
-empty set and link with nothing; rows of one doc_id with equal sets are one
-group anyway, other rows of one doc_id count as linked; a null doc_id is its own
+empty set and link with nothing; rows of one doc_id count as linked, whatever their
+texts, and each of their sets links on its own; a null doc_id is its own
 component (null) and kept; other columns play no part; an empty table gives no rows.
 """
 
@@ -40,7 +38,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from limelight.llm import common as C
@@ -48,7 +46,7 @@ from limelight.llm.graph import components
 
 K = 40
 BROADCAST_IDS = 2_000_000
-FEW, SHORT = 4, 64  # members of a list that is compared as a whole, in the first round and in later ones
+SHORT, GROWTH = 8, 8  # members of a list that is compared as a whole; factor of the number of hubs from round to round
 MISS = 2e-5
 _rng = np.random.Generator(np.random.PCG64(41))
 MULTIPLY = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -98,13 +96,11 @@ def _signatures(n: int, k: int):
             full = np.flatnonzero(size)
             heads = at[:-1][full]
             sig = np.zeros((p.num_rows, k), np.int32)
-            prints = np.zeros((2, p.num_rows), np.uint64)
+            prints = _prints(sh, at, p.num_rows)
             if len(full):
                 for c in range(k):
                     least = np.minimum.reduceat(sh * MULTIPLY[c] + ADD[c], heads)
                     sig[full, c] = (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                prints[0, full] = np.add.reduceat(sh, heads)
-                prints[1, full] = np.add.reduceat(C.mix(sh ^ C.BASE), heads)
             yield pa.record_batch(
                 [p.column("doc_id"), pa.array(size, pa.int64()), pa.array(prints[0].view(np.int64)), pa.array(prints[1].view(np.int64)),
                  pa.ListArray.from_arrays(pa.array(np.arange(0, k * p.num_rows + 1, k), pa.int32()), pa.array(sig.ravel()))],
@@ -113,127 +109,111 @@ def _signatures(n: int, k: int):
     return run
 
 
+def _prints(sh: np.ndarray, at: np.ndarray, n_rows: int) -> np.ndarray:
+    """128-bit fingerprint of each row's set, as two sums over its shingles."""
+    full = np.flatnonzero(np.diff(at))
+    out = np.zeros((2, n_rows), np.uint64)
+    if len(full):
+        out[0, full] = np.add.reduceat(sh, at[:-1][full])
+        out[1, full] = np.add.reduceat(C.mix(sh ^ C.BASE), at[:-1][full])
+    return out
+
+
 def _sets(n: int):
     def run(batches):
         for p in C.pieces(batches):
             sh, at = shingle_sets(p.column("text"), n)
-            yield pa.record_batch([p.column("doc_id"), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(sh.view(np.int64)))],
-                                  names=["doc_id", "shingles"])
+            f = _prints(sh, at, p.num_rows)
+            yield pa.record_batch([p.column("doc_id"), pa.array(f[0].view(np.int64)), pa.array(f[1].view(np.int64)),
+                                   pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(sh.view(np.int64)))],
+                                  names=["_id", "_f1", "_f2", "shingles"])
 
     return run
 
 
-def _postings(reps: DataFrame, k: int, t: int) -> DataFrame:
-    """(list, rep, light): the prefix of every signature, without values that only one has."""
-    token = reps.select("rep", F.posexplode("sig").alias("c", "v")).select(
-        "rep", F.shiftleft(F.col("c").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(0xFFFFFFFF)).alias("list"))
+def _postings(nodes: DataFrame, k: int, t: int) -> DataFrame:
+    """(list, node, n, w): the prefix of every signature, without values that only one has; w: how much a node shares."""
+    token = nodes.select("node", "n_shingles", F.posexplode("sig").alias("c", "v")).select(
+        "node", "n_shingles", F.shiftleft(F.col("c").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(0xFFFFFFFF)).alias("list"))
     often = token.groupBy("list").agg(F.count("*").alias("f")).where("f > 1")
-    shared = token.join(often, "list").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("f", "list"))).alias("s"))  # at most k a row
+    shared = token.join(often, "list").groupBy("node", "n_shingles").agg(
+        F.sort_array(F.collect_list(F.struct("f", "list"))).alias("s"), F.sum("f").alias("w"))  # at most k a row
     room = F.lit(1 - t) + F.size("s")  # places left by the k - size(s) values that are nobody else's and come first
-    return (shared.where(room > 0).select("rep", F.explode(F.slice("s", F.lit(1), room)).alias("x"))
-            .select("x.list", "rep", F.lit(True).alias("light")))
-
-
-def _set_postings(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(list, rep, light): the prefix of every full set, by the rarest shingles among the sets given; and (rep, most, light).
-
-    ``most`` is the number of shingles that any other of the sets has, an upper bound
-    of every overlap. ``light`` sets have few shingles of their own: of two sets of
-    similarity s, one has at most (1 - s) / (1 + s) of its shingles to itself."""
-    token = sets.select(F.col("doc_id").alias("rep"), F.size("shingles").alias("n"), F.explode("shingles").alias("list"))
-    often = token.groupBy("list").agg(F.count("*").alias("f")).where("f > 1")
-    least = F.ceil(F.col("n") * F.lit(percent) / 100).cast("int")
-    shared = C.cut(token.join(often, "list").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("f", "list"))).alias("s"))
-                   .where(F.size("s") >= least)
-                   .select("rep", F.size("s").alias("most"), F.slice("s", F.lit(1), F.size("s") - least + 1).alias("s"),
-                           ((F.col("n") - F.size("s")) * (100 + percent) <= F.col("n") * (100 - percent)).alias("light")))
-    return shared.select("rep", "light", F.explode("s").alias("x")).select("x.list", "rep", "light"), shared.select("rep", "most", "light")
+    return (shared.where(room > 0).select("node", F.col("n_shingles").alias("n"), "w", F.explode(F.slice("s", F.lit(1), room)).alias("x"))
+            .select("x.list", "node", "n", "w"))
 
 
-def _compare(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Adds ``apart``, the number of disagreeing coordinates, and both set sizes to pairs (a, b)."""
-    left = reps.select(F.col("rep").alias("a"), F.col("sig").alias("sa"), F.col("n_shingles").alias("na"))
-    right = reps.select(F.col("rep").alias("b"), F.col("sig").alias("sb"), F.col("n_shingles").alias("nb"))
-    apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.when(x == y, 0).otherwise(1)), F.lit(0), lambda s, x: s + x)
-    return pairs.join(left, "a").join(right, "b").select("a", "b", apart.alias("apart"), "na", "nb")
+def _agreeing(pairs: DataFrame, nodes: DataFrame, t: int) -> DataFrame:
+    """The pairs (a, b) whose signatures agree in at least ``t`` coordinates."""
+    left = nodes.select(F.col("node").alias("a"), F.col("sig").alias("sa"))
+    right = nodes.select(F.col("node").alias("b"), F.col("sig").alias("sb"))
+    same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
+    return pairs.join(left, "a").join(right, "b").where(same >= t).select("a", "b")
 
 
-def _sets_of(texts: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    """Shingle sets of the documents in ``pairs``, one per doc_id."""
-    ids = C.cut(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
-    small = ids.count() <= BROADCAST_IDS  # 8 bytes each; more ids are joined by a shuffle
-    found = texts.join(F.broadcast(ids) if small else ids, F.col("doc_id") == F.col("_id"), "left_semi")
-    return found.mapInArrow(_sets(n), "doc_id long, shingles array<bigint>").dropDuplicates(["doc_id"])
+def _sets_of(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """(node, shingles) of the nodes in ``pairs``, from the text of the document that each is named by."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = C.cut(ids.join(nodes.select("node", "rep", "f1", "f2"), "node"))
+    small = wanted.count() <= BROADCAST_IDS  # 32 bytes each; more are joined by a shuffle
+    held = F.broadcast(wanted) if small else wanted
+    found = texts.join(held.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").mapInArrow(
+        _sets(n), "_id long, _f1 long, _f2 long, shingles array<bigint>")
+    mine = (F.col("_id") == F.col("rep")) & (F.col("_f1") == F.col("f1")) & (F.col("_f2") == F.col("f2"))
+    return found.join(held, mine).select("node", "shingles").dropDuplicates(["node"])
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets have 100 * intersection >= percent * union."""
-    sets = _sets_of(texts, pairs, n)
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
+    sets = C.cut(_sets_of(texts, nodes, pairs, n))
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     return (pairs.select("a", "b").join(left, "a").join(right, "b")
             .where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b"))
 
 
-def _named(df: DataFrame, parts: DataFrame, node: str, name: str) -> DataFrame:
-    """Adds the component of ``node`` (itself where it has no link yet)."""
+def _with_part(df: DataFrame, parts: DataFrame) -> DataFrame:
+    """Adds ``part``, the component of ``node`` (itself where it has no link yet)."""
     part = parts.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
-    return (df.join(part, F.col(node) == F.col("_node"), "left")
-            .withColumn(name, F.coalesce("_component", node)).drop("_node", "_component"))
-
-
-def links(texts: DataFrame, reps: DataFrame, n: int, percent: int, k: int) -> DataFrame:
-    """Confirmed links (a, b), enough of them to give the components of all links."""
+    return (df.join(part, F.col("node") == F.col("_node"), "left")
+            .withColumn("part", F.coalesce("_component", "node")).drop("_node", "_component"))
+
+
+def _round(lists: DataFrame, parts: DataFrame, hubs_a_list: int) -> DataFrame:
+    """The lists that hold several components, with ``part``, and ``hub``: is this member a hub of this round?"""
+    named = C.cut(_with_part(lists, parts))
+    size = (named.groupBy("list", "part").agg(F.count("*").alias("m"), F.max("w").alias("w"))
+            .groupBy("list").agg(F.sum("m").alias("size"), F.count("*").alias("parts"), F.max(F.struct("m", "w", "part")).alias("top")))
+    # by its own shuffle, so that the join below can split a list that is on very many nodes
+    size = C.cut(size.where("parts > 1").select(F.col("list").alias("_list"), "size", F.col("top.part").alias("core"), (2 * F.col("top.m") > F.col("size")).alias("most")))
+    alive = named.join(size, F.col("list") == F.col("_list")).drop("_list")
+    slot = F.pmod(F.xxhash64("node"), F.lit(hubs_a_list))
+    best = (alive.where((F.col("size") > SHORT) & (~F.col("most") | (F.col("part") == F.col("core"))))
+            .groupBy(F.col("list").alias("_list"), slot.alias("_slot")).agg(F.max(F.struct("w", (-F.col("node")).alias("node"))).alias("x"))
+            .select("_list", (-F.col("x.node")).alias("_node")))
+    return (alive.join(best, (F.col("list") == F.col("_list")) & (F.col("node") == F.col("_node")), "left")
+            .select("list", "node", "n", "w", "part", ((F.col("size") <= SHORT) | F.col("_node").isNotNull()).alias("hub")))
+
+
+def links(texts: DataFrame, nodes: DataFrame, n: int, percent: int, k: int) -> DataFrame:
+    """(node, component) of all nodes that have a link."""
     t = match_threshold(k, percent / 100)
-    spark = texts.sparkSession
-    found = spark.createDataFrame([], "a long, b long")
-    parts = spark.createDataFrame([], "node long, component long")
-    bounds = spark.createDataFrame([], "rep long, most int")
-    lists, few, hubs_a_list, by_sets = _postings(reps, k, t), FEW, 1, False
+    parts = texts.sparkSession.createDataFrame([], "node long, component long")
+    lists, hubs_a_list = _postings(nodes, k, t), 1
     while True:
-        named = _named(lists, parts, "rep", "part")
-        size = named.groupBy("list").agg(F.count("*").alias("size"), F.min("part").alias("lo"), F.max("part").alias("hi"), F.bool_or("light").alias("any"))
-        lists = C.cut(lists.join(size.where("any and lo != hi").select("list", "size"), "list"))
-        if lists.isEmpty():
-            return found
-        slots = F.when(F.col("size") <= few, 4096).otherwise(hubs_a_list)
-        # the member that shares most makes the hub: of a group of copies that is its original
-        shares = lists.groupBy(F.col("rep").alias("_rep")).agg(F.sum("size").alias("shares"))
-        ranked = lists.join(shares, F.col("rep") == F.col("_rep")).withColumn("slot", F.pmod(F.xxhash64("rep"), slots))
-        hubs = ranked.where("light").groupBy("list", "slot").agg(F.max(F.struct("shares", (-F.col("rep")).alias("r"))).alias("x")).select("list", (-F.col("x.r")).alias("hub"))
-        met = C.cut(lists.select("list", "rep").join(hubs, "list").where(F.col("rep") != F.col("hub")))
-        pairs = met.select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).distinct()
-        compared = C.cut(_compare(pairs, reps))
-        close = compared.where((F.col("apart") <= k - t) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
-        if by_sets:
-            most = lambda side: bounds.select(F.col("rep").alias(side), F.col("most").alias(f"m{side}"))
-            overlap = F.least(F.coalesce("ma", "na"), F.coalesce("mb", "nb"))  # no bound where a set was not among those posted
-            overlap = F.when(F.col("ma").isNull() | F.col("mb").isNull(), F.least("na", "nb")).otherwise(overlap)
-            close = (close.join(most("a"), "a", "left").join(most("b"), "b", "left")
-                     .where(100 * overlap >= percent * (F.col("na") + F.col("nb") - overlap)))
-        todo = C.cut(_named(_named(close, parts, "a", "ca"), parts, "b", "cb").where("ca != cb").select("a", "b"))
-        linked = None if todo.isEmpty() else C.cut(_confirm(todo, texts, n, percent))
+        now = C.cut(_round(lists, parts, hubs_a_list))
+        if now.isEmpty():
+            return parts
+        hub = now.where("hub").select(F.col("list").alias("_list"), F.col("node").alias("b"), F.col("part").alias("pb"), F.col("n").alias("nb"))
+        near = 100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")
+        met = now.join(hub, F.col("list") == F.col("_list")).where((F.col("part") != F.col("pb")) & near)
+        pairs = met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+        close = C.cut(_agreeing(pairs, nodes, t))
+        linked = None if close.isEmpty() else C.cut(_confirm(close, texts, nodes, n, percent))
         if linked is not None and not linked.isEmpty():
-            found = found.unionAll(linked)
-            parts = components(found)
-        seen = (met.withColumn("a", F.greatest("rep", "hub")).withColumn("b", F.least("rep", "hub"))
-                .join(compared.select("a", "b", "apart"), ["a", "b"]).select("list", "rep", "hub", "apart"))
-        seen = C.cut(_named(_named(seen, parts, "rep", "crep"), parts, "hub", "chub"))
-        ring = seen.where("crep != chub").groupBy("list", "hub").agg(F.min("apart").alias("nearest"))
-        settled = (seen.where("crep = chub").join(ring, ["list", "hub"], "left")
-                   .where(F.col("nearest").isNull() | (F.col("nearest") - F.col("apart") > k - t)).select("list", "rep"))
-        gone = settled.unionAll(hubs.select("list", F.col("hub").alias("rep"))).distinct()
-        left = lists.join(gone, ["list", "rep"], "left_anti")
-        if by_sets:
-            lists, hubs_a_list = left.select("list", "rep", "light"), hubs_a_list * 64
-        else:
-            left = C.cut(left)
-            crowd = left.where(F.col("size") > SHORT).select(F.col("rep").alias("a"), F.col("rep").alias("b")).distinct()
-            by_set, bounds = _set_postings(C.cut(_sets_of(texts, crowd, n)), percent)
-            lists = left.where(F.col("size") <= SHORT).select("list", "rep", "light").unionAll(by_set)
-            by_sets = True
-        few = SHORT
+            parts = C.cut(components(linked.unionAll(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))))
+        lists, hubs_a_list = now.where("not hub").select("list", "node", "n", "w"), hubs_a_list * GROWTH
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = K) -> DataFrame:
@@ -242,16 +222,19 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = K)
     rows = C.cut(texts.mapInArrow(_signatures(n, k), "doc_id long, n_shingles long, f1 long, f2 long, sig array<int>"))
     real = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     print_ = ["n_shingles", "f1", "f2"]
-    groups = C.cut(real.groupBy(*print_).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("sig").alias("sig")))
-    reps = groups.select("rep", "sig", "n_shingles")
-    edges = links(texts, reps, n, percent, k)
+    nodes = C.cut(real.groupBy(*print_).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
+                  .withColumn("node", F.monotonically_increasing_id()))
+    parts = links(texts, nodes, n, percent, k)
     again = real.groupBy("doc_id").agg(F.count("*").alias("times")).where("times > 1").select("doc_id")  # ids given twice
-    several = (real.join(again, "doc_id", "left_semi").join(groups.select(*print_, "rep"), print_)
-               .where(F.col("doc_id") != F.col("rep")).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    found = components(edges.unionAll(several))
-    named = (groups.join(found, F.col("rep") == F.col("node"), "left")
-             .select(*[F.col(c).alias(f"_{c}") for c in print_], F.coalesce("component", "rep").alias("component"), "copies", "rep")
-             .where((F.col("copies") > 1) | (F.col("component") != F.col("rep"))))
+    owners = (real.join(again, "doc_id", "left_semi").join(nodes.select(*print_, "node"), print_).select("doc_id", "node").distinct())
+    first = owners.groupBy("doc_id").agg(F.min("node").alias("b"))
+    several = C.cut(owners.join(first, "doc_id").where(F.col("node") != F.col("b")).select(F.col("node").alias("a"), "b"))
+    if not several.isEmpty():
+        parts = C.cut(components(several.unionAll(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))))
+    part = _with_part(nodes.select("node", "rep", "copies", *print_), parts)
+    name = part.groupBy(F.col("part").alias("_part")).agg(F.min("rep").alias("component"))
+    named = (part.join(name, F.col("part") == F.col("_part")).where((F.col("copies") > 1) | (F.col("component") != F.col("rep")))
+             .select(*[F.col(c).alias(f"_{c}") for c in print_], "component"))
     same = (F.col("n_shingles") == F.col("_n_shingles")) & (F.col("f1") == F.col("_f1")) & (F.col("f2") == F.col("_f2")) & F.col("doc_id").isNotNull()
     out = rows.drop("sig").join(named, same, "left")
     component = F.coalesce("component", "doc_id")
@@ -260,9 +243,19 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = K)
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without the documents that are near-duplicates of a smaller doc_id; columns unchanged."""
-    drop = C.cut(near_duplicates(docs, n, percent).where("not kept").select(F.col("doc_id").alias("_drop")).distinct())
-    return docs.join(drop, docs["doc_id"].cast("long") == drop["_drop"], "left_anti")
+    """The rows of ``docs`` without near-duplicates of a smaller doc_id; columns unchanged.
+
+    Of several rows of one doc_id (one group by definition) the first by hash and text stays.
+    Rows of null id link with nothing and all stay."""
+    found = C.cut(near_duplicates(docs, n, percent).select(F.col("doc_id").alias("_id"), "kept").where("_id is not null"))
+    drop = found.where("not kept").select(F.col("_id").alias("_drop")).distinct()
+    again = found.groupBy(F.col("_id").alias("_again")).agg(F.count("*").alias("n")).where("n > 1").select("_again")
+    own = F.col("doc_id").cast("long")
+    left = docs.withColumn("_own", own).join(drop, F.col("_own") == F.col("_drop"), "left_anti")
+    order = Window.partitionBy("_own").orderBy(F.xxhash64("text"), "text")
+    repeated = left.join(again, F.col("_own") == F.col("_again"), "left_semi").withColumn("_place", F.row_number().over(order))
+    once = left.join(again, F.col("_own") == F.col("_again"), "left_anti")
+    return once.unionAll(repeated.where("_place = 1").drop("_place")).drop("_own")
 
 
 def op1(docs: DataFrame) -> DataFrame:

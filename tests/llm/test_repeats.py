@@ -6,13 +6,14 @@ import brute
 import numpy as np
 import pytest
 
-from limelight.llm import graph, neardup, substring, suffixes
+from limelight.llm import common, graph, neardup, substring, suffixes
 from limelight.llm import phrases as P
 
 
-@pytest.mark.parametrize("n, short", [(2, 64), (5, 64), (2, 3), (5, 1)])
-def test_near_duplicates(documents, corpus, n, short, monkeypatch):
-    monkeypatch.setattr(neardup, "SHORT", short)  # also with lists that are posted anew under rare shingles
+@pytest.mark.parametrize("n, short, growth", [(2, 8, 8), (5, 2, 4)])
+def test_near_duplicates(documents, corpus, n, short, growth, monkeypatch):
+    monkeypatch.setattr(neardup, "SHORT", short)  # also with many rounds of hubs
+    monkeypatch.setattr(neardup, "GROWTH", growth)
     got = {r.doc_id: tuple(r)[:4] for r in neardup.near_duplicates(documents, n, 80).collect()}
     assert got == brute.near_duplicates(corpus, n, 80)
 
@@ -26,6 +27,52 @@ def test_near_duplicates_odd_rows(spark, no_documents):
                           (9, 2, 4, False), (12, 2, 4, False)], key=str)
 
 
+def thue_morse(n):
+    return "".join("ab"[bin(k).count("1") & 1] for k in range(n)), "".join("ba"[bin(k).count("1") & 1] for k in range(n))
+
+
+def test_two_texts_of_one_id_link_each(spark):
+    a, b = (" ".join(f"{c}{k}" for k in range(40)) for c in "xy")
+    rows = [(5, a), (5, b), (7, a + " more"), (8, b + " more"), (9, "else")]
+    got = neardup.op1(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(5, 5, True), (5, 5, True), (7, 5, False), (8, 5, False), (9, 9, True)]
+
+
+def test_words_that_cancel_in_a_polynomial(spark):
+    one, other = thue_morse(1024)
+    common = "q r s t"
+    got = neardup.op1(spark.createDataFrame([(1, f"{one} {common}"), (2, f"{other} {common}")], "doc_id long, text string")).collect()
+    assert all(r.kept for r in got)
+    shared = " ".join(f"w{k}" for k in range(19))
+    rows = [(1, f"{shared} {one}"), (2, f"{shared} {other}")]
+    got = {r.doc_id: tuple(r) for r in substring.op3(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.repeated_words(rows)
+
+
+def test_word_hashes():
+    rng = random.Random(8)
+    words = {bytes(rng.choice(b"ab") for _ in range(rng.choice([1, 7, 8, 9, 16, 17, 511, 512, 513, 3000]))) for _ in range(3000)}
+    words |= {w.encode() for w in thue_morse(1024)} | {b"\0" * k for k in range(1, 20)}
+    words = sorted(words)
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    size = np.array([len(w) for w in words])
+    start = np.cumsum(size + 1) - size - 1
+    h = common.word_hashes(data, start, start + size)
+    assert len(set(h.tolist())) == len(words)
+    alone = [common.word_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0] for w in words]
+    assert h.tolist() == [int(x) for x in alone]
+
+
+def test_one_document_of_each_group_stays(spark, no_documents):
+    text = " ".join(f"word{k}" for k in range(30))
+    rows = [(4, text, 1), (4, text, 2), (4, "quite other words in here", 3), (9, text, 4), (None, text, 5), (None, text, 6), (11, "", 7), (11, None, 8), (12, "", 9)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, node int").repartition(2)
+    out = neardup.keep_one(docs)
+    assert out.schema == docs.schema
+    assert sorted(((r.doc_id for r in out.collect())), key=str) == [11, 12, 4, None, None]
+    assert neardup.keep_one(no_documents).collect() == []
+
+
 def test_match_threshold_loses_no_pair_at_the_wanted_similarity():
     rng = np.random.default_rng(3)
     t = neardup.match_threshold(neardup.K, 0.8)

@@ -37,7 +37,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now = C.cut(now)
     seen = _mark(now)
     while True:
-        now = C.cut(_small_star(_large_star(now)))
+        now = C.cut(_small_star(_large_star(_small_star(_large_star(now)))))  # two steps a job: fewer jobs on small graphs
         mark = _mark(now)
         if mark == seen:
             break

@@ -46,7 +46,7 @@ from limelight.llm.graph import components
 
 K = 40
 BROADCAST_IDS = 2_000_000
-SHORT, GROWTH = 8, 8  # members of a list that is compared as a whole; factor of the number of hubs from round to round
+SHORT, GROWTH = 32, 32  # members of a list that is compared as a whole; factor of the number of hubs from round to round
 MISS = 2e-5
 _rng = np.random.Generator(np.random.PCG64(41))
 MULTIPLY = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -151,11 +151,10 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame, t: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(same >= t).select("a", "b")
 
 
-def _sets_of(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+def _sets_of(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, small: bool) -> DataFrame:
     """(node, shingles) of the nodes in ``pairs``, from the text of the document that each is named by."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = C.cut(ids.join(nodes.select("node", "rep", "f1", "f2"), "node"))
-    small = wanted.count() <= BROADCAST_IDS  # 32 bytes each; more are joined by a shuffle
+    wanted = ids.join(nodes.select("node", "rep", "f1", "f2"), "node")
     held = F.broadcast(wanted) if small else wanted
     found = texts.join(held.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").mapInArrow(
         _sets(n), "_id long, _f1 long, _f2 long, shingles array<bigint>")
@@ -163,9 +162,9 @@ def _sets_of(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int) -> Da
     return found.join(held, mine).select("node", "shingles").dropDuplicates(["node"])
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, n: int, percent: int, small: bool) -> DataFrame:
     """The pairs (a, b) whose sets have 100 * intersection >= percent * union."""
-    sets = C.cut(_sets_of(texts, nodes, pairs, n))
+    sets = _sets_of(texts, nodes, pairs, n, small)
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -180,14 +179,16 @@ def _with_part(df: DataFrame, parts: DataFrame) -> DataFrame:
             .withColumn("part", F.coalesce("_component", "node")).drop("_node", "_component"))
 
 
-def _round(lists: DataFrame, parts: DataFrame, hubs_a_list: int) -> DataFrame:
-    """The lists that hold several components, with ``part``, and ``hub``: is this member a hub of this round?"""
-    named = C.cut(_with_part(lists, parts))
-    size = (named.groupBy("list", "part").agg(F.count("*").alias("m"), F.max("w").alias("w"))
-            .groupBy("list").agg(F.sum("m").alias("size"), F.count("*").alias("parts"), F.max(F.struct("m", "w", "part")).alias("top")))
-    # by its own shuffle, so that the join below can split a list that is on very many nodes
-    size = C.cut(size.where("parts > 1").select(F.col("list").alias("_list"), "size", F.col("top.part").alias("core"), (2 * F.col("top.m") > F.col("size")).alias("most")))
-    alive = named.join(size, F.col("list") == F.col("_list")).drop("_list")
+def _sizes(lists: DataFrame) -> DataFrame:
+    """Per list of several components: its size, its largest component, and whether that has most members."""
+    return (lists.groupBy("list", "part").agg(F.count("*").alias("m"), F.max("w").alias("w"))
+            .groupBy("list").agg(F.sum("m").alias("size"), F.count("*").alias("parts"), F.max(F.struct("m", "w", "part")).alias("top"))
+            .where("parts > 1").select(F.col("list").alias("_list"), "size", F.col("top.part").alias("core"), (2 * F.col("top.m") > F.col("size")).alias("most")))
+
+
+def _with_hubs(lists: DataFrame, sizes: DataFrame, hubs_a_list: int) -> DataFrame:
+    """The members of lists of several components, with ``hub``: is it a hub of this round?"""
+    alive = lists.join(sizes, F.col("list") == F.col("_list")).drop("_list")
     slot = F.pmod(F.xxhash64("node"), F.lit(hubs_a_list))
     best = (alive.where((F.col("size") > SHORT) & (~F.col("most") | (F.col("part") == F.col("core"))))
             .groupBy(F.col("list").alias("_list"), slot.alias("_slot")).agg(F.max(F.struct("w", (-F.col("node")).alias("node"))).alias("x"))
@@ -202,17 +203,21 @@ def links(texts: DataFrame, nodes: DataFrame, n: int, percent: int, k: int) -> D
     parts = texts.sparkSession.createDataFrame([], "node long, component long")
     lists, hubs_a_list = _postings(nodes, k, t), 1
     while True:
-        now = C.cut(_round(lists, parts, hubs_a_list))
-        if now.isEmpty():
+        named = C.cut(_with_part(lists, parts))
+        sizes = C.cut(_sizes(named))  # written: so the join with it can split a list that very many nodes are in
+        if sizes.isEmpty():
             return parts
+        now = C.cut(_with_hubs(named, sizes, hubs_a_list))
         hub = now.where("hub").select(F.col("list").alias("_list"), F.col("node").alias("b"), F.col("part").alias("pb"), F.col("n").alias("nb"))
         near = 100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")
         met = now.join(hub, F.col("list") == F.col("_list")).where((F.col("part") != F.col("pb")) & near)
         pairs = met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
         close = C.cut(_agreeing(pairs, nodes, t))
-        linked = None if close.isEmpty() else C.cut(_confirm(close, texts, nodes, n, percent))
-        if linked is not None and not linked.isEmpty():
-            parts = C.cut(components(linked.unionAll(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))))
+        found = close.count()
+        if found:
+            linked = C.cut(_confirm(close, texts, nodes, n, percent, 2 * found <= BROADCAST_IDS))
+            if not linked.isEmpty():
+                parts = C.cut(components(linked.unionAll(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))))
         lists, hubs_a_list = now.where("not hub").select("list", "node", "n", "w"), hubs_a_list * GROWTH
 
 

@@ -13,7 +13,9 @@
    coordinates are counted, and pairs with at least ``t`` are confirmed on the full
    sets and linked. Then the merge skips: a hub has met all that it could newly link
    to and leaves its list; members of one component are never met; a list of one
-   component is done. Where one component holds most of a list, hubs are its members,
+   component is done; after the first round, shingles of the full sets that only one
+   node of the long lists has bound the overlaps there, and members that the bound
+   parts are not met (texts that merely share a frequent line). Where one component holds most of a list, hubs are its members,
    so a round costs hubs times the members outside it, which become few: a group of
    copies costs about a comparison a member, not one a pair. Hubs are the members
    that share most with others (of a group of copies, its original), and there are
@@ -140,7 +142,7 @@ def _postings(nodes: DataFrame, k: int, t: int) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("f", "list"))).alias("s"), F.sum("f").alias("w"))  # at most k a row
     room = F.lit(1 - t) + F.size("s")  # places left by the k - size(s) values that are nobody else's and come first
     return (shared.where(room > 0).select("node", F.col("n_shingles").alias("n"), "w", F.explode(F.slice("s", F.lit(1), room)).alias("x"))
-            .select("x.list", "node", "n", "w"))
+            .select("x.list", "node", "n", "w", F.col("n").alias("most")))
 
 
 def _agreeing(pairs: DataFrame, nodes: DataFrame, t: int) -> DataFrame:
@@ -183,18 +185,39 @@ def _sizes(lists: DataFrame) -> DataFrame:
     """Per list of several components: its size, its largest component, and whether that has most members."""
     return (lists.groupBy("list", "part").agg(F.count("*").alias("m"), F.max("w").alias("w"))
             .groupBy("list").agg(F.sum("m").alias("size"), F.count("*").alias("parts"), F.max(F.struct("m", "w", "part")).alias("top"))
-            .where("parts > 1").select(F.col("list").alias("_list"), "size", F.col("top.part").alias("core"), (2 * F.col("top.m") > F.col("size")).alias("most")))
+            .where("parts > 1").select(F.col("list").alias("_list"), "size", F.col("top.part").alias("core"), (2 * F.col("top.m") > F.col("size")).alias("held")))
 
 
 def _with_hubs(lists: DataFrame, sizes: DataFrame, hubs_a_list: int) -> DataFrame:
     """The members of lists of several components, with ``hub``: is it a hub of this round?"""
     alive = lists.join(sizes, F.col("list") == F.col("_list")).drop("_list")
     slot = F.pmod(F.xxhash64("node"), F.lit(hubs_a_list))
-    best = (alive.where((F.col("size") > SHORT) & (~F.col("most") | (F.col("part") == F.col("core"))))
+    best = (alive.where((F.col("size") > SHORT) & (~F.col("held") | (F.col("part") == F.col("core"))))
             .groupBy(F.col("list").alias("_list"), slot.alias("_slot")).agg(F.max(F.struct("w", (-F.col("node")).alias("node"))).alias("x"))
             .select("_list", (-F.col("x.node")).alias("_node")))
     return (alive.join(best, (F.col("list") == F.col("_list")) & (F.col("node") == F.col("_node")), "left")
-            .select("list", "node", "n", "w", "part", ((F.col("size") <= SHORT) | F.col("_node").isNotNull()).alias("hub")))
+            .select("list", "node", "n", "w", "most", "part", ((F.col("size") <= SHORT) | F.col("_node").isNotNull()).alias("hub")))
+
+
+def _own(members: DataFrame, texts: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """(_node, own): how many shingles of a node's full set no other node of ``members`` has; nodes with some only."""
+    ids = members.select(F.col("node").alias("a"), F.col("node").alias("b")).distinct()
+    sets = _sets_of(texts, nodes, ids, n, ids.count() <= BROADCAST_IDS)
+    return (sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("f"), F.min("node").alias("_node"))
+            .where("f = 1").groupBy("_node").agg(F.count("*").alias("own")))
+
+
+def _bounded(named: DataFrame, sizes: DataFrame, texts: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
+    """The rows with ``most`` lowered in long lists to the shingles that some other of their nodes has too.
+
+    Rows that cannot reach the similarity with any other of these nodes go."""
+    long_ = sizes.where(F.col("size") > SHORT).select(F.col("_list").alias("_long"))
+    marked = C.cut(named.join(long_, F.col("list") == F.col("_long"), "left"))
+    crowd = marked.where("_long is not null")
+    own = C.cut(_own(crowd, texts, nodes, n))
+    least = (F.when(F.col("_long").isNotNull(), F.col("most") - F.coalesce("own", F.lit(0))).otherwise(F.col("most")))
+    return (marked.join(own, F.col("node") == F.col("_node"), "left").withColumn("most", least)
+            .where(100 * F.col("most") >= percent * F.col("n")).select("list", "node", "n", "w", "most", "part"))
 
 
 def links(texts: DataFrame, nodes: DataFrame, n: int, percent: int, k: int) -> DataFrame:
@@ -207,9 +230,13 @@ def links(texts: DataFrame, nodes: DataFrame, n: int, percent: int, k: int) -> D
         sizes = C.cut(_sizes(named))  # written: so the join with it can split a list that very many nodes are in
         if sizes.isEmpty():
             return parts
+        if hubs_a_list == GROWTH:  # once, when the first hubs have met their lists
+            named = C.cut(_bounded(named, sizes, texts, nodes, n, percent))
+            sizes = C.cut(_sizes(named))
         now = C.cut(_with_hubs(named, sizes, hubs_a_list))
-        hub = now.where("hub").select(F.col("list").alias("_list"), F.col("node").alias("b"), F.col("part").alias("pb"), F.col("n").alias("nb"))
-        near = 100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")
+        hub = now.where("hub").select(F.col("list").alias("_list"), F.col("node").alias("b"), F.col("part").alias("pb"), F.col("n").alias("nb"), F.col("most").alias("mb"))
+        overlap = F.least("most", "mb")
+        near = 100 * overlap >= percent * (F.col("n") + F.col("nb") - overlap)
         met = now.join(hub, F.col("list") == F.col("_list")).where((F.col("part") != F.col("pb")) & near)
         pairs = met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
         close = C.cut(_agreeing(pairs, nodes, t))
@@ -218,7 +245,7 @@ def links(texts: DataFrame, nodes: DataFrame, n: int, percent: int, k: int) -> D
             linked = C.cut(_confirm(close, texts, nodes, n, percent, 2 * found <= BROADCAST_IDS))
             if not linked.isEmpty():
                 parts = C.cut(components(linked.unionAll(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))))
-        lists, hubs_a_list = now.where("not hub").select("list", "node", "n", "w"), hubs_a_list * GROWTH
+        lists, hubs_a_list = now.where("not hub").select("list", "node", "n", "w", "most"), hubs_a_list * GROWTH
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = K) -> DataFrame:

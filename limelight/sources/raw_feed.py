@@ -111,7 +111,7 @@ def read_feed_range(spark: SparkSession, root: str, start, end, streams: list[st
     """S3: every requested day and feed (default: both); fails if one of them has no file."""
     present, missing = feed_folders(spark, root, start, end, streams, glob)
     if missing:
-        said = ", ".join(f"{d}/{s}" for d, s in missing[:20])
+        said = ", ".join(f"{d}/{s}" for d, s in missing)
         raise FileNotFoundError(f"{len(missing)} of the requested days and feeds have no files under {root}: {said}")
     return _read_folders(spark, root, present, glob)
 

@@ -8,6 +8,7 @@ bounds the memory of a task whatever the partition size.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +47,30 @@ def cut(df: DataFrame) -> DataFrame:
     return checkpointed(df)
 
 
+class Rounds:
+    """Tables that the rounds of a loop write to the shared folder; those no longer needed are deleted."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, f"{shared_dir(spark).rstrip('/')}/rounds-{uuid.uuid4().hex}"
+        self.held: list[tuple[DataFrame, str]] = []
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self.held.append((table, path))
+        return table
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Delete what has been written, but for ``tables``."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for table, path in self.held:
+            if not any(table is t for t in tables):
+                at = jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(conf).delete(at, True)
+        self.held = [(table, path) for table, path in self.held if any(table is t for t in tables)]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser: spreads every input bit over 64 output bits (a bijection)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

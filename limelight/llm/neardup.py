@@ -10,7 +10,8 @@
    nothing else leave the join here.
 3. Lists are merged in rounds. A round takes some members of each list as hubs (all of a
    short list) and meets them with the members of other components: agreeing
-   coordinates are counted, and pairs with at least ``t`` are confirmed on the full
+   coordinates are counted on the low byte of each (packed eight to a long; values that
+   agree have equal bytes), and pairs with at least ``t`` are confirmed on the full
    sets and linked. Then the merge skips: a hub has met all that it could newly link
    to and leaves its list; members of one component are never met; a list of one
    component is done; after the first round, shingles of the full sets that only one
@@ -90,6 +91,16 @@ def shingle_sets(col: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return sh, C.row_bounds(rows, len(col))
 
 
+def _longs(k: int) -> int:
+    """How many longs hold a byte for each of k coordinates."""
+    return -(-k // 8)
+
+
+def _list_of(rows: np.ndarray) -> pa.ListArray:
+    width = rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, width * len(rows) + 1, width), pa.int32()), pa.array(rows.ravel()))
+
+
 def _signatures(n: int, k: int):
     def run(batches):
         for p in C.pieces(batches):
@@ -103,10 +114,12 @@ def _signatures(n: int, k: int):
                 for c in range(k):
                     least = np.minimum.reduceat(sh * MULTIPLY[c] + ADD[c], heads)
                     sig[full, c] = (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            low = np.zeros((p.num_rows, _longs(k) * 8), np.uint8)
+            low[:, :k] = sig.astype(np.uint8)
             yield pa.record_batch(
                 [p.column("doc_id"), pa.array(size, pa.int64()), pa.array(prints[0].view(np.int64)), pa.array(prints[1].view(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(np.arange(0, k * p.num_rows + 1, k), pa.int32()), pa.array(sig.ravel()))],
-                names=["doc_id", "n_shingles", "f1", "f2", "sig"])
+                 _list_of(sig), _list_of(low.view(np.int64))],
+                names=["doc_id", "n_shingles", "f1", "f2", "sig", "low"])
 
     return run
 
@@ -145,12 +158,21 @@ def _postings(nodes: DataFrame, k: int, t: int) -> DataFrame:
             .select("x.list", "node", "n", "w", F.col("n").alias("most")))
 
 
-def _agreeing(pairs: DataFrame, nodes: DataFrame, t: int) -> DataFrame:
-    """The pairs (a, b) whose signatures agree in at least ``t`` coordinates."""
-    left = nodes.select(F.col("node").alias("a"), F.col("sig").alias("sa"))
-    right = nodes.select(F.col("node").alias("b"), F.col("sig").alias("sb"))
-    same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-    return pairs.join(left, "a").join(right, "b").where(same >= t).select("a", "b")
+def _differing(x, y):
+    """How many of the eight bytes of two longs differ."""
+    bits = x.bitwiseXOR(y)
+    for step in (4, 2, 1):  # every byte's bits are gathered in its lowest
+        bits = bits.bitwiseOR(F.shiftrightunsigned(bits, step))
+    return F.bit_count(bits.bitwiseAND(F.lit(0x0101010101010101)))
+
+
+def _agreeing(pairs: DataFrame, nodes: DataFrame, k: int, t: int) -> DataFrame:
+    """The pairs (a, b) whose signatures agree in the low byte of at least ``t`` coordinates."""
+    longs = range(_longs(k))
+    left = nodes.select(F.col("node").alias("a"), *[F.col("low")[c].alias(f"x{c}") for c in longs])
+    right = nodes.select(F.col("node").alias("b"), *[F.col("low")[c].alias(f"y{c}") for c in longs])
+    differing = sum((_differing(F.col(f"x{c}"), F.col(f"y{c}")) for c in longs), F.lit(0))
+    return pairs.join(left, "a").join(right, "b").where(k - differing >= t).select("a", "b")
 
 
 def _sets_of(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, small: bool) -> DataFrame:
@@ -207,14 +229,14 @@ def _own(members: DataFrame, texts: DataFrame, nodes: DataFrame, n: int) -> Data
             .where("f = 1").groupBy("_node").agg(F.count("*").alias("own")))
 
 
-def _bounded(named: DataFrame, sizes: DataFrame, texts: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
+def _bounded(named: DataFrame, sizes: DataFrame, texts: DataFrame, nodes: DataFrame, n: int, percent: int, rounds: C.Rounds) -> DataFrame:
     """The rows with ``most`` lowered in long lists to the shingles that some other of their nodes has too.
 
     Rows that cannot reach the similarity with any other of these nodes go."""
     long_ = sizes.where(F.col("size") > SHORT).select(F.col("_list").alias("_long"))
-    marked = C.cut(named.join(long_, F.col("list") == F.col("_long"), "left"))
+    marked = rounds.cut(named.join(long_, F.col("list") == F.col("_long"), "left"))
     crowd = marked.where("_long is not null")
-    own = C.cut(_own(crowd, texts, nodes, n))
+    own = rounds.cut(_own(crowd, texts, nodes, n))
     least = (F.when(F.col("_long").isNotNull(), F.col("most") - F.coalesce("own", F.lit(0))).otherwise(F.col("most")))
     return (marked.join(own, F.col("node") == F.col("_node"), "left").withColumn("most", least)
             .where(100 * F.col("most") >= percent * F.col("n")).select("list", "node", "n", "w", "most", "part"))
@@ -225,36 +247,38 @@ def links(texts: DataFrame, nodes: DataFrame, n: int, percent: int, k: int) -> D
     t = match_threshold(k, percent / 100)
     parts = texts.sparkSession.createDataFrame([], "node long, component long")
     lists, hubs_a_list = _postings(nodes, k, t), 1
+    rounds = C.Rounds(texts.sparkSession)
     while True:
-        named = C.cut(_with_part(lists, parts))
-        sizes = C.cut(_sizes(named))  # written: so the join with it can split a list that very many nodes are in
+        named = rounds.cut(_with_part(lists, parts))
+        rounds.keep(named, parts)  # the round before has been read
+        sizes = rounds.cut(_sizes(named))  # written: so the join with it can split a list that very many nodes are in
         if sizes.isEmpty():
             return parts
         if hubs_a_list == GROWTH:  # once, when the first hubs have met their lists
-            named = C.cut(_bounded(named, sizes, texts, nodes, n, percent))
-            sizes = C.cut(_sizes(named))
-        now = C.cut(_with_hubs(named, sizes, hubs_a_list))
+            named = rounds.cut(_bounded(named, sizes, texts, nodes, n, percent, rounds))
+            sizes = rounds.cut(_sizes(named))
+        now = rounds.cut(_with_hubs(named, sizes, hubs_a_list))
         hub = now.where("hub").select(F.col("list").alias("_list"), F.col("node").alias("b"), F.col("part").alias("pb"), F.col("n").alias("nb"), F.col("most").alias("mb"))
         overlap = F.least("most", "mb")
         near = 100 * overlap >= percent * (F.col("n") + F.col("nb") - overlap)
         met = now.join(hub, F.col("list") == F.col("_list")).where((F.col("part") != F.col("pb")) & near)
         pairs = met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-        close = C.cut(_agreeing(pairs, nodes, t))
+        close = rounds.cut(_agreeing(pairs, nodes, k, t))
         found = close.count()
         if found:
-            linked = C.cut(_confirm(close, texts, nodes, n, percent, 2 * found <= BROADCAST_IDS))
+            linked = rounds.cut(_confirm(close, texts, nodes, n, percent, 2 * found <= BROADCAST_IDS))
             if not linked.isEmpty():
-                parts = C.cut(components(linked.unionAll(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))))
+                parts = rounds.cut(components(linked.unionAll(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))))
         lists, hubs_a_list = now.where("not hub").select("list", "node", "n", "w", "most"), hubs_a_list * GROWTH
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = K) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept."""
     texts = docs.select(C.long_ids(), "text")
-    rows = C.cut(texts.mapInArrow(_signatures(n, k), "doc_id long, n_shingles long, f1 long, f2 long, sig array<int>"))
+    rows = C.cut(texts.mapInArrow(_signatures(n, k), "doc_id long, n_shingles long, f1 long, f2 long, sig array<int>, low array<bigint>"))
     real = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     print_ = ["n_shingles", "f1", "f2"]
-    nodes = C.cut(real.groupBy(*print_).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
+    nodes = C.cut(real.groupBy(*print_).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("sig").alias("sig"), F.first("low").alias("low"))
                   .withColumn("node", F.monotonically_increasing_id()))
     parts = links(texts, nodes, n, percent, k)
     again = real.groupBy("doc_id").agg(F.count("*").alias("times")).where("times > 1").select("doc_id")  # ids given twice
@@ -268,7 +292,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = K)
     named = (part.join(name, F.col("part") == F.col("_part")).where((F.col("copies") > 1) | (F.col("component") != F.col("rep")))
              .select(*[F.col(c).alias(f"_{c}") for c in print_], "component"))
     same = (F.col("n_shingles") == F.col("_n_shingles")) & (F.col("f1") == F.col("_f1")) & (F.col("f2") == F.col("_f2")) & F.col("doc_id").isNotNull()
-    out = rows.drop("sig").join(named, same, "left")
+    out = rows.drop("sig", "low").join(named, same, "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from limelight.session import checkpointed
+
 
 def check_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
     """Q1: NULL count per column from one aggregate, as rows ``(column_name, null_rows)``."""
@@ -104,37 +106,53 @@ def enforce(results: DataFrame) -> None:
         raise CheckFailed("; ".join(f"{r.check_name}: {r.violations}" for r in bad))
 
 
+def _with_distinct(df: DataFrame, group: list[str], measures: list[Column], distinct: dict[str, str], stored: bool) -> DataFrame:
+    """The measures and the exact distinct counts (output name -> column) per group.
+
+    Every distinct count is a two-step distinct of its own over one narrow column, where
+    several in one aggregate would multiply every row. The results, a row a group each,
+    are stacked and folded, so no join is needed. A table not ``stored`` is written once,
+    for it is read once a count."""
+    table = df if stored else checkpointed(df)
+    out = table.groupBy(*group).agg(*measures)
+    plain = [c for c in out.columns if c not in group]
+    for name, column in distinct.items():
+        seen = table.where(F.col(column).isNotNull()).select(*group, column).distinct()
+        out = out.unionByName(seen.groupBy(*group).agg(F.count(F.lit(1)).alias(name)), allowMissingColumns=True)
+    return out.groupBy(*group).agg(*[F.max(c).alias(c) for c in plain], *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in distinct])
+
+
 def dataset_qc(df: DataFrame, doc_col: str = "DocumentIdentifier", source_col: str = "SourceCommonName",
-               feed_col: str = "stream", date_col: str = "gkg_date") -> DataFrame:
-    """One-row dataset summary."""
+               feed_col: str = "stream", date_col: str = "gkg_date", stored: bool = False) -> DataFrame:
+    """One-row dataset summary; ``stored``: ``df`` is a table on storage, cheap to read again."""
     s = F.col(feed_col)
-    out = df.agg(
+    out = _with_distinct(df.select(*dict.fromkeys([doc_col, source_col, feed_col, date_col])), [], [
         F.count(F.lit(1)).alias("rows"),
-        F.count_distinct(doc_col).alias("unique_documents"),
-        F.count_distinct(source_col).alias("unique_sources"),
         F.count_if(s == "regular").alias("regular_rows"),
         F.count_if(s == "translation").alias("translation_rows"),
         F.min(date_col).alias("min_gkg_date"),
         F.max(date_col).alias("max_gkg_date"),
         F.count_if(F.col(doc_col).isNull()).alias("missing_document_identifier_rows"),
-    )
-    return out.withColumn("duplicate_document_rows", F.col("rows") - F.col("unique_documents"))
+    ], {"unique_documents": doc_col, "unique_sources": source_col}, stored)
+    return out.select("rows", "unique_documents", "unique_sources", "regular_rows", "translation_rows", "min_gkg_date", "max_gkg_date",
+                      "missing_document_identifier_rows", (F.col("rows") - F.col("unique_documents")).alias("duplicate_document_rows"))
 
 
 def feed_qc(df: DataFrame, doc_col: str = "DocumentIdentifier", source_col: str = "SourceCommonName",
             feed_col: str = "stream", date_col: str = "gkg_date", tone_col: str = "tone",
-            score_col: str = "salience_score", class_col: str = "salience_class") -> DataFrame:
-    """A15 + A16: per feed (a NULL feed is its own group) with the score summary."""
-    return df.groupBy(feed_col).agg(
+            score_col: str = "salience_score", class_col: str = "salience_class", stored: bool = False) -> DataFrame:
+    """A15 + A16: per feed (a NULL feed is its own group) with the score summary; ``stored`` as in ``dataset_qc``."""
+    needed = dict.fromkeys([doc_col, source_col, feed_col, date_col, tone_col, score_col, class_col])
+    out = _with_distinct(df.select(*needed), [feed_col], [
         F.count(F.lit(1)).alias("rows"),
-        F.count_distinct(doc_col).alias("unique_documents"),
-        F.count_distinct(source_col).alias("unique_sources"),
         F.min(date_col).alias("min_gkg_date"),
         F.max(date_col).alias("max_gkg_date"),
         F.count_if(F.col(doc_col).isNull()).alias("missing_document_identifier_rows"),
         F.count_if(F.col(tone_col).isNull()).alias("missing_tone_rows"),
         *score_measures(score_col, class_col),
-    )
+    ], {"unique_documents": doc_col, "unique_sources": source_col}, stored)
+    front = [feed_col, "rows", "unique_documents", "unique_sources"]
+    return out.select(*front, *[c for c in out.columns if c not in front])
 
 
 def score_measures(score_col: str = "salience_score", class_col: str = "salience_class"):

@@ -10,16 +10,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from limelight.functions.dates import week_end
 from limelight.functions.labels import signal_group
 from limelight.functions.numeric import safe_ratio
 from limelight.operators.filters import complete_period_gate, spike_predicate
+from limelight.operators.streaks import numbered
 
 # Fixed values that must equal the reference for equal results.
 BASELINE_WEEKS = 52
+BLOCK_ROWS = 5200  # rows of one series in a task where a chunk is given
 MIN_OBSERVATIONS = 12
 FENCE_FACTOR = 3
 
@@ -67,19 +69,37 @@ def signals_long(weekly: DataFrame, specs: list[SignalSpec], week_col: str = "we
 
 
 def rolling_baseline(long: DataFrame, key: str = "signal", order: str = "week_start",
-                     weeks: int = BASELINE_WEEKS, value: str = "signal_value") -> DataFrame:
+                     weeks: int = BASELINE_WEEKS, value: str = "signal_value",
+                     chunk: Column | None = None, block: int = BLOCK_ROWS) -> DataFrame:
     """Count / median / Q1 / Q3 over the ``weeks`` preceding rows (current excluded).
 
     ``percentile`` is exact and interpolating, as ``quantile_cont``; ``median``
-    and ``percentile_cont`` are not allowed with a row frame."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(-weeks, -1)
+    and ``percentile_cont`` are not allowed with a row frame.
+
+    Without ``chunk`` one window per key sorts each series in one task, as fits a row a
+    week. With ``chunk`` (monotone in ``order``, e.g. the day of a timestamp) a series of
+    any length spans many tasks: rows are numbered by a chunked scan and dealt to blocks of
+    ``block`` places; the last ``weeks`` rows of a block also go to the next one, where they
+    only serve as the frame of its first rows."""
+    placed, part, by = long, [key], order
+    if chunk is not None:
+        if block < weeks:
+            raise ValueError("a block must hold at least one whole frame")
+        placed = numbered(long, key, order, chunk)
+        at = F.col("_place") - 1
+        own = F.floor(at / block)
+        lent = F.when(at % block >= block - weeks, F.array(own, own + 1)).otherwise(F.array(own))
+        placed = placed.withColumn("_own", own).withColumn("_block", F.explode(lent))
+        part, by = [key, "_block"], "_place"
+    w = Window.partitionBy(*part).orderBy(by).rowsBetween(-weeks, -1)
     v = F.col(value)
-    return long.withColumns({
+    scored = placed.withColumns({
         "baseline_observations": F.count(v).over(w),
         "baseline_median": F.percentile(v, F.lit(0.5)).over(w),
         "baseline_q1": F.percentile(v, F.lit(0.25)).over(w),
         "baseline_q3": F.percentile(v, F.lit(0.75)).over(w),
     })
+    return scored if chunk is None else scored.where("_block = _own").drop("_place", "_own", "_block")
 
 
 def tukey_upper_fence(q1: str = "baseline_q1", q3: str = "baseline_q3", factor: float = FENCE_FACTOR):
@@ -88,15 +108,15 @@ def tukey_upper_fence(q1: str = "baseline_q1", q3: str = "baseline_q3", factor:
 
 
 def scored_signals(long: DataFrame, weeks: int = BASELINE_WEEKS, factor: float = FENCE_FACTOR,
-                   key: str = "signal", order: str = "week_start") -> DataFrame:
-    return rolling_baseline(long, key, order, weeks).withColumn("spike_threshold", tukey_upper_fence(factor=factor))
+                   key: str = "signal", order: str = "week_start", chunk: Column | None = None) -> DataFrame:
+    return rolling_baseline(long, key, order, weeks, chunk=chunk).withColumn("spike_threshold", tukey_upper_fence(factor=factor))
 
 
 def spikes_from_long(long: DataFrame, weeks: int = BASELINE_WEEKS, min_observations: int = MIN_OBSERVATIONS,
                      factor: float = FENCE_FACTOR, key: str = "signal", order: str = "week_start",
-                     group_prefixes=None, with_week_end: bool = True) -> DataFrame:
-    """W2 + W3 + P8 + F20-F22 on an already long series table."""
-    scored = scored_signals(long, weeks, factor, key, order).filter(spike_predicate(min_observations))
+                     group_prefixes=None, with_week_end: bool = True, chunk: Column | None = None) -> DataFrame:
+    """W2 + W3 + P8 + F20-F22 on an already long series table; ``chunk`` as in ``rolling_baseline``."""
+    scored = scored_signals(long, weeks, factor, key, order, chunk).filter(spike_predicate(min_observations))
     group = signal_group(key) if group_prefixes is None else signal_group(key, group_prefixes)
     cols = [F.col(order)]
     if with_week_end:

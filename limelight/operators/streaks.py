@@ -13,9 +13,11 @@ a third of the rows would then be one task over a third of the data. The
 chunked form splits every key into ordered chunks (a bucket column that is
 monotone in the order, e.g. the month of the date):
 
-1. windows over ``(key, chunk)`` give each row its value *within* the chunk;
+1. windows over ``(key, chunk)`` give each row its value *within* the chunk; these
+   rows are written once (``checkpoint``), so the input is read and shuffled once and
+   rows that tie in the order keep one order for both passes;
 2. a per-chunk summary (has a reset? increment after the last reset) is
-   aggregated on the same partitioning;
+   aggregated from them, combined before its shuffle;
 3. a running scan over the small summary table (one row per chunk) gives the
    carry into each chunk;
 4. the carry is joined back on ``(key, chunk)`` and added to the rows before
@@ -29,9 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _cols(names):
-    return [F.col(c) for c in names]
+from limelight.session import checkpointed
 
 
 def keyed_run(df: DataFrame, keys: list[str], order_by: list[str], reset: Column, increment: Column,
@@ -56,10 +56,11 @@ def keyed_run(df: DataFrame, keys: list[str], order_by: list[str], reset: Column
         F.when(F.col("_reset"), F.lit(0)).otherwise(F.col("_cum") - F.coalesce(F.col("_base"), F.lit(0))),
     )
 
-    # Per-chunk summary on the windows' partitioning: increment after the last reset, any reset.
-    order_struct = F.struct(*_cols(order_by))
+    rows = checkpointed(rows.drop("_reset", "_inc0", "_inc"))
+    # Per-chunk summary: increment after the last reset, any reset. Increments are not
+    # negative, so both running columns are largest on the chunk's last row.
     summary = rows.groupBy(*part).agg(
-        F.max_by("_local", order_struct).alias("_tail"),
+        (F.max("_cum") - F.coalesce(F.max("_base"), F.lit(0))).alias("_tail"),
         F.max("_seen").alias("_has_reset"),
     )
     # Running scan over chunks of a key; one row per chunk, so this table is small.
@@ -80,7 +81,7 @@ def keyed_run(df: DataFrame, keys: list[str], order_by: list[str], reset: Column
     cond = [rows[c].eqNullSafe(carry[f"_ck{i}"]) for i, c in enumerate(part)]
     joined = rows.join(carry, cond, "left").drop(*[f"_ck{i}" for i in range(len(part))])
     value = F.when(F.col("_seen") == 1, F.col("_local")).otherwise(F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0)))
-    return joined.withColumn(out, value).drop("_chunk", "_reset", "_inc0", "_inc", "_cum", "_seen", "_base", "_local", "_carry")
+    return joined.withColumn(out, value).drop("_chunk", "_cum", "_seen", "_base", "_local", "_carry")
 
 
 def zero_streak(df: DataFrame, keys: list[str], order_by: list[str], hit: Column, chunk: Column,
@@ -104,3 +105,15 @@ def failure_runs(df: DataFrame, keys: list[str], order_by: list[str], chunk: Col
     reset = s.isin("downloaded", "missing_upstream")
     increment = F.when(s == "download_failed", F.lit(1)).otherwise(F.lit(0))
     return keyed_run(df, keys, order_by, reset, increment, out, chunk).withColumn("breach", F.col(out) >= limit)
+
+
+def numbered(df: DataFrame, key: str, order: str, chunk: Column, out: str = "_place") -> DataFrame:
+    """Adds the place (from 1) of every row in its key's order by the same chunked scan:
+    row numbers within ``(key, chunk)`` plus the sizes of the key's earlier chunks."""
+    within = Window.partitionBy(key, "_chunk").orderBy(order)
+    rows = checkpointed(df.withColumn("_chunk", chunk).withColumn(out, F.row_number().over(within).cast("bigint")))
+    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = rows.groupBy(key, "_chunk").agg(F.max(out).alias("_n")).select(
+        F.col(key).alias("_ck0"), F.col("_chunk").alias("_ck1"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_earlier"))
+    same = rows[key].eqNullSafe(carry["_ck0"]) & rows["_chunk"].eqNullSafe(carry["_ck1"])
+    return rows.join(carry, same).withColumn(out, F.col(out) + F.col("_earlier")).drop("_ck0", "_ck1", "_chunk", "_earlier")

@@ -383,7 +383,7 @@ def q_weekly_spikes(spark, sf):
               for c in SPIKE_COLS[4:]) + " FROM spikes")
 def q_hourly_spikes(spark, sf):
     from limelight.operators.spikes import spikes_from_long
-    return rounded(spikes_from_long(T.hourly_event_signals(spark, sf), order="hour_start", with_week_end=False))
+    return rounded(spikes_from_long(T.hourly_event_signals(spark, sf), order="hour_start", with_week_end=False, chunk=F.to_date("hour_start")))
 
 
 CONTEXT_SELECT = ", ".join(f"round(CAST(w.{c} AS DOUBLE), {DIGITS}) AS {c}" if c.endswith(("_tone", "_share")) else f"w.{c}" for c in REFERENCE_CONTEXT)

@@ -60,7 +60,7 @@ def run_silver(spark: SparkSession, layout: Layout, token: str = P.REFERENCE_TOK
         candidates, retained = before.get["candidate_rows"], after.get["retained_rows"]
         log.report(candidate_rows=candidates, removed_rows=candidates - retained, retained_rows=retained)
         articles = spark.read.parquet(layout.path("silver", "articles"))
-        for name, table in (("dataset_qc", dataset_qc(articles)), ("feed_qc", feed_qc(articles)), ("score_qc", score_qc(articles))):
+        for name, table in (("dataset_qc", dataset_qc(articles, stored=True)), ("feed_qc", feed_qc(articles, stored=True)), ("score_qc", score_qc(articles))):
             log.table(name, table)
 
 

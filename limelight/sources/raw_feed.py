@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
@@ -70,60 +71,79 @@ def restore_feed_columns(df: DataFrame) -> DataFrame:
 FEEDS = ["regular", "translation"]
 
 
-def feed_folders(spark: SparkSession, root: str, start, end, streams: list[str] | None = None,
-                 glob: str = FILE_GLOB) -> tuple[list[str], list[tuple[dt.date, str]]]:
-    """The requested ``date=/stream=`` folders that hold feed files, and the (day, feed)
-    pairs that have none. Only the requested folders are listed, on the driver, as
-    many as there are days times feeds."""
+def _days_glob(root: str, start, end) -> str:
+    """One path pattern for the day folders of the range: the root is listed once, and the
+    reader's own file index lists what lies below, in parallel where there is much of it."""
     first, last = dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end))
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    present, missing = [], []
-    for n in range((last - first).days + 1):
-        day = first + dt.timedelta(n)
-        for stream in streams or FEEDS:
-            folder = f"{root.rstrip('/')}/date={day.isoformat()}/stream={stream}"
-            pattern = jvm.org.apache.hadoop.fs.Path(f"{folder}/{glob}")
-            found = pattern.getFileSystem(conf).globStatus(pattern)
-            if found is not None and len(found):
-                present.append(folder)
-            else:
-                missing.append((day, stream))
-    return present, missing
-
-
-def _read_folders(spark: SparkSession, root: str, folders: list[str], glob: str) -> DataFrame:
-    """S3 + S5: the given folders; folder names become ``feed_date`` and ``stream``.
+    days = ",".join((first + dt.timedelta(n)).isoformat() for n in range((last - first).days + 1))
+    return f"{root.rstrip('/')}/date={{{days}}}"
+
+
+def missing_feed_days(spark: SparkSession, root: str, start, end, streams: list[str] | None = None,
+                      glob: str = FILE_GLOB) -> DataFrame:
+    """The (feed_date, stream) pairs of the range without a feed file: the expected pairs
+    less those seen in the paths of the files. No file is opened."""
+    expected = spark.range(1).select(
+        F.explode(F.sequence(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date"))).alias("feed_date")).select(
+        "feed_date", F.explode(F.array(*[F.lit(s) for s in streams or FEEDS])).alias("stream"))
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+             .load(_days_glob(root, start, end)).select("path"))
+    folder = r"/date=([0-9-]{10})/stream=([^/]+)/[^/]+$"
+    seen = files.select(F.regexp_extract("path", folder, 1).try_cast("date").alias("feed_date"),
+                        F.regexp_extract("path", folder, 2).alias("stream")).distinct()
+    return expected.join(seen, ["feed_date", "stream"], "left_anti")
+
+
+def _read_days(spark: SparkSession, root: str, start, end, streams: list[str] | None, glob: str) -> DataFrame:
+    """S3 + S5: the range's files of the given feeds; folder names become ``feed_date`` and ``stream``.
 
     The folder key ``date`` equals the feed's own ``DATE`` column up to case, and
     Spark column names are case-insensitive, so the text column is read under a
-    temporary name and renamed after the partition column became ``feed_date``."""
+    temporary name and renamed after the partition column became ``feed_date``.
+    Folders of other feeds are pruned."""
     return restore_feed_columns(
         spark.read.schema(FEED_READ_SCHEMA)
         .option("sep", "\t").option("header", "false").option("quote", "").option("escape", "")
         .option("pathGlobFilter", glob)
         .option("basePath", root)
-        .csv(folders)
+        .csv(_days_glob(root, start, end))
+        .where(F.col("stream").isin(streams or FEEDS))
     )
 
 
+def _nothing(root: str, start, end) -> FileNotFoundError:
+    return FileNotFoundError(f"no feed files under {root} for {start}..{end}")
+
+
+def _missing_pairs(spark: SparkSession, root: str, start, end, streams, glob) -> list:
+    """The missing pairs, at most days times feeds; fails if no day folder exists."""
+    try:
+        return missing_feed_days(spark, root, start, end, streams, glob).orderBy("feed_date", "stream").collect()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise _nothing(root, start, end) from e
+        raise
+
+
 def read_feed_range(spark: SparkSession, root: str, start, end, streams: list[str] | None = None,
                     glob: str = FILE_GLOB) -> DataFrame:
     """S3: every requested day and feed (default: both); fails if one of them has no file."""
-    present, missing = feed_folders(spark, root, start, end, streams, glob)
-    if missing:
-        said = ", ".join(f"{d}/{s}" for d, s in missing)
-        raise FileNotFoundError(f"{len(missing)} of the requested days and feeds have no files under {root}: {said}")
-    return _read_folders(spark, root, present, glob)
+    rows = _missing_pairs(spark, root, start, end, streams, glob)
+    if rows:
+        said = ", ".join(f"{r.feed_date}/{r.stream}" for r in rows)
+        raise FileNotFoundError(f"{len(rows)} of the requested days and feeds have no files under {root}: {said}")
+    return _read_days(spark, root, start, end, streams, glob)
 
 
 def read_feed_range_lenient(spark: SparkSession, root: str, start, end, streams: list[str] | None = None,
                             glob: str = FILE_GLOB) -> tuple[DataFrame, DataFrame]:
-    """What exists of the range, and the missing ``(feed_date, stream)`` pairs from
-    the same listing; fails only if nothing exists."""
-    present, missing = feed_folders(spark, root, start, end, streams, glob)
-    if not present:
-        raise FileNotFoundError(f"no feed files under {root} for {start}..{end}")
-    return _read_folders(spark, root, present, glob), spark.createDataFrame(missing, "feed_date date, stream string")
+    """What exists of the range, and the missing ``(feed_date, stream)`` pairs; fails
+    only if nothing exists."""
+    rows = _missing_pairs(spark, root, start, end, streams, glob)
+    days = (dt.date.fromisoformat(str(end)) - dt.date.fromisoformat(str(start))).days + 1
+    if len(rows) == days * len(streams or FEEDS):
+        raise _nothing(root, start, end)
+    return _read_days(spark, root, start, end, streams, glob), spark.createDataFrame(rows, "feed_date date, stream string")
 
 
 def raw_rows_from_lines(lines: DataFrame, line_col: str = "line", keep: list[str] | None = None) -> DataFrame:

@@ -14,9 +14,12 @@
    agree have equal bytes), and pairs with at least ``t`` are confirmed on the full
    sets and linked. Then the merge skips: a hub has met all that it could newly link
    to and leaves its list; members of one component are never met; a list of one
-   component is done; after the first round, shingles of the full sets that only one
-   node of the long lists has bound the overlaps there, and members that the bound
-   parts are not met (texts that merely share a frequent line). Where one component holds most of a list, hubs are its members,
+   component is done. After the first round, what is left of the long lists is posted
+   anew under the rarest shingles of the full sets, among these members: texts as near
+   as wanted share one in the first fifth of that order, and the places where they share
+   it bound their overlap, so members that the bound parts are not met (texts that merely
+   share a frequent line, and copies of one text that are each altered in other places).
+   Where one component holds most of a list, hubs are its members,
    so a round costs hubs times the members outside it, which become few: a group of
    copies costs about a comparison a member, not one a pair. Hubs are the members
    that share most with others (of a group of copies, its original), and there are
@@ -221,25 +224,33 @@ def _with_hubs(lists: DataFrame, sizes: DataFrame, hubs_a_list: int) -> DataFram
             .select("list", "node", "n", "w", "most", "part", ((F.col("size") <= SHORT) | F.col("_node").isNotNull()).alias("hub")))
 
 
-def _own(members: DataFrame, texts: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """(_node, own): how many shingles of a node's full set no other node of ``members`` has; nodes with some only."""
-    ids = members.select(F.col("node").alias("a"), F.col("node").alias("b")).distinct()
-    sets = _sets_of(texts, nodes, ids, n, ids.count() <= BROADCAST_IDS)
-    return (sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("f"), F.min("node").alias("_node"))
-            .where("f = 1").groupBy("_node").agg(F.count("*").alias("own")))
+def _rare(crowd: DataFrame, texts: DataFrame, nodes: DataFrame, n: int, percent: int, rounds: C.Rounds) -> DataFrame:
+    """The lists (list, node, n, w, most, part) of the nodes of ``crowd`` by the rarest shingles of their full sets.
 
+    Shingles stand in one order, rarest among these nodes first. If the first one that two sets share has
+    ``most`` shingles from there on in each, they share no more than the smaller ``most``; places where that
+    cannot reach the similarity are left out. Shingles that one node alone has fill places and need no list."""
+    ids = rounds.cut(crowd.groupBy("node").agg(F.max("w").alias("w"), F.first("part").alias("part")))
+    sets = _sets_of(texts, nodes, ids.select(F.col("node").alias("a"), F.col("node").alias("b")), n, ids.count() <= BROADCAST_IDS)
+    each = rounds.cut(sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")))
+    often = each.groupBy(F.col("shingle").alias("_shingle")).agg(F.count("*").alias("f")).where("f > 1")
+    shared = (each.join(often, F.col("shingle") == F.col("_shingle")).groupBy("node", "n")
+              .agg(F.sort_array(F.collect_list(F.struct("f", "shingle"))).alias("s")))  # at most the set of one text
+    held = F.size("s")  # the n - held shingles of its own come first
+    room = F.floor(F.col("n") - F.lit(percent) * F.col("n") / 100).cast("int") + 1 - (F.col("n") - held)
+    placed = shared.where(room > 0).select("node", F.col("n").cast("long").alias("n"), held.alias("held"), F.posexplode(F.slice("s", F.lit(1), room)).alias("place", "x"))
+    return (placed.select("node", "n", F.col("x.shingle").alias("list"), (F.col("held") - F.col("place")).cast("long").alias("most"))
+            .where(100 * F.col("most") >= percent * F.col("n")).join(ids, "node").select("list", "node", "n", "w", "most", "part"))
 
-def _bounded(named: DataFrame, sizes: DataFrame, texts: DataFrame, nodes: DataFrame, n: int, percent: int, rounds: C.Rounds) -> DataFrame:
-    """The rows with ``most`` lowered in long lists to the shingles that some other of their nodes has too.
 
-    Rows that cannot reach the similarity with any other of these nodes go."""
+def _refined(named: DataFrame, sizes: DataFrame, texts: DataFrame, nodes: DataFrame, n: int, percent: int, rounds: C.Rounds) -> DataFrame:
+    """The short lists as they are; the members of long ones under their rarest shingles instead."""
     long_ = sizes.where(F.col("size") > SHORT).select(F.col("_list").alias("_long"))
     marked = rounds.cut(named.join(long_, F.col("list") == F.col("_long"), "left"))
-    crowd = marked.where("_long is not null")
-    own = rounds.cut(_own(crowd, texts, nodes, n))
-    least = (F.when(F.col("_long").isNotNull(), F.col("most") - F.coalesce("own", F.lit(0))).otherwise(F.col("most")))
-    return (marked.join(own, F.col("node") == F.col("_node"), "left").withColumn("most", least)
-            .where(100 * F.col("most") >= percent * F.col("n")).select("list", "node", "n", "w", "most", "part"))
+    short, crowd = marked.where("_long is null").drop("_long"), marked.where("_long is not null")
+    if crowd.isEmpty():
+        return short
+    return rounds.cut(short.unionByName(_rare(crowd, texts, nodes, n, percent, rounds)))
 
 
 def links(texts: DataFrame, nodes: DataFrame, n: int, percent: int, k: int) -> DataFrame:
@@ -255,7 +266,7 @@ def links(texts: DataFrame, nodes: DataFrame, n: int, percent: int, k: int) -> D
         if sizes.isEmpty():
             return parts
         if hubs_a_list == GROWTH:  # once, when the first hubs have met their lists
-            named = rounds.cut(_bounded(named, sizes, texts, nodes, n, percent, rounds))
+            named = _refined(named, sizes, texts, nodes, n, percent, rounds)
             sizes = rounds.cut(_sizes(named))
         now = rounds.cut(_with_hubs(named, sizes, hubs_a_list))
         hub = now.where("hub").select(F.col("list").alias("_list"), F.col("node").alias("b"), F.col("part").alias("pb"), F.col("n").alias("nb"), F.col("most").alias("mb"))
